@@ -1,0 +1,107 @@
+import math
+import random
+
+import pytest
+from helpers import clean_by_hand, plan, trade_rows
+from pyspark.sql import functions as F
+
+from ticksmith import clean_trades, filter_symbols
+
+NAN = float("nan")
+
+
+def cleaned(spark, rows, **options):
+    options.setdefault("arrival", "arrival")
+    return sorted(tuple(r) for r in clean_trades(trade_rows(spark, rows), **options).collect())
+
+
+def test_first_arrival_of_a_key_survives(spark):
+    rows = [(3, "A", 1, 30.0, 1.0), (1, "A", 1, 10.0, 2.0), (2, "A", 2, 20.0, 3.0)]
+    assert cleaned(spark, rows) == [(1, "A", 1, 10.0, 2.0), (2, "A", 2, 20.0, 3.0)]
+
+
+def test_a_bad_first_row_hides_a_good_one_unless_filtered_first(spark):
+    rows = [(1, "A", 1, -1.0, 1.0), (2, "A", 1, 5.0, 1.0)]
+    assert cleaned(spark, rows) == []
+    assert cleaned(spark, rows, mode="filter_first") == [rows[1]]
+
+
+@pytest.mark.parametrize("mode", ["dedup_first", "filter_first"])
+def test_rows_without_price_or_symbol_go_and_nan_and_empty_symbol_stay(spark, mode):
+    rows = [
+        (1, None, 1, 1.0, 1.0),
+        (2, "A", 1, None, 1.0),
+        (3, "A", 2, 0.0, 1.0),
+        (4, "A", 3, NAN, 1.0),
+        (5, "", 4, 1.0, None),
+        (6, "A", None, 2.0, 1.0),
+        (7, "A", None, 3.0, 1.0),
+    ]
+    kept = cleaned(spark, rows, mode=mode)
+    assert [r[0] for r in kept] == [4, 5, 6]
+    assert math.isnan(kept[0][3]) and kept[1][4] is None
+
+
+def test_a_null_value_of_the_first_row_is_not_taken_from_a_later_one(spark):
+    rows = [(1, "A", 1, 1.0, None), (2, "A", 1, 2.0, 9.0)]
+    assert cleaned(spark, rows) == [rows[0]]
+
+
+def test_a_null_arrival_comes_first(spark):
+    rows = [(1, "A", 1, 1.0, 1.0), (None, "A", 1, 2.0, 2.0)]
+    assert cleaned(spark, rows) == [rows[1]]
+
+
+def test_arrival_of_several_columns(spark):
+    rows = [(2, "A", 1, 1.0, 1.0), (1, "A", 1, 2.0, 5.0), (1, "A", 1, 3.0, 4.0)]
+    assert cleaned(spark, rows, arrival=["arrival", "volume"]) == [rows[2]]
+
+
+def test_without_arrival_one_row_per_key(spark):
+    rows = [(i, "A", i % 7, 1.0 + i, 1.0) for i in range(50)]
+    kept = cleaned(spark, rows, arrival=None)
+    assert sorted(r[2] for r in kept) == list(range(7))
+    assert set(kept) <= set(rows)
+
+
+@pytest.mark.parametrize("mode", ["dedup_first", "filter_first"])
+@pytest.mark.parametrize("seed", range(3))
+def test_against_brute_force_with_a_third_of_all_rows_on_one_key(spark, mode, seed):
+    rng = random.Random(seed)
+    symbols, prices = ["A", "B", "C", None], [-1.0, 0.0, 1.5, 2.5, 7.0, None]
+    rows = []
+    for arrival in rng.sample(range(10_000), 1500):
+        hot = rng.random() < 1 / 3
+        key = ("HOT", 1) if hot else (rng.choice(symbols), rng.choice([None, *range(200)]))
+        rows.append((arrival, *key, rng.choice(prices), float(rng.randrange(9))))
+    assert cleaned(spark, rows, mode=mode) == clean_by_hand(rows, mode)
+
+
+def test_cleaning_twice_changes_nothing(spark):
+    rows = [(i, "AB"[i % 2], i % 11, float(i % 5 - 1), 1.0) for i in range(200)]
+    once = cleaned(spark, rows)
+    assert cleaned(spark, once) == once
+
+
+def test_copies_of_a_hot_key_collapse_before_the_shuffle(spark):
+    df = spark.range(30_000, numPartitions=6).select(
+        F.col("id").alias("arrival"),
+        F.lit("HOT").alias("symbol"),
+        F.lit(1).cast("bigint").alias("timestamp"),
+        F.lit(1.0).alias("price"),
+    )
+    text = plan(clean_trades(df, arrival="arrival"))
+    before_shuffle = text[text.index("Exchange") :]
+    assert "partial_min_by" in text and "HashAggregate" in before_shuffle
+    assert "SortAggregate" not in text and "Window" not in text
+
+
+def test_subscribed_symbols(spark):
+    rows = [(1, "A", 1, 1.0, 1.0), (2, "B", 1, 1.0, 1.0), (3, None, 1, 1.0, 1.0)]
+    df = filter_symbols(trade_rows(spark, rows), ["A", "C"])
+    assert [tuple(r) for r in df.collect()] == [rows[0]]
+
+
+def test_unknown_mode(spark):
+    with pytest.raises(ValueError, match="mode"):
+        cleaned(spark, [], mode="other")

@@ -1,0 +1,61 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from ticksmith import add_event_time
+
+
+def timed(spark, *millis, precision="s"):
+    df = spark.createDataFrame([(m,) for m in millis], "timestamp bigint")
+    df = add_event_time(df, precision).select("time_stamp", F.unix_micros("time").alias("micros"))
+    return [(r["time_stamp"], r["micros"]) for r in df.collect()]
+
+
+def test_whole_seconds_toward_zero(spark):
+    assert timed(spark, 0, -1, -1500, 1700000000999, None) == [
+        ("1970-01-01 00:00:00", 0),
+        ("1970-01-01 00:00:00", 0),
+        ("1969-12-31 23:59:59", -1_000_000),
+        ("2023-11-14 22:13:20", 1_700_000_000_000_000),
+        (None, None),
+    ]
+
+
+def test_milliseconds(spark):
+    assert [m for _, m in timed(spark, -1500, 1700000000999, None, precision="ms")] == [
+        -1_500_000,
+        1_700_000_000_999_000,
+        None,
+    ]
+
+
+@pytest.mark.parametrize("precision", ["s", "ms"])
+def test_a_number_beyond_all_time_is_null_and_does_not_fail(spark, precision):
+    assert timed(spark, 2**63 - 1, -(2**63), precision=precision) == [(None, None)] * 2
+
+
+def test_a_year_beyond_9999_is_kept(spark):
+    assert timed(spark, 253402300800000) == [("+10000-01-01 00:00:00", 253402300800_000_000)]
+
+
+def test_a_repeated_hour_keeps_its_instants_apart(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        first, second = timed(spark, 1699162200000, 1699165800000)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert first[0] == second[0] == "2023-11-05 01:30:00"
+    assert second[1] - first[1] == 3600 * 1_000_000
+
+
+def test_columns_are_added_last(spark):
+    df = spark.createDataFrame([(1, 1704067205123)], "id int, timestamp bigint")
+    result = add_event_time(df)
+    assert result.columns == ["id", "timestamp", "time_stamp", "time"]
+    assert result.first()["time"] == datetime(2024, 1, 1, 0, 0, 5)
+
+
+def test_unknown_precision(spark):
+    with pytest.raises(ValueError, match="precision"):
+        timed(spark, 1, precision="h")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from ticksmith.operators.cleaning import DEFAULT_SALT_BUCKETS
+
 # The accepted environment and space names, and the table of each layer.
 ENVIRONMENTS = ("dev", "test", "prod")
 SPACES = ("feature", "qa", "synthetic", "actual", "release")
@@ -35,12 +37,13 @@ class PipelineConfig:
     source_format: str = "kafka"
     source_options: Mapping[str, str] = field(default_factory=dict)
     max_files_per_trigger: int | None = None
+    partition_by_date: bool = False
 
     symbols: tuple[str, ...] = ()
     precision: str = "s"
     clean_mode: str = "dedup_first"
     dedup_within: str | None = None
-    salt_buckets: int | None = None
+    salt_buckets: int | None = DEFAULT_SALT_BUCKETS
     candle_width: str = "1 minute"
     watermark: str = "2 minutes"
     order: str = "event_time"

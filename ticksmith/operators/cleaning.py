@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEYS = ["symbol", "timestamp"]
+DEFAULT_SALT_BUCKETS = 1024
 
 _SALT = "_dedup_salt"
 _MIN_LONG = -(2**63)
@@ -24,7 +25,7 @@ def clean_trades(
     mode: str = "dedup_first",
     arrival: str | Sequence[str] | None = None,
     within: str | None = None,
-    salt_buckets: int | None = None,
+    salt_buckets: int | None = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """First trade per (symbol, timestamp), with a positive price and a symbol.
 
@@ -37,8 +38,9 @@ def clean_trades(
     Streaming: the earliest micro-batch wins. ``within`` bounds the state by a watermark
     on ``time`` (rows later than that are dropped, NULL times are only matched inside a
     micro-batch); without it the state grows with the number of keys.
-    ``salt_buckets`` spreads a hot key over that many state partitions before the final
-    dedup, for about twice the state.
+    Streams have no map-side dedup, so ``salt_buckets`` first drops repeats per input
+    partition: of a key with any number of copies, at most that many rows then meet in one
+    task. It costs a second shuffle and a second state row per key; None turns it off.
     """
     if mode not in ("dedup_first", "filter_first"):
         raise ValueError(f"mode must be 'dedup_first' or 'filter_first', got {mode!r}")

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ticksmith.config import PipelineConfig
+from ticksmith.functions import event_time
 from ticksmith.operators import add_event_time, candles, clean_trades, filter_symbols, parse_trades
-from ticksmith.sources import read_layer, read_messages
+from ticksmith.sources import DATE_COLUMN, read_layer, read_messages
 from ticksmith.streaming import append_available_now
 
 
@@ -59,19 +61,28 @@ def run_stage(spark: SparkSession, cfg: PipelineConfig, name: str) -> StreamingQ
         rows = read_messages(spark, cfg.source_format, cfg.source_options)
     else:
         rows = read_layer(spark, cfg, stage.source)
+    result = stage.step(rows, cfg)
+    if cfg.partition_by_date:
+        day = F.to_date(_moment(stage.target))
+        result = result.withColumn(DATE_COLUMN, day)
     return append_available_now(
-        stage.step(rows, cfg),
+        result,
         cfg.target(stage.target),
         cfg.checkpoint(name),
         cfg.fmt,
         as_table=cfg.catalog is not None,
         merge_schema=stage.merge_schema,
+        partition_by=(DATE_COLUMN,) if cfg.partition_by_date else (),
         state_partitions=cfg.state_partitions,
         state_provider=cfg.state_provider,
         timeout_seconds=cfg.timeout_seconds,
     )
 
 
+def _moment(layer: str) -> Column:
+    return F.col("candle_time") if layer == "gold" else event_time(F.col("timestamp"))
+
+
 def run(
     spark: SparkSession, cfg: PipelineConfig, stages: Sequence[str] | None = None
 ) -> dict[str, StreamingQuery]:

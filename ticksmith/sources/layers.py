@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from ticksmith.config import PipelineConfig
 from ticksmith.schemas import BRONZE, GOLD, SILVER, TRANSFORMED
 
+DATE_COLUMN = "trade_date"
 SCHEMAS = {"bronze": BRONZE, "transformed": TRANSFORMED, "silver": SILVER, "gold": GOLD}
 
 
@@ -22,7 +23,8 @@ def read_layer(
 
     Folders are read with the declared schema by column name: a column added later is
     NULL in older files, and no footer has to be read to find the schema. Pass ``schema``
-    for a layer that has grown beyond its declared columns.
+    for a layer that has grown beyond its declared columns. In a date-partitioned layout
+    the ``trade_date`` column comes last; filter on it to read only those days.
     """
     reader = spark.readStream if streaming else spark.read
     target = cfg.target(layer)
@@ -31,5 +33,8 @@ def read_layer(
     if cfg.catalog is not None:
         return reader.table(target)
     if cfg.fmt != "delta":
-        reader = reader.schema(schema or SCHEMAS[layer])
+        columns = schema or SCHEMAS[layer]
+        if cfg.partition_by_date:
+            columns = T.StructType([*columns.fields, T.StructField(DATE_COLUMN, T.DateType())])
+        reader = reader.schema(columns)
     return reader.format(cfg.fmt).load(target)
