@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from ticksmith.operators.cleaning import DEFAULT_SALT_BUCKETS
-
 # The accepted environment and space names, and the table of each layer.
 ENVIRONMENTS = ("dev", "test", "prod")
 SPACES = ("feature", "qa", "synthetic", "actual", "release")
@@ -43,7 +41,7 @@ class PipelineConfig:
     precision: str = "s"
     clean_mode: str = "dedup_first"
     dedup_within: str | None = None
-    salt_buckets: int | None = DEFAULT_SALT_BUCKETS
+    collapse_copies: bool = True
     candle_width: str = "1 minute"
     watermark: str = "2 minutes"
     order: str = "event_time"

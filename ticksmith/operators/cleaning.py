@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEYS = ["symbol", "timestamp"]
-DEFAULT_SALT_BUCKETS = 1024
 
-_SALT = "_dedup_salt"
 _MIN_LONG = -(2**63)
 
 
@@ -25,7 +24,7 @@ def clean_trades(
     mode: str = "dedup_first",
     arrival: str | Sequence[str] | None = None,
     within: str | None = None,
-    salt_buckets: int | None = DEFAULT_SALT_BUCKETS,
+    collapse_copies: bool = True,
 ) -> DataFrame:
     """First trade per (symbol, timestamp), with a positive price and a symbol.
 
@@ -38,9 +37,9 @@ def clean_trades(
     Streaming: the earliest micro-batch wins. ``within`` bounds the state by a watermark
     on ``time`` (rows later than that are dropped, NULL times are only matched inside a
     micro-batch); without it the state grows with the number of keys.
-    Streams have no map-side dedup, so ``salt_buckets`` first drops repeats per input
-    partition: of a key with any number of copies, at most that many rows then meet in one
-    task. It costs a second shuffle and a second state row per key; None turns it off.
+    A streaming dedup sends every row to its key's task. ``collapse_copies`` keeps one row
+    per key and Arrow batch before that shuffle, so a key holding a third of all rows costs
+    its task a few rows per batch; keys that do not repeat are passed on untouched.
     """
     if mode not in ("dedup_first", "filter_first"):
         raise ValueError(f"mode must be 'dedup_first' or 'filter_first', got {mode!r}")
@@ -53,26 +52,30 @@ def clean_trades(
         named = named.where(positive)
 
     if trades.isStreaming:
-        first = _first_per_key_stream(named, within, salt_buckets)
+        first = _first_per_key_stream(named, within, collapse_copies)
     else:
         first = _first_per_key_batch(named, arrival)
     return first.where(positive) if mode == "dedup_first" else first
 
 
 def _first_per_key_stream(
-    trades: DataFrame, within: str | None, salt_buckets: int | None
+    trades: DataFrame, within: str | None, collapse_copies: bool
 ) -> DataFrame:
-    if within is not None:
-        trades = trades.withWatermark("time", within)
+    if collapse_copies:
+        # No built-in drops rows of a stream before the shuffle without state of its own;
+        # salting the key first would keep every key in state twice.
+        trades = trades.mapInArrow(_first_per_batch, trades.schema)
+    if within is None:
+        return trades.dropDuplicates(KEYS)
+    return trades.withWatermark("time", within).dropDuplicatesWithinWatermark(KEYS)
 
-    def dedup(df: DataFrame, keys: list[str]) -> DataFrame:
-        return df.dropDuplicates(keys) if within is None else df.dropDuplicatesWithinWatermark(keys)
 
-    if salt_buckets:
-        # By input partition: the same rows get the same salt when a task is run again.
-        salted = trades.withColumn(_SALT, F.spark_partition_id() % F.lit(salt_buckets))
-        trades = dedup(salted, [*KEYS, _SALT]).drop(_SALT)
-    return dedup(trades, KEYS)
+def _first_per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = pa.table([batch.column(k) for k in KEYS], KEYS)
+        numbered = keys.append_column("row", pa.array(range(batch.num_rows), pa.int64()))
+        first = numbered.group_by(KEYS).aggregate([("row", "min")])["row_min"]
+        yield batch if len(first) == batch.num_rows else batch.take(first.combine_chunks())
 
 
 def _first_per_key_batch(trades: DataFrame, arrival: str | Sequence[str] | None) -> DataFrame:

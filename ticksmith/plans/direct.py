@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticksmith.operators import add_event_time, candles, clean_trades, parse_trades
-from ticksmith.operators.cleaning import DEFAULT_SALT_BUCKETS
 
 _POSITION_BITS = 20
 
@@ -36,7 +35,7 @@ def chained_candles(
     watermark: str = "2 minutes",
     mode: str = "dedup_first",
     precision: str = "s",
-    salt_buckets: int | None = DEFAULT_SALT_BUCKETS,
+    collapse_copies: bool = True,
 ) -> DataFrame:
     """One streaming query from messages to candles: dedup state feeding window state.
 
@@ -44,7 +43,8 @@ def chained_candles(
     closes; ``within=None`` keeps the dedup unbounded and closes candles by ``watermark``.
     """
     trades = add_event_time(parse_trades(messages), precision)
-    clean = clean_trades(trades, mode, within=within, salt_buckets=salt_buckets)
+    needed = trades.select("symbol", "timestamp", "time", "price", "volume")
+    clean = clean_trades(needed, mode, within=within, collapse_copies=collapse_copies)
     return candles(clean, width, watermark if within is None else None)
 
 

@@ -37,7 +37,7 @@ def _transform(trades: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 def _clean(trades: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return clean_trades(
-        trades, cfg.clean_mode, within=cfg.dedup_within, salt_buckets=cfg.salt_buckets
+        trades, cfg.clean_mode, within=cfg.dedup_within, collapse_copies=cfg.collapse_copies
     )
 
 

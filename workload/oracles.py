@@ -155,7 +155,7 @@ FROM ({_candles("clean", _trunc("hour"))})""",
     "stream_incremental": f"WITH {_FEED_CLEAN} {_closed('clean', 'hour', '2 minute')}",
     "stream_clean": f"WITH {_FEED_CLEAN} SELECT {_TIMED_COLUMNS} FROM clean",
     "stream_clean_bounded": f"WITH {_FEED_CLEAN} SELECT {_TIMED_COLUMNS} FROM clean",
-    "stream_clean_unsalted": f"WITH {_FEED_CLEAN} SELECT {_TIMED_COLUMNS} FROM clean",
+    "stream_clean_uncollapsed": f"WITH {_FEED_CLEAN} SELECT {_TIMED_COLUMNS} FROM clean",
     "stream_clean_filter_first": f"""
 WITH {_FEED},{_clean("feed", "arrival", "filter_first")} SELECT {_TIMED_COLUMNS} FROM clean""",
     "chained_candles": f"WITH {_NEW_FILLS_CLEAN} {_closed('clean', 'hour', '10 minute')}",

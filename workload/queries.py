@@ -230,7 +230,7 @@ def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows read and keys held by the dedup, summed over the micro-batches."""
     cfg = _config(spark)
     feed = feeds.trades(feeds.events_stream(spark, sf_dir))
-    clean = clean_trades(add_event_time(feed).select(*SILVER.names), salt_buckets=None)
+    clean = clean_trades(add_event_time(feed).select(*SILVER.names), collapse_copies=False)
     query = _append(clean, cfg, "silver", "clean")
     return progress_report(spark, query).agg(
         F.sum("input_rows").alias("input_rows"),
@@ -261,7 +261,7 @@ QUERIES: dict[str, Query] = {
     "stream_incremental": stream_incremental,
     "stream_clean": stream_clean(),
     "stream_clean_bounded": stream_clean(dedup_within="40 days"),
-    "stream_clean_unsalted": stream_clean(salt_buckets=None),
+    "stream_clean_uncollapsed": stream_clean(collapse_copies=False),
     "stream_clean_filter_first": stream_clean(clean_mode="filter_first"),
     "chained_candles": chained("10 minutes"),
     "chained_candles_unbounded": chained(None),
