@@ -1,11 +1,15 @@
 import math
 import random
+import subprocess
+import sys
 
 import pytest
 from helpers import clean_by_hand, plan, trade_rows
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from ticksmith import clean_trades, filter_symbols
+from ticksmith.operators.cleaning import _first_in_batch
 
 NAN = float("nan")
 
@@ -96,6 +100,25 @@ def test_copies_of_a_hot_key_collapse_before_the_shuffle(spark):
     assert "SortAggregate" not in text and "Window" not in text
 
 
+def test_the_collapse_runs_where_the_package_is_not_installed(tmp_path):
+    code = cloudpickle.dumps(_first_in_batch().func)
+    script = (
+        "import sys, pyarrow as pa\n"
+        "from pyspark import cloudpickle\n"
+        "first = cloudpickle.loads(sys.stdin.buffer.read())\n"
+        "assert 'ticksmith' not in sys.modules\n"
+        "symbol = pa.array(['A', 'A', None, None, 'A', 'A'])\n"
+        "timestamp = pa.array([1, 2, None, None, 1, 1])\n"
+        "good = pa.array([True, True, None, None, False, True])\n"
+        "print(first(symbol, timestamp, good).to_pylist())\n"
+    )
+    done = subprocess.run(
+        [sys.executable, "-I", "-c", script], input=code, capture_output=True, cwd=tmp_path
+    )
+    kept = [True, True, True, False, True, False]
+    assert done.stdout.decode().strip() == str(kept), done.stderr.decode()
+
+
 def test_subscribed_symbols(spark):
     rows = [(1, "A", 1, 1.0, 1.0), (2, "B", 1, 1.0, 1.0), (3, None, 1, 1.0, 1.0)]
     df = filter_symbols(trade_rows(spark, rows), ["A", "C"])

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,20 +63,25 @@ def _first_per_key_stream(
     trades: DataFrame, within: str | None, collapse_copies: bool
 ) -> DataFrame:
     if collapse_copies:
-        # No built-in drops rows of a stream before the shuffle without state of its own;
-        # salting the key first would keep every key in state twice.
-        trades = trades.mapInArrow(_first_per_batch, trades.schema)
+        # No built-in drops rows of a stream before the shuffle without state of its own, and
+        # salting the key would keep every key in state twice. Good and bad rows of a key are
+        # told apart, so this may run before or after the price filter.
+        trades = trades.where(_first_in_batch()(*KEYS, F.col("price") > 0))
     if within is None:
         return trades.dropDuplicates(KEYS)
     return trades.withWatermark("time", within).dropDuplicatesWithinWatermark(KEYS)
 
 
-def _first_per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = pa.table([batch.column(k) for k in KEYS], KEYS)
-        numbered = keys.append_column("row", pa.array(range(batch.num_rows), pa.int64()))
-        first = numbered.group_by(KEYS).aggregate([("row", "min")])["row_min"]
-        yield batch if len(first) == batch.num_rows else batch.take(first.combine_chunks())
+def _first_in_batch() -> Callable[..., Column]:
+    # An inner function travels to the executors by value: they need not have this package.
+    def first_rows(symbol: pa.Array, timestamp: pa.Array, good: pa.Array) -> pa.Array:
+        row = pa.array(range(len(symbol)), pa.int64())
+        keys = pa.table([symbol, timestamp, good, row], ["symbol", "timestamp", "good", "row"])
+        groups = keys.group_by(["symbol", "timestamp", "good"], use_threads=False)
+        return pc.is_in(row, groups.aggregate([("row", "min")])["row_min"].combine_chunks())
+
+    # What it returns depends on the batch, so it must not be repeated or moved.
+    return F.arrow_udf(first_rows, "boolean").asNondeterministic()
 
 
 def _first_per_key_batch(trades: DataFrame, arrival: str | Sequence[str] | None) -> DataFrame:
