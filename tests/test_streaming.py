@@ -18,7 +18,7 @@ class Feed:
 
     def __init__(self, spark, folder, source, stage, target, **settings):
         self.spark, self.source, self.stage, self.target = spark, source, stage, target
-        self.cfg = PipelineConfig(str(folder), **settings)
+        self.cfg = PipelineConfig(str(folder), count_state_rows=True, **settings)
 
     def run(self, rows=()):
         if rows:

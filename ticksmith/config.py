@@ -48,6 +48,7 @@ class PipelineConfig:
 
     state_partitions: int | None = None
     state_provider: str | None = "rocksdb"
+    count_state_rows: bool = False
     timeout_seconds: int | None = None
 
     def __post_init__(self) -> None:

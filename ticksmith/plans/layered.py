@@ -75,6 +75,7 @@ def run_stage(spark: SparkSession, cfg: PipelineConfig, name: str) -> StreamingQ
         partition_by=(DATE_COLUMN,) if cfg.partition_by_date else (),
         state_partitions=cfg.state_partitions,
         state_provider=cfg.state_provider,
+        count_state_rows=cfg.count_state_rows,
         timeout_seconds=cfg.timeout_seconds,
     )
 

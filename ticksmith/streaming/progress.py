@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 _REPORT = (
-    "batch_id bigint, input_rows bigint, state_rows bigint, "
+    "batch_id bigint, input_rows bigint, state_rows bigint, state_rows_written bigint, "
     "state_rows_removed bigint, late_rows_dropped bigint, watermark string"
 )
 
 
 def progress_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per recent micro-batch: rows read, held in state, evicted, dropped as late.
+    """One row per recent micro-batch: rows read, held in state, written to it, evicted from
+    it, dropped as late.
+
+    ``state_rows`` is 0 for a RocksDB state unless the query started with counting on.
 
     Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates`` batches, so the
     report stays small however long the query ran. Late rows are counted as Spark does:
@@ -26,6 +29,7 @@ def progress_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
                 progress["batchId"],
                 progress["numInputRows"],
                 sum(s["numRowsTotal"] for s in state),
+                sum(s["numRowsUpdated"] for s in state),
                 sum(s["numRowsRemoved"] for s in state),
                 sum(s["numRowsDroppedByWatermark"] for s in state),
                 progress["eventTime"].get("watermark"),

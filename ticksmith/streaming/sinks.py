@@ -21,6 +21,7 @@ def append_available_now(
     partition_by: Sequence[str] = (),
     state_partitions: int | None = None,
     state_provider: str | None = "rocksdb",
+    count_state_rows: bool = False,
     timeout_seconds: int | None = None,
 ) -> StreamingQuery:
     """Append everything now available to a folder or table, wait, and return the query.
@@ -45,7 +46,7 @@ def append_available_now(
         writer = writer.option("mergeSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with state_settings(spark, state_partitions, state_provider):
+    with state_settings(spark, state_partitions, state_provider, count_state_rows):
         query = writer.toTable(target) if as_table else writer.start(target)
     return _drained(query, timeout_seconds)
 

@@ -168,9 +168,10 @@ WITH {_FEED},{_clean("feed", "arrival", "filter_first")} SELECT {_TIMED_COLUMNS}
 WITH {_FEED},{_FILLS}
 SELECT {_STORED_COLUMNS}, CASE WHEN copied THEN 'venue-' || symbol END AS venue FROM fills""",
     "progress": f"""
-WITH {_FEED}
+WITH {_FEED},
+keys AS (SELECT DISTINCT symbol, timestamp FROM feed WHERE symbol IS NOT NULL)
 SELECT (SELECT count(*) FROM events) AS input_rows,
-       (SELECT count(*) FROM (SELECT DISTINCT symbol, timestamp FROM feed
-                              WHERE symbol IS NOT NULL)) AS state_rows,
+       (SELECT count(*) FROM keys) AS state_rows,
+       (SELECT count(*) FROM keys) AS state_rows_written,
        CAST(0 AS BIGINT) AS late_rows_dropped""",
 }

@@ -231,10 +231,11 @@ def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _config(spark)
     feed = feeds.trades(feeds.events_stream(spark, sf_dir))
     clean = clean_trades(add_event_time(feed).select(*SILVER.names), collapse_copies=False)
-    query = _append(clean, cfg, "silver", "clean")
+    query = _append(clean, cfg, "silver", "clean", count_state_rows=True)
     return progress_report(spark, query).agg(
         F.sum("input_rows").alias("input_rows"),
         F.max("state_rows").alias("state_rows"),
+        F.sum("state_rows_written").alias("state_rows_written"),
         F.sum("late_rows_dropped").alias("late_rows_dropped"),
     )
 
