@@ -224,6 +224,45 @@ def test_a_new_checkpoint_over_an_old_folder_is_refused(spark, tmp_path):
     assert spark.read.parquet(target).count() == 1
 
 
+def test_a_new_checkpoint_over_an_old_table_is_refused(spark, tmp_path):
+    rows = stream_of(spark, str(tmp_path / "in"), [("A", at(0), 1.0, 1.0)])
+    for _ in range(2):
+        append_available_now(rows, "lost_and_found", str(tmp_path / "first"), as_table=True)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        append_available_now(rows, "lost_and_found", str(tmp_path / "second"), as_table=True)
+    assert spark.table("lost_and_found").count() == 1
+    spark.sql("DROP TABLE lost_and_found")
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_a_run_that_fails_half_way_is_taken_up_without_loss_or_repeat(spark, tmp_path, as_table):
+    folder = str(tmp_path / "in")
+    for minute in range(4):
+        rows = [("A", at(minute, s), 1.0, 1.0) for s in range(5)] * 2
+        silver_rows(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+    stream = (
+        spark.readStream.schema(SILVER).option("maxFilesPerTrigger", "1").parquet(folder)
+    )
+    target = "half_way" if as_table else str(tmp_path / "out")
+    checkpoint = str(tmp_path / "checkpoint")
+
+    in_third_file = F.col("timestamp") == at(2, 3)
+    no_good = F.raise_error(F.lit("no good")).cast("double")
+    failing = stream.withColumn("volume", F.when(in_third_file, no_good).otherwise(F.col("volume")))
+    with pytest.raises(StreamingQueryException, match="no good"):
+        append_available_now(clean_trades(failing), target, checkpoint, as_table=as_table)
+
+    def stored():
+        found = spark.table(target) if as_table else spark.read.parquet(target)
+        return sorted(r["timestamp"] for r in found.select("timestamp").collect())
+
+    assert stored() == [at(minute, s) for minute in range(2) for s in range(5)]
+    append_available_now(clean_trades(stream), target, checkpoint, as_table=as_table)
+    assert stored() == [at(minute, s) for minute in range(4) for s in range(5)]
+    if as_table:
+        spark.sql("DROP TABLE half_way")
+
+
 def test_a_failing_query_raises(spark, tmp_path):
     rows = stream_of(spark, str(tmp_path / "in"), [("A", at(0), 1.0, 1.0)])
     failing = rows.withColumn("symbol", F.raise_error(F.lit("no good")).cast("string"))

@@ -29,8 +29,8 @@ def append_available_now(
     The checkpoint records what was read: the next call with it takes up new input only.
     """
     spark = df.sparkSession
+    _refuse_lost_checkpoint(spark, _folder(spark, target, as_table), checkpoint)
     if not as_table:
-        _refuse_lost_checkpoint(spark, target, checkpoint)
         # A folder exists after its first run even if nothing came, as a table would.
         spark.createDataFrame([], df.schema).write.mode("ignore").format(fmt).partitionBy(
             *partition_by
@@ -79,13 +79,25 @@ def write_messages(
     return _drained(query, timeout_seconds)
 
 
-def _refuse_lost_checkpoint(spark: SparkSession, target: str, checkpoint: str) -> None:
+def _folder(spark: SparkSession, target: str, as_table: bool) -> str | None:
+    """Where the target's files are; None for a table that does not exist yet."""
+    if not as_table:
+        return target
+    if not spark.catalog.tableExists(target):
+        return None
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {target}")
+    location = details.where("col_name = 'Location'").first()
+    return location["data_type"] if location else None
+
+
+def _refuse_lost_checkpoint(spark: SparkSession, folder: str | None, checkpoint: str) -> None:
     """A file sink skips batch numbers its folder already has, so a new checkpoint over an
     old folder would lose rows without a word."""
-    written = _exists(spark, f"{target}/_spark_metadata")
-    if written and not _exists(spark, f"{checkpoint}/metadata"):
+    if folder is None or _exists(spark, f"{checkpoint}/metadata"):
+        return
+    if _exists(spark, f"{folder}/_spark_metadata"):
         raise ValueError(
-            f"{target} was written with another checkpoint than {checkpoint}; "
+            f"{folder} was written with another checkpoint than {checkpoint}; "
             "give that one, or a new target"
         )
 
