@@ -43,6 +43,14 @@ def test_every_trade_of_a_message_with_its_position(spark):
     ]
 
 
+def test_carried_names_must_not_hide_trade_columns(spark):
+    df = messages(spark, GOOD).withColumn("timestamp", F.lit(1))
+    with pytest.raises(ValueError, match="timestamp"):
+        parse_trades(df, carry=["timestamp"])
+    kept = parse_trades(df.withColumnRenamed("timestamp", "sent"), carry=["sent"])
+    assert kept.select("sent", "timestamp").collect() == [(1, 1704067205123)]
+
+
 @pytest.mark.parametrize(
     "value, row",
     [

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticksmith.functions import envelope_trades, message_type, reject_reason
+from ticksmith.schemas import BRONZE
 
 
 def route_messages(messages: DataFrame, kind: str = "trade") -> DataFrame:
@@ -21,9 +22,13 @@ def parse_trades(
     """One row per trade in each message's ``data`` array, in the bronze column order.
 
     ``carry`` names message columns to keep in front and ``position`` a column for the
-    trade's place in its message; together they record arrival for `clean_trades`.
+    trade's place in its message; together they record arrival for `clean_trades`. Their
+    names must differ from the trade columns: rename Kafka's ``timestamp`` to carry it.
     Messages without trades give no row, see `rejected_messages`.
     """
+    clash = {*carry, position} & set(BRONZE.names)
+    if clash:
+        raise ValueError(f"{sorted(clash)} would clash with the trade columns, rename first")
     trades = envelope_trades(F.col("value"))
     if position is None:
         exploded = messages.select(*carry, F.explode(trades).alias("trade"))
