@@ -107,6 +107,26 @@ def test_a_message_is_either_parsed_or_rejected(spark):
     assert kept | lost == set(range(df.count())) and not kept & lost
 
 
+@pytest.mark.parametrize(
+    "value, trades",
+    [
+        (b'\xff\xfe{"type":"trade","data":[{"p":1}]}', 0),
+        (b'{"type":"trade","data":[{"p":1,"s":"\xff"}]}', 1),
+        ('{"data":[{"p":1}]}'.encode("utf-16"), 0),
+        (b'{"data":[{"p":1}],"x":' + b"[" * 5000 + b"]" * 5000 + b"}", 0),
+        (b'{"data":[{"p":1,"t":' + b"9" * 5000 + b"}]}", 0),
+        (b'{"data":[{"p":1e999,"c":[99999999999],"t":99999999999999999999}]}', 1),
+        (b'{"data":[' + b'{"p":1},' * 20_000 + b'{"p":1}]}', 20_001),
+        (b'{"data":["x",{"p":1}]}', 0),
+    ],
+)
+def test_no_message_fails_the_job_or_is_both_parsed_and_rejected(spark, value, trades):
+    df = spark.createDataFrame([(bytearray(value),)], "value binary")
+    assert parse_trades(df).count() == trades
+    assert rejected_messages(df).count() == (0 if trades else 1)
+    assert route_messages(df).count() in (0, 1)
+
+
 def test_routing_by_type(spark):
     kept = [
         GOOD,
