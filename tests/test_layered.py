@@ -3,7 +3,7 @@ import sys
 
 import pytest
 from helpers import MINUTE, START, candles_as_dict
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from ticksmith import STAGES, PipelineConfig, chained_candles, parse_trades, route_messages, run
@@ -178,6 +178,24 @@ def test_streamed_messages_are_routed_to_a_topic(spark, tmp_path):
         write_messages(raw, "parquet", options)
 
 
+def test_input_lost_before_it_was_read_is_passed_over(spark, tmp_path):
+    for value in FIRST[:2]:
+        land(spark, tmp_path, [value])
+    options = {"path": str(tmp_path / "topic"), "maxFilesPerTrigger": "1"}
+    trades = parse_trades(read_messages(spark, "parquet", options))
+    target, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    failing = trades.withColumn(
+        "volume", F.when(F.col("symbol") == "B", F.raise_error(F.lit("no good")).cast("double"))
+    )
+    with pytest.raises(StreamingQueryException):
+        append_available_now(failing, target, checkpoint)
+    # The failed run has noted that it would read the second file; now that file is gone.
+    newest = max((tmp_path / "topic").glob("part-*"), key=lambda file: file.stat().st_mtime_ns)
+    newest.unlink()
+    append_available_now(trades, target, checkpoint)
+    assert spark.read.parquet(target).count() == 2
+
+
 def test_messages_from_text_files(spark, tmp_path):
     (tmp_path / "raw.txt").write_text("\n".join(FIRST))
     messages = read_messages(spark, "text", {"path": str(tmp_path)}, streaming=False)
@@ -203,6 +221,9 @@ def test_kafka_options():
 def test_kafka_without_its_package(spark):
     with pytest.raises(AnalysisException, match="kafka"):
         read_messages(spark, "kafka", kafka_options("host:9092", "trades"))
+    message = spark.createDataFrame([(None, bytearray(b"{}"))], "key binary, value binary")
+    with pytest.raises(AnalysisException, match="kafka"):
+        write_messages(message, "kafka", {"topic": "trades"})
 
 
 def test_config_names_places_by_environment():

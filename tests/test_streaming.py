@@ -61,7 +61,9 @@ def test_late_rows_run_by_run(gold):
 
     # Minute 0 is closed and its row too late; minute 2 is older than the watermark's
     # newest row but still open; minute 5 moves the watermark to the end of minute 2.
-    query = feed.run([("A", at(0, 59), 99.0, 9.0), ("A", at(2, 30), 77.0, 5.0), ("A", at(5), 6.0, 1.0)])
+    query = feed.run(
+        [("A", at(0, 59), 99.0, 9.0), ("A", at(2, 30), 77.0, 5.0), ("A", at(5), 6.0, 1.0)]
+    )
     assert starts(feed.result()) == [0, 1, 2]
     assert feed.report(query).agg(F.sum("late_rows_dropped")).first()[0] == 1
 
@@ -82,7 +84,9 @@ def test_one_watermark_for_all_symbols(gold):
     assert set(candles_as_dict(feed.result())) == {("BUSY", at(10))}
 
 
-@pytest.mark.parametrize("settings", [{}, {"max_files_per_trigger": 1}, {"state_provider": "memory"}])
+@pytest.mark.parametrize(
+    "settings", [{}, {"max_files_per_trigger": 1}, {"state_provider": "memory"}]
+)
 def test_stream_equals_closed_windows_of_the_batch(spark, gold, settings):
     rng = random.Random(1)
     moments = sorted(rng.sample(range(40 * MINUTE), 600))
@@ -104,7 +108,8 @@ def test_stream_equals_closed_windows_of_the_batch(spark, gold, settings):
 
     every = silver_rows(spark, rows)
     limit = every.agg(F.max("time") - F.expr("interval 2 minutes")).first()[0]
-    closed = candles(every).where(F.col("candle_time") + F.expr("interval 1 minute") <= F.lit(limit))
+    end = F.col("candle_time") + F.expr("interval 1 minute")
+    closed = candles(every).where(end <= F.lit(limit))
     assert candles_as_dict(feed.result()) == candles_as_dict(closed)
     assert feed.result().count() == closed.count() > 0
 

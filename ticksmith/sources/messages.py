@@ -31,10 +31,10 @@ def kafka_options(
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if username is not None:
-        login = f"{login_module} required username={_quoted(username)} password={_quoted(password or '')};"
+        credentials = f"username={_quoted(username)} password={_quoted(password or '')}"
         options["kafka.security.protocol"] = "SASL_SSL"
         options["kafka.sasl.mechanism"] = "PLAIN"
-        options["kafka.sasl.jaas.config"] = login
+        options["kafka.sasl.jaas.config"] = f"{login_module} required {credentials};"
     return options
 
 

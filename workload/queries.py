@@ -303,4 +303,5 @@ def _conditions_as_text(rows: DataFrame) -> DataFrame:
     """Arrays compare differently across engines; one code per trade reads the same."""
     if "conditions" not in rows.columns:
         return rows
-    return rows.withColumn("conditions", F.concat_ws(",", F.col("conditions").cast("array<string>")))
+    codes = F.col("conditions").cast("array<string>")
+    return rows.withColumn("conditions", F.concat_ws(",", codes))
