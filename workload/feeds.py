@@ -38,7 +38,7 @@ def trades(event_rows: DataFrame, copies: bool = True) -> DataFrame:
         (_signed_value() + F.col("copy")).alias("price"),
         _symbol().alias("symbol"),
         _millis(F.col("ts")).alias("timestamp"),
-        F.from_json("props", "k double")["k"].alias("volume"),
+        F.get_json_object("props", "$.k").try_cast("double").alias("volume"),
     )
 
 
