@@ -6,7 +6,19 @@ from helpers import MINUTE, START, candles_as_dict
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
-from ticksmith import STAGES, PipelineConfig, chained_candles, parse_trades, route_messages, run
+from ticksmith import (
+    STAGES,
+    PipelineConfig,
+    add_event_time,
+    candles,
+    chained_candles,
+    filter_symbols,
+    parse_trades,
+    rejected_messages,
+    route_messages,
+    run,
+    to_messages,
+)
 from ticksmith.schemas import BRONZE, GOLD, SILVER, TRANSFORMED
 from ticksmith.sources import kafka_options, read_layer, read_messages
 from ticksmith.streaming import append_available_now, write_messages
@@ -196,6 +208,51 @@ def test_input_lost_before_it_was_read_is_passed_over(spark, tmp_path):
     assert spark.read.parquet(target).count() == 2
 
 
+def timed(messages):
+    return add_event_time(parse_trades(messages))
+
+
+OPERATORS = {
+    "route": route_messages,
+    "parse": lambda m: parse_trades(m, carry=["key"], position="position"),
+    "reject": rejected_messages,
+    "to_messages": lambda m: to_messages(parse_trades(m)),
+    "time": timed,
+    "time_ms": lambda m: add_event_time(parse_trades(m), "ms"),
+    "symbols": lambda m: filter_symbols(timed(m), ["A"]),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_a_stateless_step_gives_the_same_as_a_stream_and_as_a_batch(spark, tmp_path, name):
+    land(spark, tmp_path, FIRST)
+    topic = {"path": str(tmp_path / "topic")}
+    target = str(tmp_path / "out")
+    step = OPERATORS[name]
+    append_available_now(
+        step(read_messages(spark, "parquet", topic)), target, str(tmp_path / "checkpoint")
+    )
+    batch = step(read_messages(spark, "parquet", topic, streaming=False))
+    streamed = spark.read.schema(batch.schema).parquet(target)
+    assert batch.count() > 0
+    assert sorted(map(repr, streamed.collect())) == sorted(map(repr, batch.collect()))
+
+
+@pytest.mark.parametrize("order", ["event_time", "arrival"])
+def test_candles_give_the_same_as_a_stream_and_as_a_batch(spark, tmp_path, order):
+    # One trade per candle, so that arrival order has nothing to choose.
+    land(spark, tmp_path, [message(("A", i * MINUTE, 1.0 + i, 1.0)) for i in range(6)])
+    topic = {"path": str(tmp_path / "topic")}
+    target = str(tmp_path / "out")
+    stream = candles(timed(read_messages(spark, "parquet", topic)), order=order)
+    append_available_now(stream, target, str(tmp_path / "checkpoint"))
+    batch = candles(timed(read_messages(spark, "parquet", topic, streaming=False)), order=order)
+    every = candles_as_dict(batch)
+    assert len(every) == 6
+    closed = {key: candle for key, candle in every.items() if key[1] < START + 3 * MINUTE}
+    assert candles_as_dict(spark.read.parquet(target)) == closed
+
+
 def test_messages_from_text_files(spark, tmp_path):
     (tmp_path / "raw.txt").write_text("\n".join(FIRST))
     messages = read_messages(spark, "text", {"path": str(tmp_path)}, streaming=False)
