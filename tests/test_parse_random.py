@@ -1,0 +1,70 @@
+"""Random messages against a plain-Python reading of the same rules."""
+
+import json
+import random
+
+import pytest
+
+from ticksmith import parse_trades, rejected_messages
+
+ABSENT = object()
+# value in the message -> value in the row
+NUMBERS = [(1, 1.0), (2.5, 2.5), (-0.125, -0.125), (0, 0.0), (1e300, 1e300)]
+NOT_NUMBERS = [("abc", None), ("5", None), (True, None), ([1], None), ({"a": 1}, None)]
+MISSING = [(None, None), (ABSENT, None)]
+FIELDS = {
+    "c": [([1, 2], [1, 2]), ([], []), ([1, None], [1, None]), (["x"], None), (3, None), *MISSING],
+    "p": [*NUMBERS, *NOT_NUMBERS, *MISSING],
+    "s": [("A", "A"), ("", ""), ("é\"\\", "é\"\\"), (7, "7"), (False, "false"), *MISSING],
+    "t": [(5, 5), (-1, -1), (2**53, 2**53), (2**70, None), (5.5, None), ("5", None), *MISSING],
+    "v": [*NUMBERS, *NOT_NUMBERS, *MISSING],
+}
+EXTRAS = [{}, {"type": "trade"}, {"type": "news", "more": [{"data": []}]}]
+NO_TRADES = [
+    ('{"type":"ping"}', "no_data"),
+    ('{"data":[]}', "empty"),
+    ('{"data":[3]}', "no_data"),
+    ("[]", "no_data"),
+    ("{", "malformed"),
+    (None, "null"),
+]
+
+
+def random_trade(rng):
+    if rng.random() < 0.1:
+        return None, (None,) * 5
+    chosen = {name: rng.choice(values) for name, values in FIELDS.items()}
+    names = rng.sample(list(chosen), len(chosen))
+    sent = {name: chosen[name][0] for name in names if chosen[name][0] is not ABSENT}
+    return sent, tuple(chosen[name][1] for name in FIELDS)
+
+
+def random_message(rng):
+    """Text, the rows it gives, and why it gives none."""
+    if rng.random() < 0.2:
+        text, reason = rng.choice(NO_TRADES)
+        return text, [], reason
+    trades = [random_trade(rng) for _ in range(rng.randrange(1, 5))]
+    body = {**rng.choice(EXTRAS), "data": [sent for sent, _ in trades]}
+    indent = rng.choice([None, 1])
+    return json.dumps(body, indent=indent), [row for _, row in trades], None
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_messages(spark, seed):
+    rng = random.Random(seed)
+    feed = [random_message(rng) for _ in range(400)]
+    values = [
+        (i, None if text is None else bytearray(text, "utf-8"))
+        for i, (text, _, _) in enumerate(feed)
+    ]
+    df = spark.createDataFrame(values, "id int, value binary")
+
+    parsed = parse_trades(df, carry=["id"], position="at").orderBy("id", "at")
+    expected = [
+        (i, at, *row) for i, (_, rows, _) in enumerate(feed) for at, row in enumerate(rows)
+    ]
+    assert [tuple(row) for row in parsed.collect()] == expected
+
+    rejected = {r["id"]: r["reason"] for r in rejected_messages(df).collect()}
+    assert rejected == {i: reason for i, (_, _, reason) in enumerate(feed) if reason}

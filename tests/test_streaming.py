@@ -114,6 +114,37 @@ def test_stream_equals_closed_windows_of_the_batch(spark, gold, settings):
     assert feed.result().count() == closed.count() > 0
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_disordered_runs_against_a_plain_watermark(gold, seed):
+    """A row counts while its window's end is beyond the watermark the runs before it left;
+    a window is written when the watermark reaches its end."""
+    rng = random.Random(seed)
+    feed = gold()
+    watermark, newest, open_windows, written, late = 0, 0, {}, {}, 0
+    for run in range(5):
+        stamps = rng.sample(range(max(0, run * 4 - 6) * MINUTE, (run * 4 + 4) * MINUTE), 60)
+        rows = [
+            (rng.choice("AB"), START + stamp, rng.choice([1.0, 2.0, 5.0]), 1.0) for stamp in stamps
+        ]
+        feed.run(rows)
+
+        for symbol, timestamp, price, volume in rows:
+            start = timestamp // MINUTE * MINUTE
+            if start + MINUTE > watermark:
+                open_windows.setdefault((symbol, start), []).append((timestamp, price, volume))
+            else:
+                late += 1
+        newest = max([newest, *(timestamp // 1000 * 1000 for _, timestamp, _, _ in rows)])
+        watermark = newest - 2 * MINUTE
+        for key in [key for key in open_windows if key[1] + MINUTE <= watermark]:
+            trades = sorted(open_windows.pop(key))
+            prices = [price for _, price, _ in trades]
+            volume = sum(volume for _, _, volume in trades)
+            written[key] = (prices[0], max(prices), min(prices), prices[-1], volume)
+        assert candles_as_dict(feed.result()) == written
+    assert late > 0 and feed.result().count() == len(written)
+
+
 def waves(seed):
     """Three waves of trades on few keys, a third of them on one; the price names the wave."""
     rng = random.Random(seed)
