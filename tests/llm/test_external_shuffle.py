@@ -1,0 +1,53 @@
+import zlib
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from ticksmith.llm.external_shuffle import shuffle_into_shards, write_shards
+from ticksmith.llm.queries import QUERIES
+
+from .conftest import SF
+
+
+def test_query_holds_its_law(spark, documents):
+    rows = QUERIES["op8_external_shuffle"](spark, SF).collect()
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        raw = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law) == (len(raw) + 16, zlib.crc32(raw), "key")
+        assert 0 <= r.shard < 40
+        assert r.grown_shard in (r.shard, 40)
+    for shard, n in Counter(r.shard for r in rows).items():
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(n))
+
+
+def test_same_again_and_under_other_partitions(spark, documents):
+    once = shuffle_into_shards(documents, 7, bucket_bytes=4096).select("doc_id", "shard", "slot")
+    again = shuffle_into_shards(documents.repartition(5), 7, bucket_bytes=4096)
+    assert sorted(once.collect()) == sorted(again.select("doc_id", "shard", "slot").collect())
+
+
+def test_many_buckets_keep_slots_gapless_and_mixed(spark, documents):
+    rows = shuffle_into_shards(documents, 2, bucket_bytes=2048).collect()
+    for shard in (0, 1):
+        own = sorted((r.slot, r.doc_id) for r in rows if r.shard == shard)
+        assert [s for s, _ in own] == list(range(len(own)))
+        ids = [d for _, d in own]
+        assert ids != sorted(ids)
+
+
+def test_odd_rows(odd, nothing):
+    rows = shuffle_into_shards(odd, 3).collect()
+    assert len(rows) == odd.count()
+    assert set(rows[0].asDict()) == {*odd.columns, "grown_shard"}
+    assert sorted(str(r.doc_id) for r in rows) == sorted(str(r.doc_id) for r in odd.collect())
+    assert shuffle_into_shards(nothing, 3).count() == 0
+
+
+def test_written_shards_are_whole(spark, documents, tmp_path):
+    write_shards(shuffle_into_shards(documents, 4), str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == documents.count()
+    assert back.select("text").exceptAll(documents.select("text")).count() == 0
+    assert back.select(F.countDistinct("shard")).first()[0] == 4

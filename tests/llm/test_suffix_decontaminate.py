@@ -1,0 +1,71 @@
+import random
+
+from pyspark.sql import functions as F
+
+from ticksmith.llm.queries import QUERIES
+from ticksmith.llm.suffix_decontaminate import decontaminate, matched
+
+from . import brute
+from .conftest import SF
+
+
+def test_query_against_brute_force(spark, documents):
+    rows = {r.doc_id: r for r in QUERIES["op3_suffix_decontaminate"](spark, SF).collect()}
+    docs = documents.collect()
+    items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    hits = 0
+    for d, (n, hit, names) in zip(docs, brute.contamination([d.text for d in docs], items), strict=True):
+        r = rows[d.doc_id]
+        assert (r.n_words, r.n_hit, r.n_items) == (n, hit, len(names))
+        assert r.items_sha256 == brute.sha(",".join(sorted(names)))
+        assert r.contaminated == (hit > 0 and 20 * hit >= n)
+        hits += hit > 0
+    assert hits
+
+
+def _random_case(seed):
+    draw = random.Random(seed)
+    words = ["a", "b", "ä", "C", "x1"]
+    text = lambda n: " ".join(draw.choice(words) for _ in range(n))
+    docs = [text(draw.randint(0, 40)) for _ in range(25)] + [None, "", "; ;"]
+    items = [(i, text(draw.randint(0, 9))) for i in range(12)] + [(20, None), (21, "..."), (3, "a b")]
+    return docs, items
+
+
+def test_random_words_with_short_items_and_blocks(spark):
+    for seed in range(4):
+        docs, items = _random_case(seed)
+        frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+        bench = spark.createDataFrame(items, "item_id long, text string")
+        wanted = brute.contamination(docs, [(i, t) for i, t in items], window=4)
+        for limit in (1 << 20, 40):
+            found = {r.doc_id: r for r in matched(frame, bench, window=4, pass_bytes=limit).collect()}
+            for i, (n, hit, names) in enumerate(wanted):
+                assert (found[i].n_words, found[i].n_hit) == (n, hit)
+                assert found[i]["items"] == sorted(names)
+                assert sum(s.end - s.start for s in found[i].spans) == hit
+
+
+def test_longest_match_is_as_long_as_the_passage(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    text = "x y " + " ".join(f"W{i}" for i in range(4, 25)) + " z"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    row = matched(docs, bench).first()
+    assert (row.longest, row.n_hit, row["items"]) == (21, 21, [7])
+    assert [(s.start, s.end) for s in row.spans] == [(2, 23)]
+
+
+def test_odd_rows(spark, odd, nothing):
+    bench = spark.createDataFrame([(1, "to see and to FIND"), (None, "one")], "item_id long, text string")
+    found = matched(odd, bench).collect()
+    assert len(found) == odd.count()
+    assert all(r.n_hit == 5 and r["items"] == [1] for r in found if r.doc_id in (4, 5, 6))
+    assert all(r.n_words == 0 for r in found if r.doc_id in (1, 2, 10))
+    kept = decontaminate(odd, bench)
+    assert kept.columns == odd.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 2, None, 8, 9, 10]))
+    empty = bench.where("1 = 0")
+    assert decontaminate(odd, empty).count() == odd.count()
+    assert decontaminate(nothing, bench).count() == 0
+    assert matched(odd.select("doc_id", "text"), bench).select(F.sum("n_words")).first()[0] > 30_000
