@@ -79,9 +79,9 @@ def shuffle_into_shards(
         "row", "shard", "grown_shard", "bucket", "first",
         F.xxhash64(F.lit(seed + 2), "row").alias("order"),
     )
-    bucketed = placed.repartition("shard", "bucket").sortWithinPartitions(
-        "shard", "bucket", "order"
-    )
+    usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucketed = placed.repartition(max(usual, shards * parts), "shard", "bucket")
+    bucketed = bucketed.sortWithinPartitions("shard", "bucket", "order")
     schema = placed.select("row", "shard", "grown_shard").schema.add("slot", "long")
     return bucketed.mapInArrow(_shuffled(seed), schema).select(
         "row.*", "shard", "slot", "grown_shard"

@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import external_shuffle, flow_mix, simhash, suffix_decontaminate, toxicity
+from ticksmith.llm import (
+    automaton_dedup,
+    external_shuffle,
+    flow_mix,
+    simhash,
+    suffix_decontaminate,
+    suffix_dedup,
+    toxicity,
+)
 
 SHARDS = 40
 WEIGHTS = [3.0, 1.0, 2.0]
@@ -46,6 +54,22 @@ def op3_suffix_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    done = suffix_dedup.remove_repeated_bytes(docs)
+    return done.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        _removed().alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def _removed():
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     labels = _table(spark, sf_dir, "labels", "doc_id", "toxic")
@@ -53,6 +77,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", "evidence")
 
 
+def op7_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    done = automaton_dedup.remove_repeated_words(docs)
+    return done.select(
+        "doc_id", "n_words", _removed().alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op8_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return shard_digest(external_shuffle.shuffle_into_shards(docs, SHARDS))
@@ -82,7 +114,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_flow_mix": op1_flow_mix,
     "op3_suffix_decontaminate": op3_suffix_decontaminate,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op6_toxicity": op6_toxicity,
+    "op7_automaton_dedup": op7_automaton_dedup,
     "op8_external_shuffle": op8_external_shuffle,
     "op9_simhash": op9_simhash,
 }

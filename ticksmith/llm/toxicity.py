@@ -107,31 +107,35 @@ def _document_counts(terms: np.ndarray):
 
 def fit(
     docs: DataFrame,
-    examples: DataFrame,
+    labels: DataFrame,
     max_examples: int = 16_000,
     max_terms: int = 512,
     least_chi2: float = 12.0,
     neighbours: int = 15,
     seed: int = 41,
 ) -> Model:
-    """A model of ``examples`` (``doc_id``, ``text``, ``toxic``); ``docs`` gives the ``text`` of
-    all documents for document frequencies.
+    """A model of the ``labels`` (``doc_id``, ``toxic`` 0 or 1, an id once) of ``docs``
+    (``doc_id``, ``text``).
 
-    At most ``max_examples`` examples are kept, those of smallest seeded hash. Terms are the
+    At most ``max_examples`` examples are kept, those whose ids have the smallest seeded hashes;
+    of several texts of an id the least. Terms are the
     ``max_terms`` whose presence depends most on the label (chi-square, ``least_chi2`` at
     least, in three examples or more); both numbers bound what comes to the driver and is
-    broadcast. Document frequencies count every document.
+    broadcast. Document frequencies count every row of ``docs``.
     """
     spark = docs.sparkSession
-    order = F.xxhash64(F.lit(seed), "doc_id", "text")
-    chosen = examples.where("toxic in (0, 1)").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
-        F.col("toxic").cast("int").alias("toxic"),
-    )
-    chosen = written(chosen.orderBy(order, "doc_id").limit(max_examples), "examples")
+    labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    there = named.select("doc_id").join(labels, "doc_id").distinct()
+    # Only ids are sorted; at most max_examples of them go to every executor.
+    chosen = there.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(max_examples)
+    chosen = named.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic"), F.coalesce(F.min("text"), F.lit("")).alias("text")
+    )
+    chosen = written(chosen, "examples")
     spread = chosen.repartition(max(1, min(64, max_examples // 500)), "doc_id")
-    labels = {r.toxic: r["count"] for r in chosen.groupBy("toxic").count().collect()}
-    yes, no = labels.get(1, 0), labels.get(0, 0)
+    counted = {r.toxic: r["count"] for r in chosen.groupBy("toxic").count().collect()}
+    yes, no = counted.get(1, 0), counted.get(0, 0)
     seen = spread.mapInArrow(_label_counts, "term long, yes long, no long")
     seen = seen.groupBy("term").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     there = F.col("yes") + F.col("no")
@@ -310,10 +314,9 @@ def scored(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     require(docs, "doc_id", "text")
     require(labels, "doc_id", "toxic")
     taught = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1))
-    taught = taught.groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
+    taught = taught.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     body = docs.select(F.col("doc_id"), F.col("text"))
-    examples = body.join(taught, body["doc_id"] == taught["id"]).select("doc_id", "text", "toxic")
-    model = fit(body, examples, **settings)
+    model = fit(body, taught, **settings)
     rest = [c for c in docs.columns if c.lower() not in {"held_out", "score", "predicted", "evidence"}]
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"),
