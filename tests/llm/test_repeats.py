@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,8 +135,8 @@ def test_a_long_text_is_cut_into_slices(spark, monkeypatch):
     part = "".join(draw.choice("abcdef") for _ in range(900))
     text = part + "".join(draw.choice("ghijkl") for _ in range(900)) + part[100:500]
     monkeypatch.setattr(repeats, "_SLICE", 64)
-    units = repeats.Units(*suffix_dedup._bytes(suffix_dedup.np.frombuffer(text.encode(), "u1"), suffix_dedup.np.array([0, len(text)])))
-    method = repeats.Method(30, 8, None, 1, None, 0)
+    units = suffix_dedup._bytes(np.frombuffer(text.encode(), "u1"), np.array([0, len(text)]))
+    method = repeats.Method(30, 8, None, None, None, 0)
     starts = []
     for _, start, count, _ in repeats._sliced(units, method):
         for s, n in zip(start.tolist(), count.tolist(), strict=True):

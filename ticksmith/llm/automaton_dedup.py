@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -87,8 +89,8 @@ class Automaton:
 
 
 def repeated_starts(payloads: list[bytes], many: list[bool], window: int) -> list[np.ndarray]:
-    """Starts, in each payload of 64-bit words, of windows that start elsewhere too."""
-    sequences = [np.frombuffer(p, dtype=np.uint64).tolist() for p in payloads]
+    """Starts, in each payload, of windows of words that start elsewhere too."""
+    sequences = [p.split() for p in payloads]
     shard = Automaton()
     for sequence, stands in zip(sequences, many, strict=True):
         shard.add(sequence, 2 if stands else 1)
@@ -101,7 +103,12 @@ def repeated_starts(payloads: list[bytes], many: list[bool], window: int) -> lis
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> Units:
     starts, ends, first = word_bounds(data, offsets, NOT_SPACE)
-    return Units(word_hashes(data, starts, ends), first)
+    return Units(word_hashes(data, starts, ends), first, starts, ends)
+
+
+def _windows(payload: bytes, window: int) -> Iterator[bytes]:
+    words = payload.split()
+    return (b" ".join(words[i : i + window]) for i in range(len(words) - window + 1))
 
 
 def _removal(window: int):
@@ -144,7 +151,6 @@ def remove_repeated_words(
     A corpus that is its own reference cannot send all its automata everywhere, so anchors (see
     ``repeats``) bring the contexts that can repeat together, a shard of them gets one suffix
     automaton, and the shard's contexts are streamed through it for their matching statistics.
-    Words are compared by 64-bit hashes.
 
     Null and empty texts have no words. Rows that repeat a text repeat all its windows. An empty
     table gives an empty result. Columns named as the results are replaced.
@@ -153,7 +159,7 @@ def remove_repeated_words(
     if not 0 < gram <= window or gram & (gram - 1):
         raise ValueError("gram must be a power of two, at most the window")
     rest = [c for c in docs.columns if c.lower() not in {"n_words", "spans", "kept"}]
-    method = Method(window, gram, _words, 8, repeated_starts, chunk_bytes)
+    method = Method(window, gram, _words, _windows, repeated_starts, chunk_bytes)
     found = with_repeats(docs.select(*[F.col(f"`{c}`") for c in rest]), text, identity, method, hot_contexts)
     done = found.select("row", _removal(window)("text", "found").alias("done"))
     return done.select("row.*", "done.n_words", "done.spans", "done.kept")

@@ -27,10 +27,13 @@ _PLACE = np.uint64((1 << _PLACE_BITS) - 1)
 
 
 class Units(NamedTuple):
-    """The units of some rows: one value for each, and each row's first."""
+    """The units of some rows: a value for each, each row's first, and where a unit begins and
+    ends in the bytes of the rows."""
 
     values: np.ndarray
     first: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
 
 
 class Method(NamedTuple):
@@ -39,7 +42,8 @@ class Method(NamedTuple):
     window: int
     gram: int
     units: Callable[[np.ndarray, np.ndarray], Units]
-    width: int  # bytes of a unit
+    #: The windows of a payload, the bytes of a context, in order.
+    windows: Callable[[bytes, int], Iterator[bytes]]
     #: Repeated starts of each of some payloads, given which of them stand for several places.
     repeated: Callable[[list[bytes], list[bool], int], list[np.ndarray]]
     chunk_bytes: int
@@ -47,7 +51,7 @@ class Method(NamedTuple):
 
 def contexts(units: Units, window: int, gram: int) -> tuple[np.ndarray, ...]:
     """Row, first start, number of starts and key of every context of some rows."""
-    values, first = units
+    values, first = units.values, units.first
     span = window - gram + 1
     sizes = np.diff(first)
     rows = np.flatnonzero(sizes >= window)
@@ -97,9 +101,11 @@ def _emit_contexts(method: Method):
 
 
 def _digests(units: Units, method: Method, row, start, starts) -> np.ndarray:
-    raw, digest = _bytes_of(units.values), xxhash.xxh3_64_intdigest
-    at = (start + units.first[row]) * method.width
-    to = at + (starts + method.window - 1) * method.width
+    """A hash of all units of every context."""
+    raw = memoryview(np.ascontiguousarray(units.values)).cast("B")
+    digest, width = xxhash.xxh3_64_intdigest, units.values.itemsize
+    at = (start + units.first[row]) * width
+    to = at + (starts + method.window - 1) * width
     values = (digest(raw[i:j]) for i, j in zip(at.tolist(), to.tolist(), strict=True))
     return np.fromiter(values, dtype=np.uint64, count=len(row))
 
@@ -111,33 +117,30 @@ def _sliced(units: Units, method: Method) -> Iterator[tuple[np.ndarray, ...]]:
         return
     for at in range(0, len(units.values) - method.window + 1, _SLICE):
         values = units.values[at : at + _SLICE + method.window - 1]
-        part = Units(values, np.array([0, len(values)]))
+        part = Units(values, np.array([0, len(values)]), values, values)
         row, start, starts, key = contexts(part, method.window, method.gram)
         yield row, start + at, starts, key
 
 
-def _bytes_of(values: np.ndarray) -> memoryview:
-    return memoryview(np.ascontiguousarray(values)).cast("B")
-
-
 def _cut_payloads(method: Method):
-    """The units of the contexts listed for each text."""
+    """The bytes of the contexts listed for each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column(1)
             data, offsets = texts(batch.column(0))
             for a, b in pieces(offsets, _PIECE):
-                units = method.units(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                raw, width = _bytes_of(units.values), method.width
-                part = wanted.slice(a, b - a)
-                flat = part.flatten()
-                sizes = part.value_lengths().to_numpy()
+                raw = data[offsets[a] : offsets[b]]
+                units = method.units(raw, offsets[a : b + 1] - offsets[a])
+                raw, part = memoryview(np.ascontiguousarray(raw)), wanted.slice(a, b - a)
+                flat, sizes = part.flatten(), part.value_lengths().to_numpy()
                 start, starts = (flat.field(n).to_numpy() for n in ("start", "starts"))
-                at = (start + np.repeat(units.first[:-1], sizes)) * width
-                to = at + (starts + method.window - 1) * width
+                at = start + np.repeat(units.first[:-1], sizes)
+                to = units.ends[at + starts + method.window - 2]
+                at = units.begins[at]
                 for i, j in _portions(to - at):
-                    payload = [bytes(raw[x:y]) for x, y in zip(at[i:j].tolist(), to[i:j].tolist(), strict=True)]
+                    ends = zip(at[i:j].tolist(), to[i:j].tolist(), strict=True)
+                    payload = [bytes(raw[x:y]) for x, y in ends]
                     yield pa.RecordBatch.from_arrays(
                         [*(flat.field(n).slice(i, j - i) for n in ("key", "body", "many")),
                          pa.array(payload, pa.binary())],
@@ -198,11 +201,9 @@ def _every_window(method: Method):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
-        width, size = method.width, method.window * method.width
         for batch in batches:
             for key, body, many, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                view = memoryview(payload)
-                hashes = [digest(view[i : i + size]) for i in range(0, len(view) - size + 1, width)]
+                hashes = [digest(w) for w in method.windows(payload, method.window)]
                 count = len(hashes)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([key] * count, pa.int64()), pa.array([body] * count, pa.int64()),
@@ -228,13 +229,14 @@ def with_repeats(docs: DataFrame, text: str, identity: str, method: Method, hot_
     and is summed map-side. Texts are shuffled by two hashes that name the row; rows equal in
     id and text share them, and count as several places.
     """
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    packed = docs.select(F.struct("*").alias("row"), body.alias("text"), *row_key(identity, text))
-    named = packed.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), "text")
-    schema = "k1 long, k2 long, start int, starts int, key long, body long"
+    packed = docs.select(F.struct("*").alias("row"), *row_key(identity, text))
+    body = F.col("row").getField(text).alias("text")
+    named = packed.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), body)
+    schema = "k1 long, k2 int, start int, starts int, key long, body long"
     seen = written(named.mapInArrow(_emit_contexts(method), schema), "contexts")
     shared = seen.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    seen = written(seen.join(shared, "key"), "shared")
+    # A table on either side lets a key of very many contexts be split in the join.
+    seen = written(seen.join(written(shared, "keys"), "key"), "shared")
     at = F.min(F.struct("k1", "k2", "start", "starts")).alias("at")
     distinct = seen.groupBy("key", "body").agg(at, (F.count("*") > 1).alias("many"))
     hot = distinct.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot_contexts)
@@ -270,7 +272,7 @@ def with_repeats(docs: DataFrame, text: str, identity: str, method: Method, hot_
         F.collect_list(F.struct("start", F.col("found").alias("runs"))).alias("found")
     )
     places = places.withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
-    return packed.join(places, ["_k1", "_k2"], "left").select("row", "text", "found")
+    return packed.join(places, ["_k1", "_k2"], "left").select("row", body, "found")
 
 
 def covered(found: list | None, window: int, size: int) -> list[tuple[int, int]]:
