@@ -1,0 +1,109 @@
+import random
+from collections import defaultdict
+
+import pytest
+import xxhash
+
+from ticksmith.llm.line_templates import drop_recurring_lines
+from ticksmith.llm.queries import QUERIES
+
+from . import brute
+from .conftest import SF
+
+
+def _kept(texts, min_docs, depth=3, similar=0.7, leaf_lines=4000):
+    """The same tree grown line by line in one process."""
+    lines = []  # document, number, tokens
+    for d, text in enumerate(texts):
+        for number, line in enumerate((text or "").encode().split(b"\n")):
+            tokens = tuple(b"<*>" if any(48 <= c < 58 for c in t) else t for t in line.split())
+            if tokens:
+                lines.append((d, number, tokens))
+    leaf = lambda t: (len(t), t[:depth])
+    deep = lambda t: (len(t), t[: 2 * depth])
+    rows = defaultdict(set)
+    for d, _, t in lines:
+        rows[leaf(t)].add(d)
+    lines = [x for x in lines if len(rows[leaf(x[2])]) >= min_docs]
+    distinct = {x[2] for x in lines}
+    sizes = defaultdict(int)
+    for t in distinct:
+        sizes[("leaf", leaf(t))] += 1
+        sizes[("deep", deep(t))] += 1
+    nodes = defaultdict(list)
+    for t in distinct:
+        if sizes[("leaf", leaf(t))] <= leaf_lines:
+            nodes[leaf(t)].append(t)
+        elif sizes[("deep", deep(t))] <= leaf_lines:
+            nodes[("deep", deep(t))].append(t)
+        else:
+            nodes[("exact", t)].append(t)
+    template = {}
+    for node, own in nodes.items():
+        order = lambda t: xxhash.xxh3_64_intdigest(b"%d " % len(t) + b" ".join(t))
+        known = []
+        for t in sorted(own, key=order):
+            same = [sum(a == b != b"<*>" for a, b in zip(t, k, strict=True)) for k in known]
+            best = max(range(len(known)), key=lambda i: (same[i], -i), default=None)
+            if best is not None and same[best] >= similar * len(t):
+                known[best] = [a if a == b else b"<*>" for a, b in zip(t, known[best], strict=True)]
+            else:
+                best = len(known)
+                known.append(list(t))
+            template[t] = (node, best)
+    found = defaultdict(set)
+    for d, _, t in lines:
+        found[template[t]].add(d)
+    gone = defaultdict(set)
+    for d, number, t in lines:
+        if len(found[template[t]]) >= min_docs:
+            gone[d].add(number)
+    out = []
+    for d, text in enumerate(texts):
+        own = text.split("\n") if text else []
+        out.append((len(own), len(gone[d]), None if text is None else "\n".join(x for i, x in enumerate(own) if i not in gone[d])))
+    return out
+
+
+def test_query_against_brute_force(spark, documents):
+    rows = {r.doc_id: r for r in QUERIES["op10_line_templates"](spark, SF).collect()}
+    docs = documents.collect()
+    dropped = 0
+    for d, (n, gone, kept) in zip(docs, _kept([d.text for d in docs], 10), strict=True):
+        r = rows[d.doc_id]
+        assert (r.n_lines, r.n_dropped, r.kept_sha256) == (n, gone, brute.sha(kept))
+        dropped += gone
+    assert dropped
+
+
+@pytest.mark.parametrize("leaf_lines", [4000, 6, 1])
+def test_log_lines(spark, leaf_lines):
+    draw = random.Random(6)
+    texts = []
+    for d in range(60):
+        own = [f"session {draw.randint(1, 999)} opened for user {draw.choice('abcdef')} from 10.0.0.{d}"]
+        own += [f"plain words of document {' '.join(draw.choice('klmnop') * 3 for _ in range(6))}" for _ in range(3)]
+        own += ["", "  ", "Cookies help us to serve you"]
+        draw.shuffle(own)
+        texts.append("\n".join(own))
+    texts += [texts[0], None, "", "\n\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = drop_recurring_lines(docs, min_docs=8, leaf_lines=leaf_lines).collect()
+    found = {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in found}
+    assert [found[d] for d in range(len(texts))] == _kept(texts, 8, leaf_lines=leaf_lines)
+    assert all("Cookies" not in (kept or "") for _, _, kept in found.values())
+    if leaf_lines == 4000:
+        assert all("opened" not in (kept or "") for _, _, kept in found.values())
+        assert "plain" in found[0][2]
+
+
+def test_odd_rows(odd, nothing):
+    rows = drop_recurring_lines(odd, min_docs=3).collect()
+    assert len(rows) == odd.count()
+    by_id = {r.doc_id: r for r in rows}
+    assert by_id[1].kept is None
+    assert by_id[2].kept == ""
+    # Two rows of id 6 and one of id 4 have the line, written alike.
+    assert [by_id[i].kept for i in (4, 6)] == ["", ""]
+    assert by_id[8].n_dropped == 0
+    assert drop_recurring_lines(nothing).count() == 0

@@ -1,0 +1,48 @@
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+from ticksmith.llm import simhash, suffix_decontaminate, toxicity
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_keep_columns_and_take_effect(spark, documents):
+    kept, docs = [documents.count()], documents
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs
+        docs = corpus_pipeline.written(stage(spark, docs, SF), name)
+        assert docs.schema.names == documents.schema.names
+        kept.append(docs.count())
+        assert docs.select("doc_id", "text").subtract(before.select("doc_id", "text")).count() == 0
+        if name != "mixing":
+            assert kept[-1] < kept[-2]
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    rows = last.collect()
+    assert len(rows) == kept[-1]
+    for shard in {r.shard for r in rows}:
+        own = sorted(r.slot for r in rows if r.shard == shard)
+        assert own == list(range(len(own)))
+    whole = corpus_pipeline.run(spark, SF)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, rows))
+
+
+def test_stages_against_their_operators(spark, documents):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    toxic = toxicity.scored(documents, labels).where("predicted = 1").select("doc_id")
+    clean = corpus_pipeline.drop_toxic(spark, documents, SF)
+    assert clean.select("doc_id").intersect(toxic).count() == 0
+    assert clean.count() + toxic.count() == documents.count()
+    groups = simhash.near_duplicates(documents)
+    alone = corpus_pipeline.drop_near_copies(spark, documents, SF)
+    assert alone.count() == groups.select("component_id").distinct().count()
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    found = suffix_decontaminate.matched(documents, bench)
+    good = found.where(~suffix_decontaminate.contaminated(F.col("n_hit"), F.col("n_words")))
+    assert corpus_pipeline.drop_contaminated(spark, documents, SF).count() == good.count()
+
+
+def test_odd_documents_pass_through(spark, odd, nothing):
+    for docs in (odd, nothing):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = corpus_pipeline.written(stage(spark, docs, SF), name)
+            docs.count()

@@ -11,10 +11,13 @@ from ticksmith.llm import (
     automaton_dedup,
     external_shuffle,
     flow_mix,
+    line_templates,
+    scaled_sketch,
     simhash,
     suffix_decontaminate,
     suffix_dedup,
     toxicity,
+    warc,
 )
 
 SHARDS = 40
@@ -37,6 +40,13 @@ def op1_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return warc.archive_and_read(spark, pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op3_suffix_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     benchmark = _table(spark, sf_dir, "benchmark", "item_id", "text")
@@ -70,6 +80,19 @@ def _removed():
     return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
 
 
+def op5_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return scaled_sketch.compared(docs).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        scaled_sketch.as_string(F.col("sketch")).alias("fingerprint"),
+        scaled_sketch.as_string(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     labels = _table(spark, sf_dir, "labels", "doc_id", "toxic")
@@ -90,6 +113,12 @@ def op8_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(external_shuffle.shuffle_into_shards(docs, SHARDS))
 
 
+def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    done = line_templates.drop_recurring_lines(docs)
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def shard_digest(sharded: DataFrame) -> DataFrame:
     body = F.coalesce("text", F.lit(""))
     return sharded.select(
@@ -113,12 +142,15 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_flow_mix": op1_flow_mix,
+    "op2_warc": op2_warc,
     "op3_suffix_decontaminate": op3_suffix_decontaminate,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_scaled_sketch": op5_scaled_sketch,
     "op6_toxicity": op6_toxicity,
     "op7_automaton_dedup": op7_automaton_dedup,
     "op8_external_shuffle": op8_external_shuffle,
     "op9_simhash": op9_simhash,
+    "op10_line_templates": op10_line_templates,
 }
 
 ORACLES: dict[str, str] = {}
