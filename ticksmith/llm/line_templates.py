@@ -216,7 +216,8 @@ def drop_recurring_lines(
     listed = lines.where("node is not null").groupBy("at.k1", "at.k2").agg(
         F.collect_list(F.struct("node", "exact", "at.line")).alias("wanted")
     )
-    cut = named.join(listed, ["k1", "k2"]).select("text", "wanted")
+    # Lists and texts both grow with the corpus, so neither is ever sent to every executor.
+    cut = named.join(listed.hint("merge"), ["k1", "k2"]).select("text", "wanted")
     grown = cut.mapInArrow(_cut_lines, "node long, exact long, line binary").repartition("node")
     grown = grown.sortWithinPartitions("node", "exact").mapInArrow(
         _grow_leaves(similar), "exact long, node long, template long"
@@ -232,7 +233,7 @@ def drop_recurring_lines(
         F.collect_set("line").alias("dropped")
     )
     dropped = dropped.withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
-    joined = packed.join(dropped, ["_k1", "_k2"], "left")
+    joined = packed.join(dropped.hint("merge"), ["_k1", "_k2"], "left")
     done = joined.select(
         "row",
         F.arrow_udf(_removal, "struct<n_lines: bigint, n_dropped: bigint, kept: string>")(
