@@ -19,6 +19,9 @@ from ticksmith.llm import (
     toxicity,
     warc,
 )
+from ticksmith.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 SHARDS = 40
 WEIGHTS = [3.0, 1.0, 2.0]
@@ -59,8 +62,6 @@ def op3_suffix_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
         suffix_decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
-        "longest",
-        "spans",
     )
 
 
@@ -152,5 +153,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_line_templates": op10_line_templates,
 }
-
-ORACLES: dict[str, str] = {}
