@@ -139,14 +139,30 @@ def test_position_in_the_message_decides_between_trades_of_one_message(spark):
     assert candles_as_dict(batch_candles(df, "id")) == {("A", START): (1.0, 1.0, 1.0, 1.0, 1.0)}
 
 
-@pytest.mark.parametrize("message_id", [2**60, -1, None])
-def test_a_message_id_that_cannot_be_packed_fails_loudly(spark, message_id):
-    value = bytearray('{"data":[{"p":1,"s":"A","t":1,"v":1}]}', "utf-8")
-    df = spark.createDataFrame([(message_id, value)], "id bigint, value binary")
-    with pytest.raises(Exception, match="too large"):
+def _one_trade(price):
+    return bytearray(f'{{"data":[{{"p":{price},"s":"A","t":1,"v":1}}]}}', "utf-8")
+
+
+def test_ids_over_the_whole_range_order_arrival(spark):
+    ids = [2**63 - 1, 2**62, 10**15, 0, -1, -(2**63)]
+    for first in range(len(ids)):
+        rows = [(i, _one_trade(n + 1)) for n, i in enumerate(ids[first:])]
+        df = spark.createDataFrame(rows, "id bigint, value binary")
+        assert batch_candles(df.limit(first + 6), "id").first()["open"] == len(rows)
+
+
+def test_a_null_message_id_fails_loudly(spark):
+    df = spark.createDataFrame([(None, _one_trade(1))], "id bigint, value binary")
+    with pytest.raises(Exception, match="NULL"):
         batch_candles(df, "id").collect()
 
 
+def test_several_columns_order_arrival_where_one_repeats(spark):
+    rows = [(7, part, _one_trade(part + 1)) for part in (3, 1, 2, 4)]
+    df = spark.createDataFrame(rows, "offset bigint, partition int, value binary").repartition(4)
+    assert batch_candles(df, ["offset", "partition"]).first()["open"] == 2.0
+
+
 def test_batch_plan_is_two_hash_aggregations_over_pruned_columns(spark, tmp_path):
     stored = str(tmp_path / "messages")
     trades = trade_rows(spark, random_trades(8, 100)).withColumn("conditions", F.array(F.lit(1)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -75,7 +76,7 @@ def _first_per_key_stream(
 def _first_in_batch() -> Callable[..., Column]:
     # An inner function travels to the executors by value: they need not have this package.
     def first_rows(symbol: pa.Array, timestamp: pa.Array, good: pa.Array) -> pa.Array:
-        row = pa.array(range(len(symbol)), pa.int64())
+        row = pa.array(np.arange(len(symbol)))
         keys = pa.table([symbol, timestamp, good, row], ["symbol", "timestamp", "good", "row"])
         groups = keys.group_by(["symbol", "timestamp", "good"], use_threads=False)
         return pc.is_in(row, groups.aggregate([("row", "min")])["row_min"].combine_chunks())
@@ -96,7 +97,9 @@ def _first_per_key_batch(trades: DataFrame, arrival: str | Sequence[str] | None)
 
 
 def _arrival_order(trades: DataFrame, arrival: list[str]) -> Column:
-    """A never-NULL sort key (min_by skips NULLs), a plain bigint where possible."""
+    """A never-NULL sort key (min_by skips NULLs), a plain number where possible."""
     if len(arrival) == 1 and isinstance(trades.schema[arrival[0]].dataType, T.IntegralType):
         return F.coalesce(F.col(arrival[0]).cast("bigint"), F.lit(_MIN_LONG))
+    if len(arrival) == 1 and isinstance(trades.schema[arrival[0]].dataType, T.DecimalType):
+        return F.coalesce(F.col(arrival[0]), F.lit(_MIN_LONG).cast("decimal(38,0)"))
     return F.struct(*arrival)

@@ -2,29 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticksmith.operators import add_event_time, candles, clean_trades, parse_trades
 
-_POSITION_BITS = 20
-
 
 def batch_candles(
     messages: DataFrame,
-    message_id: str,
+    message_id: str | Sequence[str],
     width: str = "1 minute",
     mode: str = "dedup_first",
     precision: str = "s",
 ) -> DataFrame:
-    """All candles of a batch of messages; ``message_id`` (integer) orders their arrival.
+    """All candles of a batch of messages; ``message_id`` orders their arrival.
+
+    One integer column, any bigint but NULL, keeps the plan free of sorts. Where one column
+    repeats, as offsets do across partitions, name several that together do not.
 
     Cleaning needs no time column, so it runs before one is added and its shuffle carries
     symbol, timestamp, price, volume and arrival only.
     """
-    trades = parse_trades(messages, carry=[message_id], position="_position")
-    trades = trades.withColumn("_arrival", _arrival(F.col(message_id), F.col("_position")))
-    clean = clean_trades(trades.drop(message_id, "_position"), mode, arrival="_arrival")
+    ids = [message_id] if isinstance(message_id, str) else list(message_id)
+    trades = parse_trades(messages, carry=ids, position="_position")
+    if len(ids) == 1:
+        arrival = _arrival(F.col(ids[0]), F.col("_position"))
+    else:
+        arrival = F.struct(*ids, "_position")
+    trades = trades.withColumn("_arrival", arrival).drop(*ids, "_position")
+    clean = clean_trades(trades, mode, arrival="_arrival")
     return candles(add_event_time(clean, precision), width)
 
 
@@ -49,13 +57,9 @@ def chained_candles(
 
 
 def _arrival(message_id: Column, position: Column) -> Column:
-    """Message and place in it as one bigint, which the dedup can hash-aggregate by."""
-    fits = (
-        (message_id >= 0)
-        & (message_id < 2 ** (63 - _POSITION_BITS))
-        & (position < 2**_POSITION_BITS)
-    )
-    packed = F.shiftleft(message_id.cast("bigint"), _POSITION_BITS) + position
-    return F.when(fits, packed).otherwise(
-        F.raise_error(F.lit("message id or trade position too large, or id NULL"))
+    """Any bigint id and int position as one number, which the dedup can hash-aggregate by."""
+    wide = message_id.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")
+    packed = wide * F.lit(2**31).cast("decimal(11,0)") + position.cast("decimal(11,0)")
+    return F.when(message_id.isNotNull(), packed.cast("decimal(38,0)")).otherwise(
+        F.raise_error(F.lit("a message id is NULL"))
     )

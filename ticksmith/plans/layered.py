@@ -24,6 +24,7 @@ class Stage:
     target: str
     step: Callable[[DataFrame, PipelineConfig], DataFrame]
     merge_schema: bool = True
+    watermarked: Callable[[PipelineConfig], bool] = lambda cfg: False
 
 
 def _ingest(messages: DataFrame, cfg: PipelineConfig) -> DataFrame:
@@ -49,8 +50,10 @@ def _ohlcv(trades: DataFrame, cfg: PipelineConfig) -> DataFrame:
 STAGES = {
     "ingest": Stage(None, "bronze", _ingest),
     "transform": Stage("bronze", "transformed", _transform),
-    "clean": Stage("transformed", "silver", _clean),
-    "ohlcv": Stage("silver", "gold", _ohlcv, merge_schema=False),
+    "clean": Stage(
+        "transformed", "silver", _clean, watermarked=lambda cfg: cfg.dedup_within is not None
+    ),
+    "ohlcv": Stage("silver", "gold", _ohlcv, merge_schema=False, watermarked=lambda cfg: True),
 }
 
 
@@ -60,7 +63,7 @@ def run_stage(spark: SparkSession, cfg: PipelineConfig, name: str) -> StreamingQ
     if stage.source is None:
         rows = read_messages(spark, cfg.source_format, cfg.source_options)
     else:
-        rows = read_layer(spark, cfg, stage.source)
+        rows = read_layer(spark, cfg, stage.source, whole=stage.watermarked(cfg))
     result = stage.step(rows, cfg)
     if cfg.partition_by_date:
         day = F.to_date(_moment(stage.target))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -18,23 +19,45 @@ def read_layer(
     layer: str,
     streaming: bool = True,
     schema: T.StructType | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """Rows of a layer, all present ones first and then, in a stream, the new ones.
 
-    Folders are read with the declared schema by column name: a column added later is
-    NULL in older files, and no footer has to be read to find the schema. Pass ``schema``
-    for a layer that has grown beyond its declared columns. In a date-partitioned layout
-    the ``trade_date`` column comes last; filter on it to read only those days.
+    Folders are read by column name with the declared columns and those that files have
+    beside them: a column added later is NULL in older files. The files' footers are merged
+    once for that; pass ``schema`` to read none. In a date-partitioned layout the
+    ``trade_date`` column comes last; filter on it to read only those days.
+
+    ``whole`` takes up everything there is in one micro-batch, whatever the trigger size.
+    Stages with a watermark need it: the files of a layer are not in time order, so a
+    watermark that moves between them would drop the rows of all but the first.
     """
     reader = spark.readStream if streaming else spark.read
     target = cfg.target(layer)
-    if streaming and cfg.max_files_per_trigger is not None:
+    if streaming and whole:
+        if cfg.fmt == "delta":  # has a limit of its own
+            reader = reader.option("maxFilesPerTrigger", str(2**31 - 1))
+    elif streaming and cfg.max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", str(cfg.max_files_per_trigger))
     if cfg.catalog is not None:
         return reader.table(target)
     if cfg.fmt != "delta":
-        columns = schema or SCHEMAS[layer]
+        columns = schema or _grown(spark, cfg, layer)
         if cfg.partition_by_date:
             columns = T.StructType([*columns.fields, T.StructField(DATE_COLUMN, T.DateType())])
         reader = reader.schema(columns)
     return reader.format(cfg.fmt).load(target)
+
+
+def _grown(spark: SparkSession, cfg: PipelineConfig, layer: str) -> T.StructType:
+    """The declared columns and those that stored files have beside them."""
+    declared = SCHEMAS[layer]
+    try:
+        merged = spark.read.option("mergeSchema", "true").format(cfg.fmt).load(cfg.target(layer))
+        stored = merged.schema
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return declared
+    known = {*declared.names, DATE_COLUMN}
+    return T.StructType([*declared.fields, *(f for f in stored.fields if f.name not in known)])

@@ -12,14 +12,14 @@ _REPORT = (
 
 
 def progress_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per recent micro-batch: rows read, held in state, written to it, evicted from
-    it, dropped as late.
+    """One row per micro-batch: rows read, held in state, written to it, evicted from it,
+    dropped as late.
 
     ``state_rows`` is 0 for a RocksDB state unless the query started with counting on.
 
-    Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates`` batches, so the
-    report stays small however long the query ran. Late rows are counted as Spark does:
-    after map-side aggregation.
+    Complete for the queries of this library, which run under ``every_progress``; others keep
+    their last ``spark.sql.streaming.numRecentProgressUpdates`` batches. Late rows are
+    counted as Spark does: after map-side aggregation, so late groups rather than rows.
     """
     rows = []
     for progress in query.recentProgress:

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 _ROCKSDB = "spark.sql.streaming.stateStore.rocksdb"
+_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
 
 # Provider classes by short name.
 _PROVIDERS = {
@@ -26,12 +27,10 @@ def state_settings(
     """Start queries inside this block; the former settings come back after it.
 
     ``partitions`` is the number of state partitions and is fixed by a checkpoint's first
-    run, so size it for the state to come; by default the session's shuffle partitions, in
-    local mode one per core. ``rocksdb`` keeps the state off the heap and uploads changes
-    only; counting the rows in it costs a lookup per write, about a fifth of a dedup's time.
+    run, so size it for the state to come; by default the session's shuffle partitions.
+    ``rocksdb`` keeps the state off the heap and uploads changes only; counting the rows in
+    it costs a lookup per write, about a fifth of a dedup's time.
     """
-    if partitions is None and spark.sparkContext.master.startswith("local"):
-        partitions = spark.sparkContext.defaultParallelism
     wanted = {f"{_ROCKSDB}.trackTotalNumberOfRows": str(count_rows).lower()}
     if partitions is not None:
         wanted["spark.sql.shuffle.partitions"] = str(partitions)
@@ -39,6 +38,20 @@ def state_settings(
         wanted["spark.sql.streaming.stateStore.providerClass"] = _PROVIDERS[provider]
         wanted[f"{_ROCKSDB}.changelogCheckpointing.enabled"] = "true"
 
+    with _set_for_a_while(spark, wanted):
+        yield
+
+
+@contextmanager
+def every_progress(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside this block keep the progress of all their batches, some
+    kilobytes each, and not of the last hundred alone."""
+    with _set_for_a_while(spark, {_PROGRESS: str(2**31 - 1)}):
+        yield
+
+
+@contextmanager
+def _set_for_a_while(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
     former = {name: spark.conf.get(name, None) for name in wanted}
     try:
         for name, value in wanted.items():

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ticksmith.streaming.settings import state_settings
+from ticksmith.streaming.settings import every_progress, state_settings
 
 
 def append_available_now(
@@ -36,6 +37,9 @@ def append_available_now(
             *partition_by
         ).save(target)
 
+    elif merge_schema and fmt != "delta":
+        _add_columns(spark, target, df)
+
     writer = (
         df.writeStream.format(fmt)
         .option("checkpointLocation", checkpoint)
@@ -46,9 +50,10 @@ def append_available_now(
         writer = writer.option("mergeSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with state_settings(spark, state_partitions, state_provider, count_state_rows):
-        query = writer.toTable(target) if as_table else writer.start(target)
-    return _drained(query, timeout_seconds)
+    with every_progress(spark):
+        with state_settings(spark, state_partitions, state_provider, count_state_rows):
+            query = writer.toTable(target) if as_table else writer.start(target)
+        return _drained(query, timeout_seconds)
 
 
 def write_messages(
@@ -68,15 +73,26 @@ def write_messages(
         return None
     if checkpoint is None:
         raise ValueError("a stream of messages needs a checkpoint")
-    query = (
+    writer = (
         sent.writeStream.format(fmt)
         .options(**(options or {}))
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
-    return _drained(query, timeout_seconds)
+    with every_progress(sent.sparkSession):
+        return _drained(writer.start(), timeout_seconds)
+
+
+def _add_columns(spark: SparkSession, table: str, df: DataFrame) -> None:
+    """Columns that the table lacks, at its end; files written before hold NULL in them."""
+    if not spark.catalog.tableExists(table):
+        return
+    known = {name.lower() for name in spark.table(table).columns}
+    new = [f for f in df.schema.fields if f.name.lower() not in known]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
 
 
 def _folder(spark: SparkSession, target: str, as_table: bool) -> str | None:
@@ -103,8 +119,12 @@ def _refuse_lost_checkpoint(spark: SparkSession, folder: str | None, checkpoint:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    try:
+        return bool(spark.read.format("binaryFile").load(path).columns)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
 
 
 def _drained(query: StreamingQuery, timeout_seconds: int | None) -> StreamingQuery:

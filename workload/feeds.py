@@ -31,11 +31,11 @@ def trades(event_rows: DataFrame, copies: bool = True) -> DataFrame:
     numbers = F.array(F.lit(0).cast("bigint"))
     if copies:
         both = F.array(F.lit(0).cast("bigint"), F.lit(1).cast("bigint"))
-        numbers = F.when(event_id % 97 == 0, both).otherwise(numbers)
+        numbers = F.when((event_id % 97 == 0) | (event_id % 89 == 0), both).otherwise(numbers)
     return event_rows.withColumn("copy", F.explode(numbers)).select(
         (event_id + F.col("copy") * COPY_OFFSET).alias("arrival"),
         F.array((F.col("user_id") % 50).cast("int")).alias("conditions"),
-        (_signed_value() + F.col("copy")).alias("price"),
+        (_signed_value(F.col("copy")) + F.col("copy")).alias("price"),
         _symbol().alias("symbol"),
         _millis(F.col("ts")).alias("timestamp"),
         F.get_json_object("props", "$.k").try_cast("double").alias("volume"),
@@ -116,8 +116,12 @@ def _symbol() -> Column:
     return F.when(F.col("event_id") % 101 != 0, F.col("event_type"))
 
 
-def _signed_value() -> Column:
-    return F.when(F.col("event_id") % 89 == 0, -F.col("value")).otherwise(F.col("value"))
+def _signed_value(copy: Column) -> Column:
+    """Some originals are bad and their copies good, and the reverse."""
+    bad = ((copy == 0) & (F.col("event_id") % 89 == 0)) | (
+        (copy == 1) & (F.col("event_id") % 291 == 0)
+    )
+    return F.when(bad, -F.col("value")).otherwise(F.col("value"))
 
 
 def _text(kind: int, present: Column, text: Column) -> Column:

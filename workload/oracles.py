@@ -7,12 +7,13 @@ _FEED = """
 feed AS (
   SELECT e.event_id + c.n * 1000000000 AS arrival,
          CAST(e.user_id % 50 AS VARCHAR) AS conditions,
-         (CASE WHEN e.event_id % 89 = 0 THEN -e.value ELSE e.value END) + c.n AS price,
+         (CASE WHEN (c.n = 0 AND e.event_id % 89 = 0) OR (c.n = 1 AND e.event_id % 291 = 0)
+               THEN -e.value ELSE e.value END) + c.n AS price,
          CASE WHEN e.event_id % 101 <> 0 THEN e.event_type END AS symbol,
          epoch_us(e.ts) // 1000 AS timestamp,
          CAST(json_extract_string(e.props, '$.k') AS DOUBLE) AS volume
   FROM events e, (VALUES (0), (1)) c(n)
-  WHERE c.n = 0 OR e.event_id % 97 = 0
+  WHERE c.n = 0 OR e.event_id % 97 = 0 OR e.event_id % 89 = 0
 )"""
 
 # Feed M: one to three fills per trade.
@@ -154,7 +155,14 @@ FROM ({_candles("clean", _trunc("hour"))})""",
     "stream_late_drop": f"WITH {_LATE} {_closed('seen', 'hour', '2 minute')}",
     "stream_incremental": f"WITH {_FEED_CLEAN} {_closed('clean', 'hour', '2 minute')}",
     "stream_clean": f"WITH {_FEED_CLEAN} SELECT {_TIMED_COLUMNS} FROM clean",
-    "stream_clean_bounded": f"WITH {_FEED_CLEAN} SELECT {_TIMED_COLUMNS} FROM clean",
+    "stream_clean_bounded": f"""
+WITH {_FEED},
+mark AS (
+  SELECT max({_TIME}) - INTERVAL 2 day AS at FROM feed
+  WHERE arrival < 1000000000 AND symbol IS NOT NULL AND price > 0
+),
+timely AS (SELECT feed.* FROM feed, mark WHERE arrival < 1000000000 OR {_TIME} > mark.at),
+{_clean("timely", "arrival", "filter_first")} SELECT {_TIMED_COLUMNS} FROM clean""",
     "stream_clean_uncollapsed": f"WITH {_FEED_CLEAN} SELECT {_TIMED_COLUMNS} FROM clean",
     "stream_clean_filter_first": f"""
 WITH {_FEED},{_clean("feed", "arrival", "filter_first")} SELECT {_TIMED_COLUMNS} FROM clean""",
@@ -164,9 +172,20 @@ WITH {_FEED},{_clean("feed", "arrival", "filter_first")} SELECT {_TIMED_COLUMNS}
     "layered_transformed": f"WITH {_FEED},{_FILLS} SELECT {_TIMED_COLUMNS} FROM fills",
     "layered_silver": f"WITH {_FILLS_CLEAN} SELECT {_TIMED_COLUMNS} FROM clean",
     "layered_gold": f"WITH {_FILLS_CLEAN} {_closed('clean', 'minute', '2 minute')}",
+    "layered_gold_small_triggers": f"WITH {_FILLS_CLEAN} {_closed('clean', 'minute', '2 minute')}",
+    "candles_many_splits": f"""
+WITH {_FEED},{_FILLS},
+placed AS (
+  SELECT *, (message_id % 1500) * 8589934592 + message_id
+            + CASE WHEN copied THEN 4611686018427387904 ELSE -2305843009213693952 END AS place
+  FROM fills
+),{_clean("placed", "place, position")}
+{_candles("clean", _trunc("hour"))}""",
     "schema_evolution": f"""
-WITH {_FEED},{_FILLS}
-SELECT {_STORED_COLUMNS}, CASE WHEN copied THEN 'venue-' || symbol END AS venue FROM fills""",
+WITH {_FILLS_CLEAN}
+SELECT {_TIMED_COLUMNS}, CASE WHEN copied THEN 'venue-' || symbol END AS venue FROM clean""",
+    "progress_many_batches": f"""
+WITH {_FEED} SELECT count(*) AS input_rows, TRUE AS many_batches FROM feed""",
     "progress": f"""
 WITH {_FEED},
 keys AS (SELECT DISTINCT symbol, timestamp FROM feed WHERE symbol IS NOT NULL)

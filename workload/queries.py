@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ticksmith import (
     PipelineConfig,
@@ -190,17 +189,24 @@ def chained(within: str | None) -> Query:
     return query
 
 
-def layered(layer: str, stages: list[str]) -> Query:
-    """The stored layer after two runs of the stages up to it: originals, then copies."""
+def layered(layer: str, stages: list[str], files: int | None = None, **settings: object) -> Query:
+    """The stored layer after two runs of the stages up to it: originals, then copies.
+
+    ``files`` writes each wave of messages as so many files.
+    """
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = run_folder(spark)
         topic = {"path": f"{folder}/topic"}
-        cfg = PipelineConfig(folder, source_format="parquet", source_options=topic)
+        cfg = PipelineConfig(
+            folder, source_format="parquet", source_options=topic,
+            state_partitions=_state_partitions(spark), **settings,
+        )
         feed = feeds.trades(feeds.events(spark, sf_dir))
         copied = F.col("arrival") >= feeds.COPY_OFFSET
         for wave in (feed.where(~copied), feed.where(copied)):
-            write_messages(feeds.messages(wave), "parquet", topic)
+            sent = feeds.messages(wave)
+            write_messages(sent.repartition(files) if files else sent, "parquet", topic)
             run(spark, cfg, stages)
         return _conditions_as_text(read_layer(spark, cfg, layer, streaming=False))
 
@@ -208,7 +214,8 @@ def layered(layer: str, stages: list[str]) -> Query:
 
 
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A layer whose second run adds a column; the rows of the first hold NULL in it."""
+    """Bronze gets a column in its second run, and the stages behind it carry it on; the rows
+    of the first run hold NULL in it."""
     cfg = _config(spark)
     topic = {"path": f"{cfg.root}/topic"}
     feed = _trades(spark, sf_dir)
@@ -217,13 +224,14 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_messages(feeds.messages(feed.where(~copied)), "parquet", topic)
     plain = parse_trades(read_messages(spark, "parquet", topic))
     _append(plain, cfg, "bronze", "ingest", merge_schema=True)
+    run(spark, cfg, ["transform", "clean"])
 
     write_messages(feeds.messages(feed.where(copied)), "parquet", topic)
     widened = plain.withColumn("venue", F.concat(F.lit("venue-"), F.col("symbol")))
     _append(widened, cfg, "bronze", "ingest", merge_schema=True)
 
-    grown = T.StructType([*BRONZE.fields, T.StructField("venue", T.StringType())])
-    return _conditions_as_text(read_layer(spark, cfg, "bronze", streaming=False, schema=grown))
+    run(spark, cfg, ["transform", "clean"])
+    return _conditions_as_text(read_layer(spark, cfg, "silver", streaming=False))
 
 
 def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,6 +248,26 @@ def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def progress_many_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read over far more micro-batches than Spark keeps by itself."""
+    cfg = _config(spark, max_files_per_trigger=1)
+    _trades(spark, sf_dir).select(*BRONZE.names).repartition(120).write.parquet(cfg.target("bronze"))
+    query = run_stage(spark, cfg, "transform")
+    found = progress_report(spark, query).where("input_rows > 0")
+    return found.agg(
+        F.sum("input_rows").alias("input_rows"), (F.count("*") > 100).alias("many_batches")
+    )
+
+
+def candles_many_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly candles of messages whose ids carry a split's number above their 33rd bit, as
+    those of more than a thousand splits do; copies keep arriving after originals."""
+    wide = (F.col("message_id") % 1500) * F.lit(2**33) + F.col("message_id")
+    late = F.when(F.col("message_id") >= 10 * feeds.COPY_OFFSET, F.lit(2**62)).otherwise(-(2**61))
+    rows = _messages(spark, sf_dir).withColumn("message_id", late + wide)
+    return batch_candles(rows, "message_id", "1 hour")
+
+
 QUERIES: dict[str, Query] = {
     "route_trade_messages": route_trade_messages,
     "parse_trades": parse,
@@ -261,7 +289,7 @@ QUERIES: dict[str, Query] = {
     "stream_late_drop": stream_late_drop,
     "stream_incremental": stream_incremental,
     "stream_clean": stream_clean(),
-    "stream_clean_bounded": stream_clean(dedup_within="40 days"),
+    "stream_clean_bounded": stream_clean(dedup_within="2 days", clean_mode="filter_first"),
     "stream_clean_uncollapsed": stream_clean(collapse_copies=False),
     "stream_clean_filter_first": stream_clean(clean_mode="filter_first"),
     "chained_candles": chained("10 minutes"),
@@ -270,8 +298,13 @@ QUERIES: dict[str, Query] = {
     "layered_transformed": layered("transformed", ["ingest", "transform"]),
     "layered_silver": layered("silver", ["ingest", "transform", "clean"]),
     "layered_gold": layered("gold", ["ingest", "transform", "clean", "ohlcv"]),
+    "layered_gold_small_triggers": layered(
+        "gold", ["ingest", "transform", "clean", "ohlcv"], files=4, max_files_per_trigger=1
+    ),
+    "candles_many_splits": candles_many_splits,
     "schema_evolution": schema_evolution,
     "progress": progress,
+    "progress_many_batches": progress_many_batches,
 }
 
 
@@ -287,15 +320,22 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _config(spark: SparkSession, **settings: object) -> PipelineConfig:
+    settings = {"state_partitions": _state_partitions(spark), **settings}
     return PipelineConfig(run_folder(spark), **settings)
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    """One per core of the machine that tests and benches run on."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _store(rows: DataFrame, cfg: PipelineConfig, layer: str) -> None:
     """Add files to a layer folder from outside, for a stage to pick up."""
     rows.select(*SILVER.names).write.mode("append").parquet(cfg.target(layer))
 
 
 def _append(rows: DataFrame, cfg: PipelineConfig, layer: str, stage: str, **options: object):
+    options = {"state_partitions": cfg.state_partitions, **options}
     return append_available_now(rows, cfg.target(layer), cfg.checkpoint(stage), cfg.fmt, **options)
 
 
