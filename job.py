@@ -2,9 +2,19 @@
 
     spark-submit job.py --stages ingest transform --env dev --space feature \
         --base-path s3a://bucket/trades --source-option subscribe=trades ...
+
+``--config`` names a JSON file with any fields of ``PipelineConfig``; options given here win over
+it. Secrets belong there, or in a variable named by ``--source-option-env NAME=VARIABLE``, since
+arguments can be read in every process list.
 """
 
+from __future__ import annotations
+
 import argparse
+import json
+import os
+from dataclasses import fields
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -12,28 +22,51 @@ from ticksmith import STAGES, PipelineConfig, run
 from ticksmith.config import ENVIRONMENTS, SPACES
 
 
-def main() -> None:
+def settings(arguments: list[str] | None = None) -> tuple[PipelineConfig, list[str]]:
+    """The configuration and stages that the arguments ask for."""
     parser = argparse.ArgumentParser()
     parser.add_argument("--stages", nargs="+", choices=list(STAGES), default=list(STAGES))
-    parser.add_argument("--env", choices=ENVIRONMENTS, required=True)
-    parser.add_argument("--space", choices=SPACES, required=True)
-    parser.add_argument("--base-path", required=True)
-    parser.add_argument("--format", default="parquet")
+    parser.add_argument("--config", metavar="FILE")
+    parser.add_argument("--env", choices=ENVIRONMENTS)
+    parser.add_argument("--space", choices=SPACES)
+    parser.add_argument("--base-path")
+    parser.add_argument("--format", dest="fmt")
     parser.add_argument("--catalog")
-    parser.add_argument("--source-format", default="kafka")
+    parser.add_argument("--source-format")
     parser.add_argument("--source-option", action="append", default=[], metavar="NAME=VALUE")
-    args = parser.parse_args()
-
-    cfg = PipelineConfig(
-        base_path=args.base_path,
-        env=args.env,
-        space=args.space,
-        fmt=args.format,
-        catalog=args.catalog,
-        source_format=args.source_format,
-        source_options=dict(option.split("=", 1) for option in args.source_option),
-    )
-    run(SparkSession.builder.getOrCreate(), cfg, args.stages)
+    parser.add_argument("--source-option-env", action="append", default=[], metavar="NAME=VARIABLE")
+    parser.add_argument("--symbols", nargs="+")
+    for name in ("precision", "clean-mode", "dedup-within", "candle-width", "watermark", "order"):
+        parser.add_argument(f"--{name}")
+    parser.add_argument("--state-provider")
+    for name in ("max-files-per-trigger", "state-partitions", "timeout-seconds"):
+        parser.add_argument(f"--{name}", type=int)
+    for name in ("partition-by-date", "collapse-copies", "count-state-rows"):
+        parser.add_argument(f"--{name}", action=argparse.BooleanOptionalAction)
+    args = parser.parse_args(arguments)
+
+    chosen = json.loads(Path(args.config).read_text()) if args.config else {}
+    known = {f.name for f in fields(PipelineConfig)}
+    if unknown := sorted(set(chosen) - known):
+        parser.error(f"unknown settings in {args.config}: {', '.join(unknown)}")
+    given = {name: value for name, value in vars(args).items() if value is not None}
+    chosen |= {name: value for name, value in given.items() if name in known}
+    chosen["symbols"] = tuple(chosen.get("symbols", ()))
+    options = dict(chosen.get("source_options", {}))
+    options |= dict(option.split("=", 1) for option in args.source_option)
+    for option in args.source_option_env:
+        name, variable = option.split("=", 1)
+        options[name] = os.environ[variable]
+    chosen["source_options"] = options
+    for name in ("env", "space", "base_path"):
+        if name not in chosen:
+            parser.error(f"{name} is needed, as an option or in the config file")
+    return PipelineConfig(**chosen), args.stages
+
+
+def main() -> None:
+    cfg, stages = settings()
+    run(SparkSession.builder.getOrCreate(), cfg, stages)
 
 
 if __name__ == "__main__":
