@@ -5,6 +5,8 @@ Built of DataFrame functions alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,9 +67,15 @@ def containment(one: Column, other: Column) -> Column:
     return F.when(least > 0, both).when(F.size(one) == F.size(other), 1.0).otherwise(0.0)
 
 
-def with_next(frame: DataFrame, identity: str, columns: list[str], size: Column) -> DataFrame:
-    """``frame`` with ``next``, a struct of ``columns`` of the row with the next greater id, of
-    the first row after the last.
+def with_next(
+    frame: DataFrame,
+    identity: str,
+    columns: list[str],
+    size: Column,
+    derive: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``derive(frame)`` with ``next``, a struct of ``columns`` of the row with the next greater
+    id, of the first row after the last. What is derived of a row is derived once.
 
     Ids are cut by their quantiles into buckets of some megabytes, which are sorted each; the
     first rows of the buckets close the gaps. Null ids come last, equal ids in order of
@@ -82,17 +90,16 @@ def with_next(frame: DataFrame, identity: str, columns: list[str], size: Column)
         accuracy = F.lit(max(10_000, 4 * buckets))
         bounds = sorted(set(frame.agg(F.percentile_approx(key, shares, accuracy)).first()[0] or []))
     bucket = F.when(key.isNull(), F.lit(len(bounds) + 1)).otherwise(_below(bounds, key))
-    placed = frame.withColumn("bucket", bucket)
+    placed = derive(frame).withColumn("bucket", bucket)
     order = [F.asc_nulls_last(identity), *columns]
     after = F.lead(F.struct(*columns)).over(Window.partitionBy("bucket").orderBy(*order))
     # At most 65,537 buckets, of each the least id.
-    firsts = placed.groupBy("bucket").agg(F.min(identity).alias("first")).orderBy("bucket").collect()
+    firsts = frame.withColumn("bucket", bucket).groupBy("bucket").agg(F.min(identity).alias("first")).orderBy("bucket").collect()
     following = [(a["bucket"], b["first"]) for a, b in zip(firsts, firsts[1:] + firsts[:1], strict=True)]
     ends = frame.sparkSession.createDataFrame(following, "bucket int, first long")
     wanted = F.broadcast(ends.withColumnRenamed("bucket", "before"))
-    heads = frame.join(wanted, key.eqNullSafe(F.col("first"))).groupBy("before").agg(
-        F.min(F.struct(*columns)).alias("head")
-    )
+    heads = derive(frame.join(wanted, key.eqNullSafe(F.col("first"))))
+    heads = heads.groupBy("before").agg(F.min(F.struct(*columns)).alias("head"))
     joined = placed.withColumn("after", after).join(
         heads, F.col("bucket") == F.col("before"), "left"
     )
@@ -129,8 +136,10 @@ def compared(docs: DataFrame, identity: str = "doc_id", text: str = "text", halv
     base = docs.select(
         F.col(f"`{identity}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body")
     )
-    sketched = with_sketch(base, "body", "sketch", halvings)
-    rows = with_next(sketched, "id", ["body", "sketch"], F.octet_length("body"))
+    rows = with_next(
+        base, "id", ["body", "sketch"], F.octet_length("body"),
+        lambda rows: with_sketch(rows, "body", "sketch", halvings),
+    )
     edited = rows.select(
         F.col("id").alias(identity),
         F.length("body").cast("long").alias("n_chars"),
