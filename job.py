@@ -4,8 +4,9 @@
         --base-path s3a://bucket/trades --source-option subscribe=trades ...
 
 ``--config`` names a JSON file with any fields of ``PipelineConfig``; options given here win over
-it. Secrets belong there, or in a variable named by ``--source-option-env NAME=VARIABLE``, since
-arguments can be read in every process list.
+it. Secrets belong there, or in a variable named by ``--source-option-env NAME=VARIABLE`` (likewise
+``raw`` and ``topic``), since arguments can be read in every process list. With raw options the
+chain begins with ``land``, which routes raw messages into the topic.
 """
 
 from __future__ import annotations
@@ -20,21 +21,24 @@ from pyspark.sql import SparkSession
 
 from ticksmith import STAGES, PipelineConfig, run
 from ticksmith.config import ENVIRONMENTS, SPACES
+from ticksmith.plans import LAND, chain
 
 
 def settings(arguments: list[str] | None = None) -> tuple[PipelineConfig, list[str]]:
     """The configuration and stages that the arguments ask for."""
     parser = argparse.ArgumentParser()
-    parser.add_argument("--stages", nargs="+", choices=list(STAGES), default=list(STAGES))
+    parser.add_argument("--stages", nargs="+", choices=[LAND, *STAGES])
     parser.add_argument("--config", metavar="FILE")
     parser.add_argument("--env", choices=ENVIRONMENTS)
     parser.add_argument("--space", choices=SPACES)
     parser.add_argument("--base-path")
     parser.add_argument("--format", dest="fmt")
     parser.add_argument("--catalog")
-    parser.add_argument("--source-format")
-    parser.add_argument("--source-option", action="append", default=[], metavar="NAME=VALUE")
-    parser.add_argument("--source-option-env", action="append", default=[], metavar="NAME=VARIABLE")
+    for name in ("source", "raw"):
+        parser.add_argument(f"--{name}-format")
+    for name in ("source", "raw", "topic"):
+        parser.add_argument(f"--{name}-option", action="append", default=[], metavar="NAME=VALUE")
+        parser.add_argument(f"--{name}-option-env", action="append", default=[], metavar="NAME=VARIABLE")
     parser.add_argument("--symbols", nargs="+")
     for name in ("precision", "clean-mode", "dedup-within", "candle-width", "watermark", "order"):
         parser.add_argument(f"--{name}")
@@ -52,16 +56,18 @@ def settings(arguments: list[str] | None = None) -> tuple[PipelineConfig, list[s
     given = {name: value for name, value in vars(args).items() if value is not None}
     chosen |= {name: value for name, value in given.items() if name in known}
     chosen["symbols"] = tuple(chosen.get("symbols", ()))
-    options = dict(chosen.get("source_options", {}))
-    options |= dict(option.split("=", 1) for option in args.source_option)
-    for option in args.source_option_env:
-        name, variable = option.split("=", 1)
-        options[name] = os.environ[variable]
-    chosen["source_options"] = options
+    for kind in ("source", "raw", "topic"):
+        options = dict(chosen.get(f"{kind}_options", {}))
+        options |= dict(option.split("=", 1) for option in getattr(args, f"{kind}_option"))
+        for option in getattr(args, f"{kind}_option_env"):
+            name, variable = option.split("=", 1)
+            options[name] = os.environ[variable]
+        chosen[f"{kind}_options"] = options
     for name in ("env", "space", "base_path"):
         if name not in chosen:
             parser.error(f"{name} is needed, as an option or in the config file")
-    return PipelineConfig(**chosen), args.stages
+    cfg = PipelineConfig(**chosen)
+    return cfg, args.stages or chain(cfg)
 
 
 def main() -> None:

@@ -61,3 +61,32 @@ def test_a_bounded_dedup_runs_from_a_file(spark, tmp_path):
     cfg, stages = job.settings(["--config", str(file)])
     run(spark, cfg, stages[:3])
     assert read_layer(spark, cfg, "silver", streaming=False).count() == 5
+
+
+def test_landing_and_a_bounded_dedup_run_through_the_job(spark, tmp_path):
+    raw, topic, lake = (str(tmp_path / name) for name in ("raw", "topic", "lake"))
+    start = 1_700_000_000_000
+    trade = '{"type":"trade","data":[{"c":[1],"p":2.5,"s":"A","t":%d,"v":1.0}]}'
+    values = [trade % (start + i % 5 * 1000) for i in range(20)] + ['{"type":"ping"}', "garbage", ""]
+    spark.createDataFrame([(v,) for v in values], "value string").coalesce(1).write.text(raw)
+    arguments = [
+        "--env", "dev", "--space", "feature", "--base-path", lake, "--dedup-within", "1 hour",
+        "--raw-format", "text", "--raw-option", f"path={raw}", "--source-format", "parquet",
+        "--source-option", f"path={topic}", "--state-partitions", "2",
+    ]
+    cfg, stages = job.settings(arguments)
+    assert stages == ["land", "ingest", "transform", "clean", "ohlcv"]
+    for _ in range(2):
+        run(spark, cfg, stages)
+        assert spark.read.parquet(topic).count() == 20
+        assert read_layer(spark, cfg, "silver", streaming=False).count() == 5
+
+
+def test_options_of_landing(monkeypatch):
+    monkeypatch.setenv("RAW_SECRET", "hidden")
+    cfg, stages = job.settings([
+        *NEEDED, "--raw-option", "subscribe=raw", "--raw-option-env", "password=RAW_SECRET",
+        "--topic-option", "topic=trades", "--stages", "land",
+    ])
+    assert cfg.raw_options == {"subscribe": "raw", "password": "hidden"}
+    assert (cfg.topic_options, cfg.source_options, stages) == ({"topic": "trades"}, {}, ["land"])

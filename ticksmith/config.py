@@ -34,6 +34,10 @@ class PipelineConfig:
 
     source_format: str = "kafka"
     source_options: Mapping[str, str] = field(default_factory=dict)
+    # What `land` reads, and how it writes the topic if that takes other options than reading.
+    raw_format: str = "kafka"
+    raw_options: Mapping[str, str] = field(default_factory=dict)
+    topic_options: Mapping[str, str] = field(default_factory=dict)
     max_files_per_trigger: int | None = None
     partition_by_date: bool = False
 

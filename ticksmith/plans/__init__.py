@@ -1,6 +1,6 @@
 """Whole dataflows: the four chained stages, one chained query, and the batch twin."""
 
 from ticksmith.plans.direct import batch_candles, chained_candles
-from ticksmith.plans.layered import STAGES, run, run_stage
+from ticksmith.plans.layered import LAND, STAGES, chain, run, run_stage
 
-__all__ = ["STAGES", "batch_candles", "chained_candles", "run", "run_stage"]
+__all__ = ["LAND", "STAGES", "batch_candles", "chain", "chained_candles", "run", "run_stage"]

@@ -1,4 +1,4 @@
-"""The four stages, each a DataFrame step between two stored layers."""
+"""The four stages, each a DataFrame step between two stored layers, and landing before them."""
 
 from __future__ import annotations
 
@@ -11,9 +11,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ticksmith.config import PipelineConfig
 from ticksmith.functions import event_time
-from ticksmith.operators import add_event_time, candles, clean_trades, filter_symbols, parse_trades
+from ticksmith.operators import (
+    add_event_time,
+    candles,
+    clean_trades,
+    filter_symbols,
+    parse_trades,
+    route_messages,
+)
 from ticksmith.sources import DATE_COLUMN, read_layer, read_messages
-from ticksmith.streaming import append_available_now
+from ticksmith.streaming import append_available_now, write_messages
 
 
 @dataclass(frozen=True)
@@ -57,8 +64,29 @@ STAGES = {
 }
 
 
+# Routes raw messages into the topic that `ingest` reads.
+LAND = "land"
+
+
+def chain(cfg: PipelineConfig) -> list[str]:
+    """All stages in running order; landing is one of them if there is something to land."""
+    return [LAND, *STAGES] if cfg.raw_options else list(STAGES)
+
+
+def _land(spark: SparkSession, cfg: PipelineConfig) -> StreamingQuery:
+    raw = read_messages(spark, cfg.raw_format, cfg.raw_options)
+    key = F.col("key") if "key" in raw.columns else F.lit(None).cast("binary")
+    messages = raw.select(key.alias("key"), F.col("value").cast("binary").alias("value"))
+    options = cfg.topic_options or cfg.source_options
+    return write_messages(
+        route_messages(messages), cfg.source_format, options, cfg.checkpoint(LAND), cfg.timeout_seconds
+    )
+
+
 def run_stage(spark: SparkSession, cfg: PipelineConfig, name: str) -> StreamingQuery:
     """Drain one stage and return its finished query."""
+    if name == LAND:
+        return _land(spark, cfg)
     stage = STAGES[name]
     if stage.source is None:
         rows = read_messages(spark, cfg.source_format, cfg.source_options)
@@ -94,8 +122,9 @@ def run(
 
     Running again on the same configuration takes up new input only.
     """
-    chosen = set(STAGES if stages is None else stages)
-    unknown = chosen - set(STAGES)
+    every = [LAND, *STAGES]
+    chosen = set(chain(cfg) if stages is None else stages)
+    unknown = chosen - set(every)
     if unknown:
-        raise ValueError(f"unknown stages {sorted(unknown)}, choose from {list(STAGES)}")
-    return {name: run_stage(spark, cfg, name) for name in STAGES if name in chosen}
+        raise ValueError(f"unknown stages {sorted(unknown)}, choose from {every}")
+    return {name: run_stage(spark, cfg, name) for name in every if name in chosen}

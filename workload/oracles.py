@@ -173,6 +173,15 @@ WITH {_FEED},{_clean("feed", "arrival", "filter_first")} SELECT {_TIMED_COLUMNS}
     "layered_silver": f"WITH {_FILLS_CLEAN} SELECT {_TIMED_COLUMNS} FROM clean",
     "layered_gold": f"WITH {_FILLS_CLEAN} {_closed('clean', 'minute', '2 minute')}",
     "layered_gold_small_triggers": f"WITH {_FILLS_CLEAN} {_closed('clean', 'minute', '2 minute')}",
+    "layered_gold_landed": f"WITH {_FILLS_CLEAN} {_closed('clean', 'minute', '2 minute')}",
+    "candles_fractional": f"""
+WITH {_FEED},
+untimed AS (
+  SELECT * REPLACE (CASE WHEN arrival % 103 <> 0 THEN timestamp END AS timestamp, volume / 7 AS volume)
+  FROM feed
+),{_clean("untimed", "arrival")},
+timed AS (SELECT * FROM clean WHERE timestamp IS NOT NULL)
+SELECT * REPLACE (round(volume, 6) AS volume) FROM ({_candles("timed", _trunc("hour"))})""",
     "candles_many_splits": f"""
 WITH {_FEED},{_FILLS},
 placed AS (
