@@ -1,10 +1,11 @@
+import itertools
 import random
 from collections import defaultdict
 
 import pytest
 import xxhash
 
-from ticksmith.llm.line_templates import drop_recurring_lines
+from ticksmith.llm.line_templates import Leaf, drop_recurring_lines
 from ticksmith.llm.queries import QUERIES
 
 from . import brute
@@ -107,3 +108,30 @@ def test_odd_rows(odd, nothing):
     assert [by_id[i].kept for i in (4, 6)] == ["", ""]
     assert by_id[8].n_dropped == 0
     assert drop_recurring_lines(nothing).count() == 0
+
+
+def test_names_are_one_template_whatever_leaf_lines(spark):
+    names = ["".join(p) for p in itertools.islice(itertools.product("bdfg", repeat=4), 120)]
+    texts = []
+    for d, name in enumerate(names):
+        deep = " ".join("".join(random.Random(d * 9 + i).choices("klmn", k=3)) for i in range(6))
+        texts.append(f"Posted by the user {name} in forum general\nPlease say hello to our newest member {name} right now\nown words here {deep}")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for size in (4000, 20, 0):
+        rows = drop_recurring_lines(docs, min_docs=10, leaf_lines=size).collect()
+        found[size] = {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in rows}
+    assert [found[20][d] for d in range(len(texts))] == _kept(texts, 10)
+    assert found[4000] == found[20] == found[0]
+    assert not any("user" in kept or "hello" in kept for _, _, kept in found[0].values())
+
+
+def test_index_finds_the_templates_of_comparing_all():
+    draw = random.Random(3)
+    lines = [[b"a", b"b", *(draw.choice([b"c%d" % i, b"d", b"<*>"]) for i in range(9))] for _ in range(300)]
+    lines += [[b"a", b"b", *(b"%c%c" % (draw.choice(b"klmnop"), 65 + i // 3) for i in range(9))] for _ in range(700)]
+    draw.shuffle(lines)
+    grown = [Leaf(11, 0.7, direct) for direct in (10**9, 5, 0)]
+    numbers = [[leaf.add(line) for line in lines] for leaf in grown]
+    assert numbers[0] == numbers[1] == numbers[2]
+    assert 50 < grown[0].count < 900

@@ -14,7 +14,7 @@ from ticksmith.llm.shared import require, row_key, written
 
 WILD = b"<*>"
 _DIGITS = frozenset(b"0123456789")
-_PLACES = "k1 long, k2 int, line int, leaf long, deep long, exact long, fresh_leaf boolean, fresh boolean"
+_PLACES = "k1 long, k2 int, line int, leaf long, exact long, fresh_leaf boolean, fresh boolean"
 
 
 def masked(line: bytes) -> list[bytes]:
@@ -26,11 +26,11 @@ def _hash(count: int, tokens: list[bytes]) -> int:
     return xxhash.xxh3_64_intdigest(b"%d " % count + b" ".join(tokens)) - (1 << 63)
 
 
-def leaves(tokens: list[bytes], depth: int) -> tuple[int, int, int]:
-    """Leaves of a line at the tree's depth and at twice the depth, and its masked self: hashes
-    of its token count with its leading tokens, or with all."""
+def leaves(tokens: list[bytes], depth: int) -> tuple[int, int]:
+    """Leaf of a line in the tree and its masked self: hashes of its token count with its leading
+    tokens, or with all."""
     count = len(tokens)
-    return _hash(count, tokens[:depth]), _hash(count, tokens[: 2 * depth]), _hash(count, tokens)
+    return _hash(count, tokens[:depth]), _hash(count, tokens)
 
 
 def _emit_places(depth: int):
@@ -45,8 +45,8 @@ def _emit_places(depth: int):
                     tokens = masked(line)
                     if not tokens:
                         continue
-                    leaf, deep, exact = leaves(tokens, depth)
-                    out.append((k1[row], k2[row], number, leaf, deep, exact, (0, leaf) not in seen, (1, exact) not in seen))
+                    leaf, exact = leaves(tokens, depth)
+                    out.append((k1[row], k2[row], number, leaf, exact, (0, leaf) not in seen, (1, exact) not in seen))
                     seen.add((0, leaf))
                     seen.add((1, exact))
                 if len(out) > 50_000:
@@ -59,8 +59,8 @@ def _emit_places(depth: int):
 
 
 def _places(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
-    names = ["k1", "k2", "line", "leaf", "deep", "exact", "fresh_leaf", "fresh"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
+    names = ["k1", "k2", "line", "leaf", "exact", "fresh_leaf", "fresh"]
     columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -87,59 +87,79 @@ def _cut_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def grow(lines: list[list[bytes]], similar: float) -> list[int]:
-    """Template number of each of a leaf's lines, taken in order: the first of the templates that
-    share most tokens with it, ``similar`` of them at least, else a new one. Where a template and
-    its line differ, it gets a wild card; wild cards are not shared tokens."""
-    known: dict = {WILD: 0}
-    rows = np.array([[known.setdefault(t, len(known)) for t in line] for line in lines])
-    templates, count, out = np.zeros_like(rows), 0, []
-    for row in rows:
-        if count:
-            here = templates[:count]
+class Leaf:
+    """A leaf's templates. A line joins the first of those that share most tokens with it,
+    ``similar`` of them at least, else it becomes a new one. Where a template and its line
+    differ, the template gets a wild card; wild cards are not shared tokens.
+
+    Only templates are held, never the lines. The first ``direct`` of them are compared with
+    every line. Once there are more, a line meets those that hold one of its rarest tokens in
+    its place: a template that shares enough has one of any that many, so the result is the same.
+    """
+
+    def __init__(self, width: int, similar: float, direct: int):
+        self.similar, self.direct = similar, direct
+        self.known: dict = {WILD: 0}
+        self.templates, self.count = np.zeros((4, width), dtype=np.int32), 0
+        self.places: dict = {}  # templates made with a token in a place, once there is an index
+
+    def add(self, line: list[bytes]) -> int:
+        """The number of the template that the line joins or becomes."""
+        known = self.known
+        row = np.array([known.get(t, -1) for t in line], dtype=np.int32)
+        if self.count:
+            some = None if self.count <= self.direct else self._candidates(row)
+            here = self.templates[: self.count] if some is None else self.templates[some]
             same = ((here == row) & (row > 0)).sum(axis=1)
-            best = int(same.argmax())
-            if same[best] >= similar * len(row):
-                here[best][here[best] != row] = 0
-                out.append(best)
-                continue
-        templates[count] = row
-        out.append(count)
-        count += 1
-    return out
-
-
-def _grow_leaves(similar: float):
+            best = int(same.argmax()) if len(same) else 0
+            if len(same) and same[best] >= self.similar * len(row):
+                best = best if some is None else int(some[best])
+                own = self.templates[best]
+                own[own != row] = 0
+                return best
+        if self.count == len(self.templates):
+            self.templates = np.concatenate([self.templates, np.zeros_like(self.templates)])
+        self.templates[self.count] = [known.setdefault(t, len(known)) for t in line]
+        self.count += 1
+        if self.count > self.direct:
+            for number in range(self.count - 1 if self.places else 0, self.count):
+                self._list(number)
+        return self.count - 1
+
+    def _list(self, number: int) -> None:
+        for place in enumerate(self.templates[number].tolist()):
+            if place[1]:
+                self.places.setdefault(place, []).append(number)
+
+    def _candidates(self, row: np.ndarray) -> np.ndarray:
+        lists = sorted((self.places.get(p, ()) for p in enumerate(row.tolist()) if p[1]), key=len)
+        enough = max(int(np.ceil(self.similar * len(row) - 1e-9)), 1)
+        found = set().union(*lists[: max(len(lists) - enough + 1, 0)])
+        return np.array(sorted(found), dtype=np.int64)
+
+
+def _grow_leaves(similar: float, direct: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, exact, lines = None, [], []
+        node, last, leaf, named = None, None, None, []
         for batch in batches:
             rows: list[tuple] = []
             for n, e, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                tokens = line.split(b" ")
                 if n != node:
-                    rows += _templates(node, exact, lines, similar)
-                    node, exact, lines = n, [], []
+                    node, last, leaf, named = n, None, Leaf(len(tokens), similar, direct), []
                 # Repeated rows of the input give the same line again.
-                if not exact or exact[-1] != e:
-                    exact.append(e)
-                    lines.append(line.split(b" "))
+                if e == last:
+                    continue
+                last, number = e, leaf.add(tokens)
+                if number == len(named):
+                    named.append(e)
+                rows.append((e, n, named[number]))
             if rows:
                 yield _template_batch(rows)
-        if exact:
-            yield _template_batch(_templates(node, exact, lines, similar))
 
     return run
 
 
-def _templates(node, exact: list, lines: list, similar: float) -> list[tuple]:
-    if not exact:
-        return []
-    numbers = grow(lines, similar)
-    named: dict = {}
-    for number, e in zip(numbers, exact, strict=True):
-        named.setdefault(number, e)
-    return [(e, node, named[number]) for number, e in zip(numbers, exact, strict=True)]
-
-
 def _template_batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
     return pa.RecordBatch.from_arrays(columns, ["exact", "node", "template"])
@@ -183,9 +203,9 @@ def drop_recurring_lines(
     them, at least ``similar`` of all, which turns differing fields into wild cards.
 
     Leaves in fewer than ``min_docs`` rows are done after counting. Lines collapse to one entry
-    per masked line before any meet. A leaf of more than ``leaf_lines`` different lines is
-    parsed twice as deep, and one that is still larger by whole masked lines, which need no
-    meeting: a leaf's work is bounded however many rows have it.
+    per masked line before any meet. A leaf is grown by one task, which streams its lines and
+    holds its templates; from ``leaf_lines`` templates on it finds them by an index. That changes
+    its time and never the result, which is the same rule at every size.
 
     Lines without tokens are never dropped. A null text stays null and has no lines, an empty
     one has none either. Rows that repeat id and text are rows each. An empty table gives an
@@ -201,28 +221,17 @@ def drop_recurring_lines(
     often = written(often.where(F.col("rows") >= min_docs).select("leaf"), "leaves")
     places = written(places.join(often, "leaf"), "recurring")
     at = F.min(F.struct("k1", "k2", "line")).alias("at")
-    lines = places.groupBy("leaf", "deep", "exact").agg(at)
-
-    def large(node: str) -> DataFrame:
-        found = lines.groupBy(node).agg(F.count("*").alias("n")).where(F.col("n") > leaf_lines)
-        return found.select(node, F.lit(True).alias(f"large_{node}"))
-
-    lines = lines.join(large("leaf"), "leaf", "left").join(large("deep"), "deep", "left")
-    node = F.when(F.col("large_leaf").isNull(), F.col("leaf")).when(
-        F.col("large_deep").isNull(), F.col("deep")
-    )
-    lines = written(lines.select("exact", "at", node.alias("node")), "lines")
-    alone = lines.where("node is null").select("exact", F.lit(0).cast("long").alias("node"), F.col("exact").alias("template"))
-    listed = lines.where("node is not null").groupBy("at.k1", "at.k2").agg(
+    lines = places.groupBy(F.col("leaf").alias("node"), "exact").agg(at)
+    listed = lines.groupBy("at.k1", "at.k2").agg(
         F.collect_list(F.struct("node", "exact", "at.line")).alias("wanted")
     )
     # Lists and texts both grow with the corpus, so neither is ever sent to every executor.
     cut = named.join(listed.hint("merge"), ["k1", "k2"]).select("text", "wanted")
     grown = cut.mapInArrow(_cut_lines, "node long, exact long, line binary").repartition("node")
     grown = grown.sortWithinPartitions("node", "exact").mapInArrow(
-        _grow_leaves(similar), "exact long, node long, template long"
+        _grow_leaves(similar, leaf_lines), "exact long, node long, template long"
     )
-    templates = written(grown.select("exact", "node", "template").union(alone), "templates")
+    templates = written(grown, "templates")
     marked = places.join(templates, "exact").select("k1", "k2", "line", "fresh", "node", "template", "exact")
     # Rows that repeat id and text are several documents; their lines come once for each.
     once = marked.where("fresh").groupBy("node", "template", "k1", "k2", "exact").agg(F.count("*").alias("n"))
