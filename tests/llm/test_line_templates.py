@@ -135,3 +135,19 @@ def test_index_finds_the_templates_of_comparing_all():
     numbers = [[leaf.add(line) for line in lines] for leaf in grown]
     assert numbers[0] == numbers[1] == numbers[2]
     assert 50 < grown[0].count < 900
+
+
+def test_lines_of_many_numbers_and_one_name(spark):
+    names = ["".join(p) for p in itertools.islice(itertools.product("bdfg", repeat=3), 40)]
+    texts = [
+        f"GET page {d} status 200 in {d % 7} ms for {name}\n"
+        f"2024-01-{d % 28 + 1} 10:{d}:00 10.0.0.{d} login of user {name} done\n"
+        f"{d} 1 {d % 3} {name} {name[::-1]} alone{'x' * d}"
+        for d, name in enumerate(names)
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for size in (4000, 0):
+        found = {r.doc_id: r for r in drop_recurring_lines(docs, min_docs=10, leaf_lines=size).collect()}
+        # The third line has numbers in common alone.
+        assert [found[d].kept for d in range(len(texts))] == [t.split("\n")[2] for t in texts]
+        assert all(r.n_dropped == 2 for r in found.values())

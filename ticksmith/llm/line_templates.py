@@ -88,9 +88,10 @@ def _cut_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Leaf:
-    """A leaf's templates. A line joins the first of those that share most tokens with it,
-    ``similar`` of them at least, else it becomes a new one. Where a template and its line
-    differ, the template gets a wild card; wild cards are not shared tokens.
+    """A leaf's templates. A line joins the first of those that share most tokens with it, of
+    those that share ``similar`` of the tokens that are not wild in both, else it becomes a new
+    one. Where a template and its line differ, the template gets a wild card. Wild cards of both
+    say nothing, so they neither count as shared nor as differing; a join needs a shared token.
 
     Only templates are held, never the lines. The first ``direct`` of them are compared with
     every line. Once there are more, a line meets those that hold one of its rarest tokens in
@@ -111,8 +112,10 @@ class Leaf:
             some = None if self.count <= self.direct else self._candidates(row)
             here = self.templates[: self.count] if some is None else self.templates[some]
             same = ((here == row) & (row > 0)).sum(axis=1)
+            told = ((here != 0) | (row != 0)).sum(axis=1)
+            same[same < self.similar * told] = 0
             best = int(same.argmax()) if len(same) else 0
-            if len(same) and same[best] >= self.similar * len(row):
+            if len(same) and same[best]:
                 best = best if some is None else int(some[best])
                 own = self.templates[best]
                 own[own != row] = 0
@@ -133,7 +136,7 @@ class Leaf:
 
     def _candidates(self, row: np.ndarray) -> np.ndarray:
         lists = sorted((self.places.get(p, ()) for p in enumerate(row.tolist()) if p[1]), key=len)
-        enough = max(int(np.ceil(self.similar * len(row) - 1e-9)), 1)
+        enough = max(int(np.ceil(self.similar * len(lists) - 1e-9)), 1)
         found = set().union(*lists[: max(len(lists) - enough + 1, 0)])
         return np.array(sorted(found), dtype=np.int64)
 
@@ -200,7 +203,8 @@ def drop_recurring_lines(
     Lines end at line feeds. A line's tokens, those with a digit as wild cards, are parsed by
     their number and their ``depth`` leading tokens to a leaf of the tree. In a leaf, different
     lines are taken in order of their hashes and join the template that shares most tokens with
-    them, at least ``similar`` of all, which turns differing fields into wild cards.
+    them, at least ``similar`` of those not wild in both, which turns differing fields into wild
+    cards. However many tokens hold a digit, the others decide.
 
     Leaves in fewer than ``min_docs`` rows are done after counting. Lines collapse to one entry
     per masked line before any meet. A leaf is grown by one task, which streams its lines and
