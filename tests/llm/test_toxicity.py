@@ -78,3 +78,42 @@ def test_odd_rows(spark, odd, nothing):
     none = labels.where("1 = 0")
     assert toxicity.keep_clean(odd, none).count() == odd.count()
     assert toxicity.scored(nothing, labels).count() == 0
+
+
+def test_texts_without_label_terms_have_their_neighbours(spark):
+    frame = _examples(spark)
+    rare = [(1000 + i, f"quiet{i} river{i} stones{i} under{i} w1") for i in range(6)]
+    added = spark.createDataFrame(rare, "doc_id long, text string")
+    labels = frame.select("doc_id", "toxic").union(added.select("doc_id", F.lit(1).alias("toxic")))
+    turned = [(4000 + i, " ".join(reversed(t.split()))) for i, t in rare]
+    docs = frame.select("doc_id", "text").union(added).union(spark.createDataFrame(turned, "doc_id long, text string"))
+    found = {r.doc_id: r for r in toxicity.scored(docs, labels, least_chi2=5.0).collect()}
+    taught = [i for i, _ in rare if not found[i].held_out]
+    assert len(taught) > 2
+    for i in taught:
+        nearest = found[4000 + i].evidence[0]
+        assert (nearest.doc_id, nearest.toxic) == (i, 1)
+        assert abs(nearest.similarity - 1) < 1e-5
+    assert all(r.evidence for r in found.values() if r.doc_id < 1000)
+
+
+def test_nearest_is_exact_with_rare_and_frequent_terms():
+    draw = np.random.default_rng(5)
+    rows = []
+    for i in range(700):
+        term = np.unique(np.minimum(draw.zipf(1.4, 30), 400) - 1)
+        rows.append(toxicity._Example(i, int(draw.random() < 0.3), term, draw.integers(1, 4, len(term))))
+    idf = 1 + draw.random(400)
+    model = toxicity._indexed(rows, np.arange(400, dtype=np.uint64), idf, 7)
+    assert 0 < model.matrix.shape[1] < 400
+    dense = np.zeros((700, 400))
+    for t in range(400):
+        dense[model.example[model.first[t] : model.first[t + 1]], t] = model.weight[model.first[t] : model.first[t + 1]]
+    for i in range(200):
+        term = np.unique(np.minimum(draw.zipf(1.4, 20), 400) - 1)
+        weight = toxicity._unit(term, draw.integers(1, 4, len(term)).astype(float), idf)
+        cosine = dense[:, term] @ weight
+        cosine[i] = 0
+        best, found = toxicity.nearest(model, term, weight, without=i)
+        assert np.allclose(found, np.sort(cosine[cosine > 0])[::-1][:7])
+        assert np.allclose(cosine[best], found)

@@ -1,12 +1,15 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index."""
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index of all
+their terms."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,20 +26,26 @@ from ticksmith.llm.shared import (
 
 #: Leading bytes of longer words that are terms beside the words themselves.
 LEADING = (4, 6, 8)
-_BLOCK = 64
+#: Terms in more than this share of the examples are multiplied as a matrix, for many texts at once.
+_OFTEN = 1 / 16
+_TOGETHER = 64
+#: Terms whose counts of a task are packed together.
+_PACKED = 1 << 14
 _EVIDENCE = "array<struct<doc_id: bigint, similarity: double, toxic: int>>"
 _SCORED = f"struct<score: double, evidence: {_EVIDENCE}>"
 
 
 class Model(NamedTuple):
-    """A block-max inverted index of labelled examples and the calibration of its votes."""
+    """An inverted index of labelled examples, a matrix of their frequent terms and the
+    calibration of the votes."""
 
     terms: np.ndarray  # sorted term hashes
     idf: np.ndarray
     first: np.ndarray  # of each term's postings
     example: np.ndarray  # of each posting
     weight: np.ndarray  # unit-length TF-IDF
-    ceiling: np.ndarray  # the largest weight of a term in a block of examples
+    often: np.ndarray  # of each term, its place among the frequent ones, or -1
+    matrix: np.ndarray | None  # weights of frequent terms, a row for each example; not sent
     ids: np.ndarray
     label: np.ndarray
     prior: float
@@ -63,9 +72,11 @@ def _known_terms(column: pa.Array, terms: np.ndarray) -> Iterator[tuple[np.ndarr
     data, offsets = texts(column)
     for a, b in pieces(offsets):
         rows, hashes = _term_counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-        place = np.searchsorted(terms, hashes)
+        distinct, each = np.unique(hashes, return_inverse=True)
+        place = np.searchsorted(terms, distinct)
         place[place == len(terms)] = 0
-        known = terms[place] == hashes if len(terms) else np.zeros(len(hashes), bool)
+        known = (terms[place] == distinct if len(terms) else np.zeros(len(distinct), bool))[each]
+        place = place[each]
         pairs, counts = np.unique(rows[known] * max(len(terms), 1) + place[known], return_counts=True)
         yield a, b - a, pairs // max(len(terms), 1), pairs % max(len(terms), 1), counts
 
@@ -91,20 +102,26 @@ def _label_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def _document_counts(terms: np.ndarray):
+def _document_counts(terms_of: object):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(len(terms), dtype=np.int64), 0
+        terms = terms_of.value
+        total = np.zeros(len(terms) + 1, dtype=np.int64)  # and rows
         for batch in batches:
             for _, size, _, term, _ in _known_terms(batch.column(0), terms):
-                total += np.bincount(term, minlength=len(terms))
-                rows += size
-        place = np.append(np.flatnonzero(total), len(terms))
-        counts = np.append(total[total > 0], rows)
-        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(counts)], ["term", "docs"])
+                total[:-1] += np.bincount(term, minlength=len(terms))
+                total[-1] += size
+        parts = [total[at : at + _PACKED] for at in range(0, len(total), _PACKED)]
+        packed = pa.array([zlib.compress(x.tobytes(), 1) for x in parts], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), packed], ["part", "docs"])
 
     return run
 
 
+def _summed(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in table["docs"].to_pylist())
+    return pa.table({"part": table["part"][:1], "docs": pa.array([total.tobytes()], pa.binary())})
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -113,16 +130,17 @@ def fit(
     least_chi2: float = 24.0,
     neighbours: int = 7,
     seed: int = 41,
+    label_weight: float = 4.0,
 ) -> Model:
     """A model of the ``labels`` (``doc_id``, ``toxic`` 0 or 1, an id once) of ``docs``
     (``doc_id``, ``text``).
 
     At most ``max_examples`` examples are kept, those whose ids have the smallest seeded hashes;
-    of several texts of an id the least. Terms are the
-    ``max_terms`` whose presence depends most on the label (chi-square, ``least_chi2`` at
-    least, in three examples or more); both numbers bound what comes to the driver and is
-    broadcast. Chance alone reaches 24 once in a million terms; lower bounds let in terms that
-    say nothing and draw texts apart. Document frequencies count every row of ``docs``.
+    of several texts of an id the least. Every term of theirs is indexed, so ``max_examples``
+    bounds what comes to the driver and is broadcast. The ``max_terms`` whose presence depends
+    most on the label (chi-square, ``least_chi2`` at least, in three examples or more) weigh
+    ``label_weight`` times their IDF. Chance alone reaches 24 once in a million terms; lower
+    bounds raise terms that say nothing. Document frequencies count every row of ``docs``.
     """
     spark = docs.sparkSession
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -138,36 +156,56 @@ def fit(
     counted = {r.toxic: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     yes, no = counted.get(1, 0), counted.get(0, 0)
     seen = spread.mapInArrow(_label_counts, "term long, yes long, no long")
-    seen = seen.groupBy("term").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    seen = written(seen.groupBy("term").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")), "terms")
     there = F.col("yes") + F.col("no")
     score = (yes + no) * F.pow(F.col("yes") * F.lit(float(no)) - F.col("no") * F.lit(float(yes)), 2) / (
         F.lit(float(yes or 1) * float(no or 1)) * there * (yes + no - there)
     )
     scored = seen.where((there >= 3) & (there < yes + no)).withColumn("chi2", score)
     best = scored.where(F.col("chi2") >= least_chi2).orderBy(F.desc("chi2"), "term").limit(max_terms)
-    terms = np.sort(np.array([r.term for r in best.collect()], dtype=np.int64).view(np.uint64))
+    chosen = np.array([r.term for r in best.collect()], dtype=np.int64).view(np.uint64)
+    terms = np.sort(_column(seen.select("term"), "term").view(np.uint64))
+    terms_of = spark.sparkContext.broadcast(terms)
+
+    counted = docs.select("text").mapInArrow(_document_counts(terms_of), "part int, docs binary")
+    found = np.zeros(len(terms) + 1, dtype=np.int64)
+    for r in counted.groupBy("part").applyInArrow(_summed, "part int, docs binary").collect():
+        own = np.frombuffer(r.docs, np.int64)
+        found[r.part * _PACKED : r.part * _PACKED + len(own)] = own
+    idf = np.log((1 + found[-1]) / (1 + found[:-1])) + 1
+    idf[np.searchsorted(terms, chosen)] *= label_weight
+
+    vectors = spread.mapInArrow(_vectors(terms_of), "doc_id long, toxic int, term binary, n binary")
+    rows = []
+    for batch in vectors.toArrow().to_batches():  # of max_examples at most
+        for i, y, t, n in zip(*batch.columns, strict=True):
+            t, n = (np.frombuffer(x.as_buffer(), np.int32) for x in (t, n))
+            rows.append(_Example(i.as_py(), y.as_py(), t, n))
+    return _indexed(sorted(rows, key=lambda r: r[:2]), terms, idf, neighbours)
 
-    counted = docs.select("text").mapInArrow(_document_counts(terms), "term long, docs long")
-    found = {r.term: r.n for r in counted.groupBy("term").agg(F.sum("docs").alias("n")).collect()}
-    total = found.pop(len(terms), 0)
-    idf = np.log((1 + total) / (1 + np.array([found.get(i, 0) for i in range(len(terms))]))) + 1
 
-    vectors = spread.mapInArrow(_vectors(terms), "doc_id long, toxic int, term array<int>, n array<int>")
-    rows = vectors.orderBy("doc_id", "toxic").collect()  # of max_examples and max_terms at most
-    return _indexed(rows, terms, idf, neighbours)
+class _Example(NamedTuple):
+    doc_id: int
+    toxic: int
+    term: np.ndarray
+    n: np.ndarray
 
 
-def _vectors(terms: np.ndarray):
+def _column(frame: DataFrame, name: str) -> np.ndarray:
+    return frame.toArrow()[name].to_numpy()
+
+
+def _vectors(terms_of: object):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place, count = [], []
-            for _, size, row, term, n in _known_terms(batch.column("text"), terms):
+            for _, size, row, term, n in _known_terms(batch.column("text"), terms_of.value):
                 edges = np.searchsorted(row, np.arange(size + 1))
-                place += [term[a:b].astype(np.int32) for a, b in zip(edges, edges[1:], strict=False)]
-                count += [n[a:b].astype(np.int32) for a, b in zip(edges, edges[1:], strict=False)]
+                place += [term[a:b].astype(np.int32).tobytes() for a, b in zip(edges, edges[1:], strict=False)]
+                count += [n[a:b].astype(np.int32).tobytes() for a, b in zip(edges, edges[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.array(place, pa.list_(pa.int32())),
-                 pa.array(count, pa.list_(pa.int32()))], ["doc_id", "toxic", "term", "n"],
+                [batch.column("doc_id"), batch.column("toxic"), pa.array(place, pa.binary()),
+                 pa.array(count, pa.binary())], ["doc_id", "toxic", "term", "n"],
             )
 
     return run
@@ -181,8 +219,10 @@ def _unit(term: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 def _indexed(rows: list, terms: np.ndarray, idf: np.ndarray, neighbours: int) -> Model:
     """Postings by term; examples stand in order of their heaviest term, so that blocks differ."""
-    sparse = [(np.array(r.term, np.int64), np.array(r.n, np.float64)) for r in rows]
-    sparse = [(t, _unit(t, n, idf)) for t, n in sparse]
+    sparse = []
+    for r in rows:
+        t = np.asarray(r.term, np.int32)
+        sparse.append((t, _unit(t, np.asarray(r.n, np.float64), idf).astype(np.float32)))
     order = sorted(
         range(len(rows)),
         key=lambda i: (int(sparse[i][0][sparse[i][1].argmax()]) if len(sparse[i][0]) else -1, i),
@@ -190,54 +230,78 @@ def _indexed(rows: list, terms: np.ndarray, idf: np.ndarray, neighbours: int) ->
     sparse = [sparse[i] for i in order]
     label = np.array([rows[i].toxic for i in order], dtype=np.int64)
     ids = np.array([rows[i].doc_id if rows[i].doc_id is not None else -1 for i in order], dtype=np.int64)
-    example = np.repeat(np.arange(len(rows)), [len(t) for t, _ in sparse])
-    term = np.concatenate([t for t, _ in sparse] or [np.zeros(0, np.int64)])
-    weight = np.concatenate([w for _, w in sparse] or [np.zeros(0)])
-    by = np.lexsort((example, term))
-    example, term, weight = example[by], term[by], weight[by]
-    ceiling = np.zeros((len(terms), len(rows) // _BLOCK + 1))
-    np.maximum.at(ceiling, (term, example // _BLOCK), weight)
+    sizes = [len(t) for t, _ in sparse]
+    example = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+    term = np.concatenate([t for t, _ in sparse] or [np.zeros(0, np.int32)])
+    weight = np.concatenate([w for _, w in sparse] or [np.zeros(0, np.float32)])
+    docs = np.bincount(term, minlength=len(terms))
+    frequent = docs > len(rows) * _OFTEN
+    often = np.where(frequent, np.cumsum(frequent) - 1, -1).astype(np.int32)
+    by = np.argsort(term, kind="stable")
+    example, weight = example[by].astype(np.uint16 if len(rows) <= 1 << 16 else np.int32), weight[by]
     prior = (label.sum() + 0.1) / (len(label) + 1)
-    first = np.searchsorted(term, np.arange(len(terms) + 1))
-    model = Model(terms, idf, first, example, weight, ceiling, ids, label, prior, neighbours,
+    first = np.append(0, np.cumsum(docs))
+    model = Model(terms, idf, first, example, weight, often, None, ids, label, prior, neighbours,
                   np.zeros(0), np.zeros(0))
-    left_out = np.array([vote(model, *nearest(model, t, w, without=i)) for i, (t, w) in enumerate(sparse)])
+    model = _with_matrix(model)
+    left_out = []
+    for at in range(0, len(sparse), _TOGETHER):
+        some = sparse[at : at + _TOGETHER]
+        for i, ((t, w), near) in enumerate(zip(some, nearly(model, some), strict=True), at):
+            left_out.append(vote(model, *nearest(model, t, w, without=i, near=near)))
+    left_out = np.array(left_out)
     steps, shares = _rising(left_out, label, prior)
     return model._replace(steps=steps, shares=shares)
 
 
+def _with_matrix(model: Model) -> Model:
+    often = np.repeat(model.often, np.diff(model.first))
+    own = often >= 0
+    matrix = np.zeros((len(model.label), int(model.often.max(initial=-1)) + 1), dtype=np.float32)
+    matrix[model.example[own], often[own]] = model.weight[own]
+    return model._replace(matrix=matrix)
+
+
+def _frequent(model: Model, term: np.ndarray, weight: np.ndarray, kind: type = np.float64) -> np.ndarray:
+    place, out = model.often[term], np.zeros(model.matrix.shape[1], dtype=kind)
+    out[place[place >= 0]] = weight[place >= 0]
+    return out
+
+
+def nearly(model: Model, vectors: list) -> np.ndarray:
+    """What frequent terms add to the cosines of vectors with every example, in single precision."""
+    return np.array([_frequent(model, t, w, np.float32) for t, w in vectors]) @ model.matrix.T
+
+
 def nearest(
-    model: Model, term: np.ndarray, weight: np.ndarray, without: int = -1
+    model: Model, term: np.ndarray, weight: np.ndarray, without: int = -1, near: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """The examples of largest cosine with a unit vector, and the cosines; exact, ties by place.
 
-    The ceilings of the vector's terms bound the cosines of a block. Blocks are scored from the
-    highest bound down until none can hold a nearer example than those found.
+    Rarer terms are summed over their postings, frequent ones come from ``nearly``. Whatever its
+    rounding can have moved among the nearest is summed again in double precision.
     """
-    if not len(term):
+    count = len(model.label)
+    if not len(term) or not count:
         return np.zeros(0, np.int64), np.zeros(0)
-    bound = weight @ model.ceiling[term]
-    blocks = np.argsort(-bound, kind="stable")
-    blocks = blocks[bound[blocks] > 0]
-    posts = [(model.example[a:b], model.weight[a:b]) for a, b in zip(model.first[term], model.first[term + 1], strict=True)]
-    best, cosine = np.zeros(0, np.int64), np.zeros(0)
-    at = 0
-    while at < len(blocks):
-        if len(best) == model.neighbours and bound[blocks[at]] < cosine[-1] - 1e-12:
-            break
-        block = blocks[at]
-        total = np.zeros(_BLOCK)
-        for (example, w), q in zip(posts, weight, strict=True):
-            a, b = np.searchsorted(example, (block * _BLOCK, (block + 1) * _BLOCK))
-            total[example[a:b] - block * _BLOCK] += q * w[a:b]
-        there = np.flatnonzero(total)
-        found = there + block * _BLOCK
-        found, there = found[found != without], there[found != without]
-        best, cosine = np.concatenate([best, found]), np.concatenate([cosine, total[there]])
-        top = np.lexsort((best, -np.round(cosine, 12)))[: model.neighbours]
-        best, cosine = best[top], cosine[top]
-        at += 1
-    return best, cosine
+    if near is None:
+        near = nearly(model, [(term, weight)])[0]
+    rare = model.often[term] < 0
+    first = model.first[term[rare]]
+    sizes = model.first[term[rare] + 1] - first
+    lists = [slice(a, b) for a, b in zip(first.tolist(), (first + sizes).tolist(), strict=True)] or [slice(0)]
+    held = np.concatenate([model.example[x] for x in lists])
+    by = np.concatenate([model.weight[x] for x in lists]) * np.repeat(weight[rare].astype(np.float64), sizes)
+    sums = np.bincount(held, by, count)
+    about = sums + near
+    if without >= 0:
+        about[without] = 0
+    least = np.partition(about, -model.neighbours)[-model.neighbours] if count > model.neighbours else 0
+    best = np.flatnonzero((about > 0) & (about >= least - 1e-4))
+    # Row by row, so that equal examples have equal cosines.
+    cosine = sums[best] + (model.matrix[best] * _frequent(model, term, weight)).sum(axis=1)
+    top = np.lexsort((best, -np.round(cosine, 12)))[: model.neighbours]
+    return best[top], cosine[top]
 
 
 def vote(model: Model, best: np.ndarray, cosine: np.ndarray) -> float:
@@ -270,26 +334,37 @@ def _calibrated(model: Model, value: float) -> float:
 def score(docs_text: Column, model_of: object) -> Column:
     """``score`` (0 to 1) and ``evidence``: the nearest examples, for every text.
 
-    A text without known terms has no neighbours and gets what such examples got.
+    A text that shares no term with any example has no neighbours and no evidence.
     """
 
+    ready: list = []  # the model with its matrix, once a task
+
     @F.arrow_udf(_SCORED)
     def run(column: pa.Array) -> pa.Array:
-        model: Model = model_of.value
+        if not ready:
+            ready.append(_with_matrix(model_of.value))
+        model: Model = ready[0]
         held: dict = {}
         scores, evidence = np.zeros(len(column)), [[]] * len(column)
         for first, size, row, term, count in _known_terms(column, model.terms):
             edges = np.searchsorted(row, np.arange(size + 1))
+            keys, fresh = [], {}
             for i in range(size):
                 t, n = term[edges[i] : edges[i + 1]], count[edges[i] : edges[i + 1]]
-                key = (t.tobytes(), n.tobytes())
-                if key not in held:
-                    best, cosine = nearest(model, t, _unit(t, n, model.idf))
+                keys.append(xxhash.xxh3_128_digest(t.tobytes() + n.tobytes()))
+                if keys[i] not in held:
+                    fresh[keys[i]] = t, n
+            fresh = list(fresh.items())
+            for at in range(0, len(fresh), _TOGETHER):
+                some = [(t, _unit(t, n, model.idf)) for _, (t, n) in fresh[at : at + _TOGETHER]]
+                for (key, _), (t, w), near in zip(fresh[at:], some, nearly(model, some), strict=False):
+                    best, cosine = nearest(model, t, w, near=near)
                     shown = [
                         {"doc_id": int(model.ids[b]), "similarity": float(c), "toxic": int(model.label[b])}
                         for b, c in zip(best[:5], cosine[:5], strict=True)
                     ]
                     held[key] = (_calibrated(model, vote(model, best, cosine)), shown)
+            for i, key in enumerate(keys):
                 scores[first + i], evidence[first + i] = held[key]
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
         return pa.StructArray.from_arrays(
@@ -322,7 +397,7 @@ def scored(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"),
         held_out(F.col("doc_id")).alias("held_out"),
-        score(F.col("text"), docs.sparkSession.sparkContext.broadcast(model)).alias("s"),
+        score(F.col("text"), docs.sparkSession.sparkContext.broadcast(model._replace(matrix=None))).alias("s"),
     )
     return packed.select(
         "row.*", "held_out", F.col("s.score").alias("score"),
