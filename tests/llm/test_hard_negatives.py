@@ -1,0 +1,122 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ticksmith.llm import cover_tree, hard_negatives
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, every=50, positives=5, negatives=3):
+    """Result rows of distinct (id, vector, label) rows."""
+    kept = {}
+    for name, vec, label in rows:
+        if name is None or label is None or vec is None or any(x is None or not math.isfinite(x) for x in vec):
+            continue
+        whole = tuple(math.floor(256 * float(np.float32(x))) for x in vec)
+        kept[(name, whole, label)] = None
+    out = []
+
+    def dot(a, b):
+        return sum(x * y for x, y in zip(a, b, strict=False))
+
+    for a, vec, label in kept:
+        if a % every:
+            continue
+        near = sorted((-dot(vec, v), i) for i, v, y in kept if y == label and i != a)[:positives]
+        for p, i in near:
+            far = sorted((-dot(vec, v), j) for j, v, y in kept if y != label)
+            far = [(s, j) for s, j in far if 50 * -p <= 100 * -s <= 95 * -p][:negatives]
+            out += [(a, i, n, j, -p, -s) for n, (s, j) in enumerate(far, 1)]
+    return sorted(out)
+
+
+def floats(rows):
+    return [(i, v if v is None else [x if x is None else float(x) for x in v], y) for i, v, y in rows]
+
+
+def result(spark, rows, **settings):
+    frame = spark.createDataFrame(floats(rows), SCHEMA).repartition(3)
+    found = hard_negatives.hard_negatives(frame, F.col("vec_id") % 50 == 0, **settings)
+    return sorted(tuple(r) for r in found.collect())
+
+
+def drawn(draw, count, dims, labels):
+    centres = draw.normal(size=(6, dims))
+    vectors = centres[draw.integers(0, 6, count)] + 0.3 * draw.normal(size=(count, dims))
+    return [(i, [float(x) for x in v], int(y)) for i, (v, y) in
+            enumerate(zip(vectors, draw.integers(0, labels, count), strict=True))]
+
+
+@pytest.mark.parametrize(("dims", "labels"), [(3, 2), (16, 5)])
+def test_equals_brute_force_over_several_trees(spark, monkeypatch, dims, labels):
+    monkeypatch.setattr(hard_negatives, "TREE_BYTES", 200 * dims * 8)
+    rows = drawn(np.random.default_rng(dims), 900, dims, labels)
+    # Copies of a vector, ties among ids, repeated rows, and copies of anchors.
+    rows += [(2000 + i, rows[i % 3][1], i % labels) for i in range(300)]
+    rows += rows[:40]
+    assert result(spark, rows) == brute(rows)
+
+
+def test_odd_rows(spark):
+    rows = drawn(np.random.default_rng(1), 120, 4, 2)
+    rows += [
+        (None, [1.0, 0, 0, 0], 0), (200, None, 0), (250, [], 1), (300, [1.0, None, 0, 0], 0), (350, [0.5, 0.5], 1),
+        (400, [float("nan")] * 4, 1), (450, [float("inf"), 0, 0, 0], 1), (500, [0.0] * 4, 0), (550, [1.0] * 4, None),
+        (600, [1.0, 1.0, 1.0, 1.0, 2.0], 0), (650, [-1.0] * 4, 7),
+    ]
+    assert result(spark, rows) == brute(rows)
+    assert result(spark, rows[:0]) == []
+    assert result(spark, [(50, [1.0], 3)]) == []
+    clash = spark.createDataFrame(floats(rows), SCHEMA)
+    clash = clash.withColumns({n: F.lit(1) for n in ("query", "block", "score", "vec", "parts", "rank")})
+    found = hard_negatives.hard_negatives(clash, F.col("vec_id") % 50 == 0).collect()
+    assert sorted(map(tuple, found)) == brute(rows)
+
+
+def test_a_vector_that_a_third_of_the_rows_hold(spark):
+    rows = drawn(np.random.default_rng(3), 400, 8, 3)
+    rows += [(1000 + i, rows[0][1], rows[0][2]) for i in range(200)]
+    assert result(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("dims", [2, 8, 40])
+def test_trees_cover_and_separate(dims):
+    draw = np.random.default_rng(dims)
+    points = draw.integers(-200, 200, (1500, dims))
+    points[100:300] = points[100]
+    tree = cover_tree.build(points, np.arange(1500), np.zeros(1500, np.int64))
+    assert sorted(tree.ids.tolist()) == list(range(1500))
+    squares = (tree.points**2).sum(axis=1)
+    whole = np.hstack([tree.points, np.sqrt(np.maximum(tree.norm**2 - squares, 0))[:, None]])
+    centre = np.hstack([tree.centre, np.sqrt(np.maximum(tree.norm**2 - (tree.centre**2).sum(axis=1), 0))[:, None]])
+
+    def under(node):
+        if not tree.children[node]:
+            return np.arange(tree.first[node], tree.last[node])
+        below = range(tree.child[node], tree.child[node] + tree.children[node])
+        return np.concatenate([under(c) for c in below])
+
+    for node in range(len(tree.centre)):
+        gaps = np.linalg.norm(whole[under(node)] - centre[node], axis=1)
+        reach = 2 * tree.norm * np.sin(tree.angle[node] / 2)
+        assert gaps.max() <= reach + 1e-6
+        below = range(tree.child[node], tree.child[node] + tree.children[node])
+        for i in below if tree.children[node] else ():
+            for j in range(tree.child[node], i):
+                assert np.linalg.norm(centre[i] - centre[j]) > reach / cover_tree.SHRINK - 1e-3
+
+
+def test_search_skips_nodes_outside_its_windows(monkeypatch):
+    draw = np.random.default_rng(9)
+    centres = draw.normal(size=(30, 16)) * 200
+    points = np.floor(centres[draw.integers(0, 30, 6000)] + draw.normal(size=(6000, 16)) * 5).astype(np.int64)
+    tree = cover_tree.build(points, np.arange(6000), draw.integers(0, 3, 6000))
+    taken = []
+    take = cover_tree._take
+    monkeypatch.setattr(cover_tree, "_take", lambda t, rows, *rest: (taken.append(len(rows)), take(t, rows, *rest)))
+    for i in range(20):
+        cover_tree.search(tree, points[i], 1, True, [cover_tree.Window(-np.inf, np.inf, 5)])
+    assert sum(taken) < 20 * 6000 / 5

@@ -11,7 +11,10 @@ from ticksmith.llm import (
     automaton_dedup,
     external_shuffle,
     flow_mix,
+    hard_negatives,
+    importance_resampling,
     line_templates,
+    ngram_join,
     scaled_sketch,
     simhash,
     suffix_decontaminate,
@@ -141,6 +144,24 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_copies(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    mislabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    # A row without an id has no remainder, and takes no part.
+    return hard_negatives.hard_negatives(rows.withColumn("label", mislabelled), F.col("vec_id") % 50 == 0)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    target = _table(spark, sf_dir, "benchmark", "item_id", "text")
+    found = importance_resampling.resampled(docs, target, keep=["doc_id"])
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_flow_mix": op1_flow_mix,
     "op2_warc": op2_warc,
@@ -152,4 +173,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_external_shuffle": op8_external_shuffle,
     "op9_simhash": op9_simhash,
     "op10_line_templates": op10_line_templates,
+    "op11_ngram_join": op11_ngram_join,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_importance_resampling": op13_importance_resampling,
 }
