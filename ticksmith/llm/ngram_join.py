@@ -1,10 +1,10 @@
 """Documents that share most of their word n-grams, by adaptive multi-match prefixes.
 
-Every document is the set of its distinct n-grams, rarest first. Of two sets with the wanted
-Jaccard similarity, the prefixes that leave out all but ``required - level`` n-grams share at
-least ``level`` of them, for any level. A document lengthens its prefix as long as that is worth
-its cost: longer lists to read, but more shared n-grams asked for before a pair is verified. A
-pair is held to the smaller level of its two documents, by which both prefixes are long enough.
+Every document is the set of its distinct n-grams, rarest first. If two sets have to share
+``required`` n-grams to be similar enough, their prefixes that leave out ``required - level`` of
+them share at least ``level``, for any level. A document lengthens its prefix as long as that is
+worth its cost: longer lists to read, but more shared n-grams asked for before a pair is verified.
+A pair is held to the smaller level of its two documents, for which both prefixes are long enough.
 """
 
 from __future__ import annotations
@@ -117,14 +117,19 @@ def required(n: np.ndarray | int, percent: int):
     return (percent * n + 99) // 100
 
 
+def overlap(n, other, percent: int):
+    """What two sets have to share."""
+    return -(-percent * (n + other) // (100 + percent))
+
+
 def chosen_level(lists: np.ndarray, n: int, percent: int) -> int:
     """The level of least estimated cost, for other documents' entries in the order of a prefix.
 
     A candidate at level l takes l entries at least, so the entries of the prefix over l bound
-    how many pairs have to be verified.
+    how many pairs have to be verified. The prefix is that for partners of the same size.
     """
-    least = required(n, percent)
-    levels = np.arange(1, min(MAX_LEVEL, least) + 1)
+    least = overlap(n, n, percent)
+    levels = np.arange(1, min(MAX_LEVEL, required(n, percent)) + 1)
     read = np.cumsum(lists)[n - least + levels - 1]
     cost = (n - least + levels) * _ENTRY + read * (1 + _VERIFY / levels)
     return int(levels[np.argmin(cost)])
@@ -132,7 +137,7 @@ def chosen_level(lists: np.ndarray, n: int, percent: int) -> int:
 
 def _prefixes(words: int, percent: int, cells_of: object):
     """Prefix entries of every set, once a task: n-gram, key, size, and level, which stands for
-    the entry's own level (the least that reaches it) and the document's, in four bits each."""
+    the n-gram's place in the prefix, from 1, and the document's level in the last four bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, seen = cells_of.value, set()
@@ -150,11 +155,10 @@ def _prefixes(words: int, percent: int, cells_of: object):
                 cell = grams >> np.uint64(64 - CELL_BITS)
                 order = np.argsort(rank[cell], kind="stable")  # rarest first, then by hash
                 least = required(n, percent)
-                level = chosen_level(over[cell[order[: n - least + min(MAX_LEVEL, least)]]], n, percent)
+                level = chosen_level(over[cell[order[: n - least + MAX_LEVEL]]], n, percent)
                 own = order[: n - least + level]
                 tokens.append(grams[own])
-                place = np.maximum(np.arange(len(own)) - (n - least) + 1, 1)
-                levels.append((place * 16 + level).astype(np.int16))
+                levels.append((np.arange(1, len(own) + 1) * 16 + level).astype(np.int32))
                 keys.append(key)
                 sizes.append(n)
                 counts.append(len(own))
@@ -233,22 +237,32 @@ def _sizes_fit(one: str, other: str, percent: int) -> Column:
 
 
 def _enough(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a``, ``b`` of the entries ``n``, ``level`` and ``n2``, ``level2`` of shared tokens
-    that share as many as the smaller of their levels asks for."""
-    asked = F.least(F.col("level") % 16, F.col("level2") % 16)
-    own = F.greatest(F.floor(F.col("level") / 16), F.floor(F.col("level2") / 16))
-    shared = pairs.where(_sizes_fit("n", "n2", percent)).withColumn("asked", asked).where(own <= F.col("asked"))
-    counted = shared.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("asked").alias("asked"))
+    """Pairs ``a``, ``b`` that share as many n-grams of their prefixes as the smaller of their
+    levels asks for, of entries ``n``, ``level`` and ``n2``, ``level2`` with one token.
+
+    The prefixes are those that the pair's own sizes ask for, which are shorter than what each
+    document keeps for partners of any size.
+    """
+    n, n2, asked = F.col("n"), F.col("n2"), F.least(F.col("level") % 16, F.col("level2") % 16)
+    more = asked - F.ceil(percent * (n + n2) / F.lit(100 + percent))
+    place, place2 = F.shiftright("level", 4), F.shiftright("level2", 4)
+    near = _sizes_fit("n", "n2", percent) & (place <= n + more) & (place2 <= n2 + more)
+    counted = pairs.where(near).groupBy("a", "b").agg(F.count("*").alias("shared"), F.max(asked).alias("asked"))
     return counted.where("shared >= asked").select("a", "b")
 
 
-def _star(entries: DataFrame, seed: int, percent: int) -> DataFrame:
+def _star(entries: DataFrame, turn: int, percent: int) -> DataFrame:
     """Candidates between each document of a list and one of them, the list's hub.
 
+    The first hub is the document that holds the n-gram earliest, so the one with the fewest
+    n-grams that are rarer: of edited copies, the least edited. Other turns draw a hub by hash.
     Documents of a large group have mostly the same hub, so the group costs a pair for each of
     its documents instead of all pairs.
     """
-    mark = F.xxhash64(F.lit(seed), "key")
+    mark = F.xxhash64(F.lit(turn), "key")
+    if turn == 0:
+        early = F.shiftleft(F.least(F.shiftright("level", 4), F.lit((1 << 15) - 1)).cast("long"), 48)
+        mark = early.bitwiseOR(mark.bitwiseAND(F.lit((1 << 48) - 1)))
     marked = entries.withColumn("mark", mark)
     least = marked.groupBy("token").agg(F.min("mark").alias("mark"))
     hubs = marked.join(least, ["token", "mark"]).select(
@@ -277,14 +291,14 @@ def near_copies(
     text: str = "text",
     words: int = 4,
     percent: int = 85,
-    star_rounds: int = 2,
+    hubs: int = 2,
 ) -> DataFrame:
     """``identity``, ``n_shingles`` (the set's size) and ``component_id`` of every row.
 
     A set holds the distinct runs of ``words`` words, lower-cased for A-Z and split at ASCII
     white space; fewer words make one run. Rows link when 100 times their sets' intersection is
     at least ``percent`` times their union; a component is named by its smallest id. Equal sets
-    collapse first. Then documents are compared with a hub of every prefix list, and what that
+    collapse first. Then documents are compared with ``hubs`` of every prefix list, and what that
     connects is one part; last, exactly the pairs across parts that share enough are verified.
     Links inside a part could join nothing new, so none that matters is left out.
 
@@ -308,33 +322,34 @@ def near_copies(
 
     bodies = named.select("text")
     entries = bodies.mapInArrow(
-        _prefixes(words, percent, cells_of), "token long, key long, n int, level smallint"
+        _prefixes(words, percent, cells_of), "token long, key long, n int, level int"
     )
     entries = written(entries, "prefixes")
     lists = entries.groupBy("token").agg(F.min("key").alias("least"), F.max("key").alias("most"))
     lists = written(lists.where("least <> most").select("token"), "lists")
     entries = written(entries.join(lists, "token").distinct(), "shared")
-    keys = entries.select("key").distinct()
-    filter_of = spark.sparkContext.broadcast(key_filter(keys))
-    found = bodies.mapInArrow(_bodies(words, filter_of), "key long, body binary")
-    sets = written(found.groupBy("key").agg(F.any_value("body").alias("body")), "bodies")
 
-    links = []
-
-    def verify(pairs: DataFrame) -> None:
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs, "pairs")
+        keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+        filter_of = spark.sparkContext.broadcast(key_filter(keys))
+        found = bodies.mapInArrow(_bodies(words, filter_of), "key long, body binary")
+        sets = written(found.groupBy("key").agg(F.any_value("body").alias("body")), "bodies")
         one = sets.select(F.col("key").alias("a"), F.col("body").alias("one"))
         two = sets.select(F.col("key").alias("b"), F.col("body").alias("two"))
         both = pairs.join(one, "a").join(two, "b").withColumn("common", _common("one", "two"))
         union = (F.octet_length("one") + F.octet_length("two")) / 8 - F.col("common")
         close = both.where(F.col("common") * 100 >= union * percent)
-        links.append(written(close.select(F.col("a").alias("u"), F.col("b").alias("v")), "links"))
+        return written(close.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
 
-    for turn in range(star_rounds):
-        verify(_star(entries, turn, percent))
-        entries = _apart(entries, _united(links))
-    verify(_across(entries, percent))
+    starred = _star(entries, 0, percent)
+    for turn in range(1, hubs):
+        starred = starred.union(_star(entries, turn, percent))
+    links = verified(starred.distinct())
+    entries = _apart(entries, links)
+    links = links.union(verified(_across(entries, percent)))
 
-    roots = components(_united(links))
+    roots = components(links)
     sized = rows.where("n > 0")
     least = sized.groupBy("key").agg(F.min("id").alias("least"))
     parted = least.join(roots, F.col("key") == F.col("node"), "left").select(
@@ -349,13 +364,6 @@ def near_copies(
     )
 
 
-def _united(links: list[DataFrame]) -> DataFrame:
-    whole = links[0]
-    for more in links[1:]:
-        whole = whole.union(more)
-    return whole
-
-
 def _apart(entries: DataFrame, links: DataFrame) -> DataFrame:
     """The entries of lists that hold several parts still, with their documents' ``part``."""
     roots = components(links)
