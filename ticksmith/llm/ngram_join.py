@@ -176,18 +176,20 @@ def _prefixes(words: int, percent: int, cells_of: object):
 
 
 def _bodies(words: int, filter_of: object):
-    """The n-grams of every set whose key passes the filter, once a task."""
+    """The text of every set whose key passes the filter, once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = filter_of.value, set()
         for batch in batches:
-            keys, bodies = [], []
-            for grams in gram_sets(batch.column(0), words):
+            keys, rows = [], []
+            for row, grams in enumerate(gram_sets(batch.column(0), words)):
                 if len(grams) and (key := _key(grams)) not in seen and _passes(bits, key):
                     seen.add(key)
                     keys.append(key)
-                    bodies.append(grams.tobytes())
-            yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(bodies, pa.binary())], ["key", "body"])
+                    rows.append(row)
+            yield pa.RecordBatch.from_arrays(
+                [_signed(keys), batch.column(0).take(pa.array(rows, pa.int64()))], ["key", "body"]
+            )
 
     return run
 
@@ -217,17 +219,23 @@ def key_filter(keys: DataFrame) -> np.ndarray:
     return bits.view(np.uint64)
 
 
-def _common(one: str, other: str) -> Column:
-    """How many n-grams two sets share."""
+def _similar(one: str, other: str, words: int, percent: int) -> Column:
+    """Whether two texts' sets are similar enough; equal texts of a batch are hashed once."""
 
-    @F.arrow_udf("int")
+    @F.arrow_udf("boolean")
     def run(left: pa.Array, right: pa.Array) -> pa.Array:
-        counts = []
-        for x, y in zip(left, right, strict=True):
-            both = np.concatenate([np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y)])
+        found, places = [], []
+        for column in (left, right):
+            coded = column.dictionary_encode()
+            found.append(list(gram_sets(coded.dictionary, words)))
+            places.append(coded.indices.to_numpy())
+        close = []
+        for i, j in zip(*places, strict=True):
+            both = np.concatenate([found[0][i], found[1][j]])
             both.sort()
-            counts.append(int((both[1:] == both[:-1]).sum()))
-        return pa.array(counts, pa.int32())
+            common = int((both[1:] == both[:-1]).sum())
+            close.append(100 * common >= percent * (len(both) - common))
+        return pa.array(close, pa.bool_())
 
     return run(one, other)
 
@@ -333,14 +341,13 @@ def near_copies(
         pairs = written(pairs, "pairs")
         keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
         filter_of = spark.sparkContext.broadcast(key_filter(keys))
-        found = bodies.mapInArrow(_bodies(words, filter_of), "key long, body binary")
-        sets = written(found.groupBy("key").agg(F.any_value("body").alias("body")), "bodies")
+        found = bodies.mapInArrow(_bodies(words, filter_of), "key long, body string")
+        # One exchange by key serves both sides; texts move in fewer bytes than their sets.
+        sets = written(found, "bodies").groupBy("key").agg(F.any_value("body").alias("body"))
         one = sets.select(F.col("key").alias("a"), F.col("body").alias("one"))
         two = sets.select(F.col("key").alias("b"), F.col("body").alias("two"))
-        both = pairs.join(one, "a").join(two, "b").withColumn("common", _common("one", "two"))
-        union = (F.octet_length("one") + F.octet_length("two")) / 8 - F.col("common")
-        close = both.where(F.col("common") * 100 >= union * percent)
-        return written(close.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+        both = pairs.join(one, "a").join(two, "b").where(_similar("one", "two", words, percent))
+        return written(both.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
 
     starred = _star(entries, 0, percent)
     for turn in range(1, hubs):
