@@ -91,13 +91,19 @@ def _measure(words: int):
         cells, seen = np.zeros(1 << CELL_BITS, dtype=np.int64), set()
         kind, names = None, ["id", "n", "key", "cell"]
         for batch in batches:
-            sizes, keys = [], []
+            sizes, keys, held, count = [], [], [], 0
             for grams in gram_sets(batch.column("text"), words):
                 sizes.append(len(grams))
                 keys.append(_key(grams) if len(grams) else 0)
                 if len(grams) and keys[-1] not in seen:
                     seen.add(keys[-1])
-                    cells += np.bincount(grams >> np.uint64(64 - CELL_BITS), minlength=len(cells))
+                    held.append(grams >> np.uint64(64 - CELL_BITS))
+                    count += len(grams)
+                if count > len(cells):
+                    cells += np.bincount(np.concatenate(held), minlength=len(cells))
+                    held, count = [], 0
+            if held:
+                cells += np.bincount(np.concatenate(held), minlength=len(cells))
             kind = batch.column("id").type
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(sizes, pa.int64()), _signed(keys), pa.nulls(len(sizes), pa.int32())], names
@@ -281,16 +287,38 @@ def _star(entries: DataFrame, turn: int, percent: int) -> DataFrame:
 
 
 def _across(entries: DataFrame, percent: int) -> DataFrame:
-    """Candidates between documents of different components; their lists hold both."""
-    lists = entries.select("token", "part").distinct()
-    other = lists.select("token", F.col("part").alias("part2"))
-    parts = lists.join(other, "token").where("part < part2")
-    one = entries.select("token", "part", F.col("key").alias("a"), "n", "level")
+    """Candidates between documents of different parts.
+
+    In a pair's prefixes the smaller document's n-gram stands in the prefix it would need for a
+    partner of its own size, so only those entries look for partners in a list.
+    """
+    n, level = F.col("n"), F.col("level")
+    short = F.shiftright("level", 4) <= n + level % 16 - F.ceil(percent * (n + n) / F.lit(100 + percent))
+    one = entries.where(short).withColumnRenamed("key", "a")
     two = entries.select(
-        "token", F.col("part").alias("part2"), F.col("key").alias("b"), F.col("n").alias("n2"),
-        F.col("level").alias("level2"),
-    )
-    return _enough(parts.join(one, ["token", "part"]).join(two, ["token", "part2"]), percent)
+        "token", F.col("part").alias("part2"), F.col("key").alias("b"), n.alias("n2"), level.alias("level2")
+    )
+    smaller = (n < F.col("n2")) | ((n == F.col("n2")) & (F.col("a") < F.col("b")))
+    return _enough(one.join(two, "token").where((F.col("part") != F.col("part2")) & smaller), percent)
+
+
+def _likely(pairs: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
+    """The pairs that can be similar enough by all the n-grams that are kept of them.
+
+    All common n-grams up to the earlier end of the two lists are in both; behind it there are at
+    most as many as its document has left.
+    """
+    n, level = F.col("n"), F.col("level")
+    kept = F.ceil(percent * n / F.lit(100)) - level % 16  # n-grams behind the list
+    heads = entries.groupBy("key").agg(
+        F.max("n").alias("n"), F.max(kept).alias("rest"), F.collect_list("token").alias("tokens")
+    )
+    one = heads.select(F.col("key").alias("a"), n.alias("n1"), F.col("rest").alias("rest1"), F.col("tokens").alias("t1"))
+    two = heads.select(F.col("key").alias("b"), n.alias("n2"), F.col("rest").alias("rest2"), F.col("tokens").alias("t2"))
+    common = F.size(F.array_intersect("t1", "t2"))
+    least = F.ceil(percent * (F.col("n1") + F.col("n2")) / F.lit(100 + percent))
+    fits = common + F.greatest("rest1", "rest2") >= least
+    return pairs.join(one, "a").join(two, "b").where(fits).select("a", "b")
 
 
 def near_copies(
@@ -352,9 +380,9 @@ def near_copies(
     starred = _star(entries, 0, percent)
     for turn in range(1, hubs):
         starred = starred.union(_star(entries, turn, percent))
-    links = verified(starred.distinct())
+    links = verified(_likely(starred.distinct(), entries, percent))
     entries = _apart(entries, links)
-    links = links.union(verified(_across(entries, percent)))
+    links = links.union(verified(_likely(_across(entries, percent), entries, percent)))
 
     roots = components(links)
     sized = rows.where("n > 0")
