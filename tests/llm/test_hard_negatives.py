@@ -114,9 +114,20 @@ def test_search_skips_nodes_outside_its_windows(monkeypatch):
     centres = draw.normal(size=(30, 16)) * 200
     points = np.floor(centres[draw.integers(0, 30, 6000)] + draw.normal(size=(6000, 16)) * 5).astype(np.int64)
     tree = cover_tree.build(points, np.arange(6000), draw.integers(0, 3, 6000))
-    taken = []
-    take = cover_tree._take
-    monkeypatch.setattr(cover_tree, "_take", lambda t, rows, *rest: (taken.append(len(rows)), take(t, rows, *rest)))
-    for i in range(20):
-        cover_tree.search(tree, points[i], 1, True, [cover_tree.Window(-np.inf, np.inf, 5)])
+    taken, verify = [], cover_tree._verify
+
+    def counted(tree, leaf, own, *rest):
+        taken.append(len(own) * int(tree.last[leaf] - tree.first[leaf]))
+        verify(tree, leaf, own, *rest)
+
+    monkeypatch.setattr(cover_tree, "_verify", counted)
+    ends = np.full((20, 1), np.inf)
+    labels = np.ones(20, np.int64)
+    query, _, ids, scores = cover_tree.search(tree, points[:20], labels, True, -ends, ends, 5)
     assert sum(taken) < 20 * 6000 / 5
+    ours = {(q, i, s) for q, i, s in zip(query.tolist(), ids.tolist(), scores.tolist(), strict=True)}
+    own = np.flatnonzero(tree.labels == 1)
+    for q in range(20):
+        every = sorted((-int(tree.points[p] @ points[q]), int(tree.ids[p])) for p in own)[:5]
+        assert {(q, i, -s) for s, i in every} <= ours
+    assert len(ours) == 100

@@ -17,8 +17,9 @@ import numpy as np
 #: From a level to the next, radii shrink by this; nodes of no more points than this are leaves.
 SHRINK = 1.25
 LEAF = 64
-#: Nodes looked at together.
-_TOGETHER = 24
+#: Leaves that every query takes first, and points held before only the best are kept.
+_FIRST = 2
+_HELD = 1 << 18
 
 
 class Tree(NamedTuple):
@@ -92,59 +93,113 @@ def build(points: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> Tree:
     )
 
 
-def _bounds(tree: Tree, nodes: np.ndarray, query: np.ndarray, length: float) -> tuple[np.ndarray, np.ndarray]:
-    """The least and the highest inner product that points of the nodes can have."""
-    reach = tree.norm * length
-    if reach == 0.0:
-        return np.zeros(len(nodes)), np.zeros(len(nodes))
-    angle = np.arccos(np.clip(tree.centre[nodes] @ query / reach, -1.0, 1.0))
-    low = reach * np.cos(np.minimum(angle + tree.angle[nodes], np.pi))
-    high = reach * np.cos(np.maximum(angle - tree.angle[nodes], 0.0))
+def _bounds(tree: Tree, nodes: np.ndarray, queries: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least and the highest inner product that a node's points (row) can have with a query
+    (column)."""
+    reach = tree.norm * lengths
+    cosine = tree.centre[nodes] @ queries.T / np.where(reach > 0, reach, 1.0)
+    angle, own = np.arccos(np.clip(cosine, -1.0, 1.0)), tree.angle[nodes][:, None]
+    low = reach * np.cos(np.minimum(angle + own, np.pi))
+    high = reach * np.cos(np.maximum(angle - own, 0.0))
     slack = 1e-6 * reach
     return low - slack, high + slack
 
 
-class Window(NamedTuple):
-    """The best ``count`` points whose inner product is between ``low`` and ``high``."""
-
-    low: float
-    high: float
-    count: int
+class Best:
+    """The best points found for some queries' windows, and what is the least worth finding."""
+
+    def __init__(self, lows: np.ndarray, highs: np.ndarray, count: int):
+        self.count, self.highs = count, highs
+        self.least = np.array(lows, dtype=np.float64)
+        self.kept: list[np.ndarray] = []  # of query, window, id; and of scores
+        self.scores: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        for window in range(self.highs.shape[1]):
+            inside = (scores >= self.least[query, window]) & (scores <= self.highs[query, window])
+            if inside.any():
+                own = query[inside]
+                self.kept.append(np.stack([own, np.full(len(own), window), ids[inside]]))
+                self.scores.append(scores[inside])
+                self.held += len(own)
+        if self.held > _HELD:
+            self.settle()
+
+    def settle(self) -> tuple[np.ndarray, np.ndarray]:
+        """Only the best of every window stay, by falling score and then by id; the last of a full
+        window raises its least."""
+        if not self.kept:
+            return np.zeros((3, 0), np.int64), np.zeros(0)
+        (query, window, ids), scores = np.concatenate(self.kept, axis=1), np.concatenate(self.scores)
+        by = np.lexsort((ids, -scores, window, query))
+        query, window, ids, scores = query[by], window[by], ids[by], scores[by]
+        group = query * self.highs.shape[1] + window
+        first = np.searchsorted(group, group)
+        place = np.arange(len(group)) - first
+        last = place == self.count - 1
+        self.least[query[last], window[last]] = np.maximum(self.least[query[last], window[last]], scores[last])
+        stay = place < self.count
+        self.kept, self.scores = [np.stack([query, window, ids])[:, stay]], [scores[stay]]
+        self.held = int(stay.sum()) if 2 * stay.sum() < _HELD else 0
+        return self.kept[0], self.scores[0]
 
 
 def search(
-    tree: Tree, query: np.ndarray, label: int, same: bool, windows: list[Window]
-) -> list[list[tuple[int, int]]]:
-    """For every window the ids and inner products of its best points of the ``label``, or of
-    other labels, by falling product and then by id.
-
-    Nodes are opened by falling upper bound. A node is left out when none of the windows can
-    take a point of it: it lies outside them, or their worst point is better than its bound.
+    tree: Tree, queries: np.ndarray, labels: np.ndarray, same: bool, lows: np.ndarray, highs: np.ndarray, count: int
+) -> tuple[np.ndarray, ...]:
+    """Query, window, id and score of the best ``count`` points of every window (a column of
+    ``lows`` and ``highs``) of each query that have its label, or another one.
+
+    The bounds of a node are no wider than its parent's, and a node none of whose queries has a
+    window that it can reach is not opened. Of the leaves left, each query first takes those of
+    the highest bound; then every leaf that can still hold a point better than the worst of a
+    full window, or in a window not yet full, is verified for just the queries concerned.
     """
-    query = query.astype(np.float64)
-    length = float(np.sqrt(query @ query))
-    best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, np.int64)) for _ in windows]
-    least = np.array([w.low for w in windows], dtype=np.float64)
-    most = np.array([w.high for w in windows], dtype=np.float64)
-    nodes = np.zeros(min(len(tree.centre), 1), dtype=np.int64)
-    low, high = _bounds(tree, nodes, query, length)
-    while True:
-        wanted = ((high[:, None] >= least) & (low[:, None] <= most)).any(axis=1)
+    best = Best(lows, highs, count)
+    queries = queries.astype(np.float64)
+    lengths = np.sqrt((queries * queries).sum(axis=1))
+    if not len(tree.centre) or not len(queries):
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    nodes = np.zeros(1, dtype=np.int64)
+    low, high = _bounds(tree, nodes, queries, lengths)
+    leaves, bottoms, tops = [], [], []
+    while len(nodes):
+        wanted = _wanted(best, low, high).any(axis=1)
         nodes, low, high = nodes[wanted], low[wanted], high[wanted]
-        if not len(nodes):
-            break
-        by = np.argsort(-high, kind="stable")
-        now, later = nodes[by[:_TOGETHER]], by[_TOGETHER:]
-        nodes, low, high = nodes[later], low[later], high[later]
-        leaf = tree.children[now] == 0
-        if leaf.any():
-            _take(tree, _ranges(tree.first[now[leaf]], tree.last[now[leaf]]), query, label, same, windows, best, least)
-        inner = now[~leaf]
-        if len(inner):
-            found = _ranges(tree.child[inner], tree.child[inner] + tree.children[inner])
-            under, over = _bounds(tree, found, query, length)
-            nodes, low, high = (np.concatenate(x) for x in ((nodes, found), (low, under), (high, over)))
-    return [list(zip(i.tolist(), s.astype(np.int64).tolist(), strict=True)) for s, i in best]
+        leaf = tree.children[nodes] == 0
+        leaves.append(nodes[leaf])
+        bottoms.append(low[leaf])
+        tops.append(high[leaf])
+        nodes, low, high = nodes[~leaf], low[~leaf], high[~leaf]
+        parent = np.repeat(np.arange(len(nodes)), tree.children[nodes])
+        nodes = _ranges(tree.child[nodes], tree.child[nodes] + tree.children[nodes])
+        under, over = _bounds(tree, nodes, queries, lengths)
+        low, high = np.maximum(under, low[parent]), np.minimum(over, high[parent])
+    leaves, low, high = np.concatenate(leaves), np.concatenate(bottoms), np.concatenate(tops)
+    left = _wanted(best, low, high)
+    for _ in range(min(_FIRST, len(leaves))):
+        chosen = np.where(left, high, -np.inf).argmax(axis=0)
+        own = np.flatnonzero(left[chosen, np.arange(len(queries))])
+        left[chosen[own], own] = False
+        for place in np.unique(chosen[own]):
+            _verify(tree, leaves[place], own[chosen[own] == place], queries, labels, same, best)
+        best.settle()
+    left &= _wanted(best, low, high)
+    for place in np.argsort(-high.max(axis=1, initial=-np.inf), kind="stable"):
+        own = np.flatnonzero(left[place])
+        if len(own):
+            _verify(tree, leaves[place], own, queries, labels, same, best)
+    (query, window, ids), scores = best.settle()
+    return query, window, ids, scores.astype(np.int64)
+
+
+def _wanted(best: Best, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Whether any window of a query (column) can take a point of a node (row)."""
+    wanted = np.zeros(low.shape, dtype=bool)
+    for least, most in zip(best.least.T, best.highs.T, strict=True):
+        wanted |= (high >= least) & (low <= most) & (least <= most)
+    return wanted
 
 
 def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -152,17 +207,12 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
 
 
-def _take(tree, rows, query, label, same, windows, best, least) -> None:
-    """Put the points of some leaves into the windows; raises what is the least of a full one."""
-    rows = rows[(tree.labels[rows] == label) == same]
-    scores = tree.points[rows] @ query
-    for k, window in enumerate(windows):
-        inside = (scores >= least[k]) & (scores <= window.high)
-        if not inside.any():
-            continue
-        score = np.concatenate([best[k][0], scores[inside]])
-        name = np.concatenate([best[k][1], tree.ids[rows[inside]]])
-        by = np.lexsort((name, -score))[: window.count]
-        best[k] = score[by], name[by]
-        if len(by) == window.count:
-            least[k] = max(window.low, best[k][0][-1])
+def _verify(tree: Tree, leaf: int, own: np.ndarray, queries, labels, same: bool, best: Best) -> None:
+    """Take the exact scores of a leaf's points for some queries."""
+    a, b = tree.first[leaf], tree.last[leaf]
+    scores = queries[own] @ tree.points[a:b].T
+    fits = (tree.labels[a:b][None, :] == labels[own][:, None]) == same
+    fits &= (scores >= best.least[own].min(axis=1)[:, None]) & (scores <= best.highs[own].max(axis=1)[:, None])
+    query, point = np.nonzero(fits)
+    if len(query):
+        best.add(own[query], tree.ids[a:b][point], scores[query, point])

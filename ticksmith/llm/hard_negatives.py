@@ -17,6 +17,8 @@ from ticksmith.llm.shared import require, written
 TREE_BYTES = 4 << 20
 #: Whole-number components stay within this, so that products of up to 8,192 of them are exact.
 _LARGEST = 1 << 20
+#: Queries that search a tree together.
+_TOGETHER = 256
 _FOUND = "query long, positive_score long, vec_id long, score long"
 
 
@@ -72,34 +74,43 @@ def _grown(width: int):
     return run
 
 
-def _searched(width: int, same: bool, windows_of: Callable[[list | None], list]):
-    """Each block's tree comes first, then the queries that search it."""
+def _searched(width: int, same: bool, count: int, limits: Callable[[list[int] | None], list[tuple]]):
+    """Each block's tree comes first, then the queries that search it, many at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = None
         for batch in batches:
-            blocks = batch.column("tree")
-            vectors = _matrix(batch.column("vec").fill_null([]), width)
-            labels, scores = batch.column("label").to_pylist(), batch.column("scores").to_pylist()
-            out: list[tuple[int, int | None, int, int]] = []
-            for i, query in enumerate(batch.column("query").to_pylist()):
-                if blocks[i].is_valid:
+            bodies = batch.column("tree")
+            there = np.flatnonzero(bodies.is_valid().to_numpy(zero_copy_only=False))
+            edges = [0, *(there + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges, edges[1:], strict=False):
+                stop = b - 1 if b - 1 in there else b  # a tree's own row ends a stretch of queries
+                for at in range(a, stop, _TOGETHER):
+                    yield answers(tree, batch.slice(at, min(stop, at + _TOGETHER) - at))
+                if stop < b:
                     # Written by this job's own tasks.
-                    tree = cover_tree.Tree(*pickle.loads(blocks[i].as_buffer()))
-                    continue
-                windows = windows_of(scores[i])
-                found = cover_tree.search(tree, vectors[i], labels[i], same, windows)
-                for k, points in enumerate(found):
-                    out += [(query, scores[i][k] if scores[i] else None, name, score) for name, score in points]
-            columns = list(zip(*out, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], ["query", "positive_score", "vec_id", "score"]
-            )
+                    tree = cover_tree.Tree(*pickle.loads(bodies[stop].as_buffer()))
+
+    def answers(tree: cover_tree.Tree, part: pa.RecordBatch) -> pa.RecordBatch:
+        asked = part.column("scores").to_pylist()
+        windows = [limits(x) for x in asked]
+        most = max(map(len, windows))
+        bounds = np.array([w + [(np.inf, -np.inf)] * (most - len(w)) for w in windows])
+        query, window, ids, scores = cover_tree.search(
+            tree, _matrix(part.column("vec"), width), part.column("label").to_numpy(), same,
+            bounds[:, :, 0], bounds[:, :, 1], count,
+        )
+        names = part.column("query").to_numpy()[query]
+        positive = [asked[q][w] if asked[q] else None for q, w in zip(query.tolist(), window.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names), pa.array(positive, pa.int64()), pa.array(ids), pa.array(scores)],
+            ["query", "positive_score", "vec_id", "score"],
+        )
 
     return run
 
 
-def _search(trees: DataFrame, queries: DataFrame, blocks: int, width: int, same: bool, windows_of: Callable) -> DataFrame:
+def _search(trees: DataFrame, queries: DataFrame, blocks: int, searched: Callable) -> DataFrame:
     """All queries against all blocks: every query goes to every block, no pair of rows is made."""
     here = queries.select(
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
@@ -113,7 +124,7 @@ def _search(trees: DataFrame, queries: DataFrame, blocks: int, width: int, same:
     # The tree's row sorts before the queries, which name it null.
     both = first.union(here).repartition(count, "block")
     both = both.sortWithinPartitions("block", F.col("query").asc_nulls_first())
-    return both.mapInArrow(_searched(width, same, windows_of), _FOUND)
+    return both.mapInArrow(searched, _FOUND)
 
 
 def _first(rows: DataFrame, keys: list[str], order: list[Column], count: int) -> DataFrame:
@@ -163,17 +174,15 @@ def hard_negatives(
     queries = written(anchors.dropDuplicates(["query"]).select("query", "label", "vec"), "queries")
     asked = queries.withColumn("scores", F.lit(None).cast("array<bigint>"))
     best = positives + 1  # the anchor itself may be among them
-    everything = cover_tree.Window(-np.inf, np.inf, best)
-    near = _search(trees, asked, blocks, width, True, lambda _: [everything])
+    near = _search(trees, asked, blocks, _searched(width, True, best, lambda _: [(-np.inf, np.inf)]))
     order = [F.desc("score"), F.col("vec_id")]
     near = written(_first(near, ["query"], order, best).select("query", "vec_id", "score"), "near")
 
-    def windows(scores: list) -> list:
-        limits = [(-(-low * s // 100), high * s // 100) for s in scores]
-        return [cover_tree.Window(a, b, negatives) for a, b in limits]
+    def windows(scores: list[int]) -> list[tuple[int, int]]:
+        return [(-(-low * s // 100), high * s // 100) for s in scores]
 
     scores = near.groupBy("query").agg(F.collect_set("score").alias("scores"))  # best at most
-    far = _search(trees, queries.join(scores, "query"), blocks, width, False, windows)
+    far = _search(trees, queries.join(scores, "query"), blocks, _searched(width, False, negatives, windows))
     far = _first(far, ["query", "positive_score"], order, negatives)
     far = far.select(
         "query", "positive_score", F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score"),
