@@ -116,9 +116,9 @@ def test_search_skips_nodes_outside_its_windows(monkeypatch):
     tree = cover_tree.build(points, np.arange(6000), draw.integers(0, 3, 6000))
     taken, verify = [], cover_tree._verify
 
-    def counted(tree, leaf, own, *rest):
-        taken.append(len(own) * int(tree.last[leaf] - tree.first[leaf]))
-        verify(tree, leaf, own, *rest)
+    def counted(tree, leaves, *rest):
+        taken.append(int((tree.last[leaves] - tree.first[leaves]).sum()))
+        verify(tree, leaves, *rest)
 
     monkeypatch.setattr(cover_tree, "_verify", counted)
     ends = np.full((20, 1), np.inf)

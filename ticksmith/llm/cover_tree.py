@@ -17,9 +17,11 @@ import numpy as np
 #: From a level to the next, radii shrink by this; nodes of no more points than this are leaves.
 SHRINK = 1.25
 LEAF = 64
-#: Leaves that every query takes first, and points held before only the best are kept.
-_FIRST = 2
-_HELD = 1 << 18
+#: Leaves that every query takes first, pairs of a query and a point scored together, and points
+#: held before only the best are kept.
+_FIRST, _PAIRS, _HELD = 32, 1 << 14, 1 << 18
+#: What is added to every angle for rounding.
+_ALIKE = 1e-7
 
 
 class Tree(NamedTuple):
@@ -89,7 +91,7 @@ def build(points: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> Tree:
     chord = np.minimum(table[:, 1] / (2 * norm) if norm else table[:, 1] * 0, 1.0)
     return Tree(
         points[by], ids[by], labels[by], norm, points[table[:, 0].astype(np.int64)],
-        2 * np.arcsin(chord) + 1e-7, firsts, lasts, table[:, 2].astype(np.int64), table[:, 3].astype(np.int64),
+        2 * np.arcsin(chord) + _ALIKE, firsts, lasts, table[:, 2].astype(np.int64), table[:, 3].astype(np.int64),
     )
 
 
@@ -97,10 +99,14 @@ def _bounds(tree: Tree, nodes: np.ndarray, queries: np.ndarray, lengths: np.ndar
     """The least and the highest inner product that a node's points (row) can have with a query
     (column)."""
     reach = tree.norm * lengths
-    cosine = tree.centre[nodes] @ queries.T / np.where(reach > 0, reach, 1.0)
-    angle, own = np.arccos(np.clip(cosine, -1.0, 1.0)), tree.angle[nodes][:, None]
-    low = reach * np.cos(np.minimum(angle + own, np.pi))
-    high = reach * np.cos(np.maximum(angle - own, 0.0))
+    low = tree.centre[nodes] @ queries.T
+    high = low.copy()
+    wide = np.flatnonzero(tree.angle[nodes] > _ALIKE)  # the others hold one point, or copies of it
+    if len(wide):
+        angle = np.arccos(np.clip(low[wide] / np.where(reach > 0, reach, 1.0), -1.0, 1.0))
+        own = tree.angle[nodes[wide]][:, None]
+        low[wide] = reach * np.cos(np.minimum(angle + own, np.pi))
+        high[wide] = reach * np.cos(np.maximum(angle - own, 0.0))
     slack = 1e-6 * reach
     return low - slack, high + slack
 
@@ -152,9 +158,9 @@ def search(
     ``lows`` and ``highs``) of each query that have its label, or another one.
 
     The bounds of a node are no wider than its parent's, and a node none of whose queries has a
-    window that it can reach is not opened. Of the leaves left, each query first takes those of
-    the highest bound; then every leaf that can still hold a point better than the worst of a
-    full window, or in a window not yet full, is verified for just the queries concerned.
+    window that it can reach is not opened. Of the leaves left, each query takes those of the
+    highest bounds first, a few and then more; a leaf is left out once it can hold no point
+    better than the worst of a full window, nor any in a window not yet full.
     """
     best = Best(lows, highs, count)
     queries = queries.astype(np.float64)
@@ -177,19 +183,20 @@ def search(
         under, over = _bounds(tree, nodes, queries, lengths)
         low, high = np.maximum(under, low[parent]), np.minimum(over, high[parent])
     leaves, low, high = np.concatenate(leaves), np.concatenate(bottoms), np.concatenate(tops)
-    left = _wanted(best, low, high)
-    for _ in range(min(_FIRST, len(leaves))):
-        chosen = np.where(left, high, -np.inf).argmax(axis=0)
-        own = np.flatnonzero(left[chosen, np.arange(len(queries))])
-        left[chosen[own], own] = False
-        for place in np.unique(chosen[own]):
-            _verify(tree, leaves[place], own[chosen[own] == place], queries, labels, same, best)
+    left, take = _wanted(best, low, high), _FIRST
+    while left.any():
+        some = left.any(axis=1)
+        leaves, low, high, left = leaves[some], low[some], high[some], left[some]
+        now = left
+        if len(leaves) > take:
+            worth = np.ascontiguousarray(np.where(left, high, -np.inf).T)
+            least = np.partition(worth, len(leaves) - take, axis=1)[:, len(leaves) - take]
+            now = left & (high >= least)
+        own, place = np.nonzero(now.T)
+        _verify(tree, leaves[place], own, queries, labels, same, best)
         best.settle()
-    left &= _wanted(best, low, high)
-    for place in np.argsort(-high.max(axis=1, initial=-np.inf), kind="stable"):
-        own = np.flatnonzero(left[place])
-        if len(own):
-            _verify(tree, leaves[place], own, queries, labels, same, best)
+        left = left & ~now & _wanted(best, low, high)
+        take *= 4
     (query, window, ids), scores = best.settle()
     return query, window, ids, scores.astype(np.int64)
 
@@ -207,12 +214,16 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
 
 
-def _verify(tree: Tree, leaf: int, own: np.ndarray, queries, labels, same: bool, best: Best) -> None:
-    """Take the exact scores of a leaf's points for some queries."""
-    a, b = tree.first[leaf], tree.last[leaf]
-    scores = queries[own] @ tree.points[a:b].T
-    fits = (tree.labels[a:b][None, :] == labels[own][:, None]) == same
-    fits &= (scores >= best.least[own].min(axis=1)[:, None]) & (scores <= best.highs[own].max(axis=1)[:, None])
-    query, point = np.nonzero(fits)
-    if len(query):
-        best.add(own[query], tree.ids[a:b][point], scores[query, point])
+def _verify(tree: Tree, leaves: np.ndarray, own: np.ndarray, queries, labels, same: bool, best: Best) -> None:
+    """Take the exact scores of leaves' points for a query each."""
+    sizes = tree.last[leaves] - tree.first[leaves]
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(leaves):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _PAIRS, "right")))
+        point = _ranges(tree.first[leaves[at:stop]], tree.last[leaves[at:stop]])
+        query = np.repeat(own[at:stop], sizes[at:stop])
+        fits = (tree.labels[point] == labels[query]) == same
+        point, query = point[fits], query[fits]
+        best.add(query, tree.ids[point], np.einsum("ij,ij->i", tree.points[point], queries[query]))
+        at = stop
