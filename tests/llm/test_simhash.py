@@ -57,3 +57,18 @@ def test_odd_rows(odd, nothing):
 def test_repeated_rows_count_once(odd):
     six = odd.where(F.col("doc_id") == 6)
     assert keep_one(six).count() == 1
+
+
+def test_keep_one_without_ids_and_with_repeated_ids(spark):
+    near = "x y z u v w"
+    rows = [
+        (None, near), (7, near), (None, "only a nameless text of its own kind"),
+        (None, "only a nameless text of its own kind"), (1, "first text of the id one"),
+        (1, "quite another text for the same id one"), (1, near), (5, "first text of the id one"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in keep_one(frame).collect()), key=str)
+    assert kept == sorted([
+        (1, near), (1, "first text of the id one"), (1, "quite another text for the same id one"),
+        (None, "only a nameless text of its own kind"),
+    ], key=str)

@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -31,30 +34,6 @@ def test_held_out_rows_of_the_tables(spark):
     assert all(e.doc_id in taught for r in rows for e in r.evidence)
 
 
-def test_nearest_is_exact(spark):
-    draw = np.random.default_rng(2)
-    rows = []
-    for i in range(500):
-        term = np.sort(draw.choice(40, draw.integers(0, 6), replace=False))
-        rows.append(spark.createDataFrame if False else type("R", (), {
-            "doc_id": i, "toxic": int(draw.random() < 0.3), "term": term, "n": draw.integers(1, 4, len(term)),
-        }))
-    idf = 1 + draw.random(40)
-    model = toxicity._indexed(rows, np.arange(40, dtype=np.uint64), idf, 7)
-    dense = np.zeros((500, 40))
-    for t in range(40):
-        a, b = model.first[t], model.first[t + 1]
-        dense[model.example[a:b], t] = model.weight[a:b]
-    for _ in range(200):
-        term = np.sort(draw.choice(40, draw.integers(1, 6), replace=False))
-        weight = toxicity._unit(term, draw.integers(1, 4, len(term)).astype(float), idf)
-        cosine = dense[:, term] @ weight
-        best, found = toxicity.nearest(model, term, weight)
-        wanted = np.sort(cosine[cosine > 0])[::-1][:7]
-        assert np.allclose(found, wanted)
-        assert np.allclose(cosine[best], found)
-
-
 def test_learns_and_ignores_held_out_labels(spark):
     frame = _examples(spark)
     labels = frame.select("doc_id", "toxic")
@@ -97,23 +76,121 @@ def test_texts_without_label_terms_have_their_neighbours(spark):
     assert all(r.evidence for r in found.values() if r.doc_id < 1000)
 
 
-def test_nearest_is_exact_with_rare_and_frequent_terms():
-    draw = np.random.default_rng(5)
-    rows = []
-    for i in range(700):
-        term = np.unique(np.minimum(draw.zipf(1.4, 30), 400) - 1)
+def _drawn(count=700, terms=400, seed=5):
+    draw, rows = np.random.default_rng(seed), []
+    for i in range(count):
+        term = np.unique(np.minimum(draw.zipf(1.4, 30), terms) - 1)
         rows.append(toxicity._Example(i, int(draw.random() < 0.3), term, draw.integers(1, 4, len(term))))
-    idf = 1 + draw.random(400)
-    model = toxicity._indexed(rows, np.arange(400, dtype=np.uint64), idf, 7)
+    return draw, rows, 1 + draw.random(terms)
+
+
+def test_nearest_is_exact_with_rare_and_frequent_terms():
+    draw, rows, idf = _drawn()
+    model = toxicity._ready(toxicity._indexed(rows, np.arange(400, dtype=np.uint64), idf, 7))
     assert 0 < model.matrix.shape[1] < 400
     dense = np.zeros((700, 400))
-    for t in range(400):
-        dense[model.example[model.first[t] : model.first[t + 1]], t] = model.weight[model.first[t] : model.first[t + 1]]
+    for i, name in enumerate(model.ids):
+        dense[i, rows[name].term] = toxicity._unit(rows[name].term, rows[name].n, idf)
     for i in range(200):
         term = np.unique(np.minimum(draw.zipf(1.4, 20), 400) - 1)
         weight = toxicity._unit(term, draw.integers(1, 4, len(term)).astype(float), idf)
         cosine = dense[:, term] @ weight
         cosine[i] = 0
         best, found = toxicity.nearest(model, term, weight, without=i)
-        assert np.allclose(found, np.sort(cosine[cosine > 0])[::-1][:7])
-        assert np.allclose(cosine[best], found)
+        assert np.allclose(found, np.sort(cosine[cosine > 0])[::-1][:7], atol=1e-6)
+        assert np.allclose(cosine[best], found, atol=1e-6)
+
+
+def test_ceilings_leave_out_most_examples():
+    draw, rows, idf = _drawn(3200, 400, 6)
+    # Four kinds of examples with frequent terms of their own.
+    rows = [r._replace(term=(r.term + 400 * (i % 4))) for i, r in enumerate(rows)]
+    idf = np.tile(idf, 4)
+    model = toxicity._ready(toxicity._indexed(rows, np.arange(1600, dtype=np.uint64), idf, 7))
+    read = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, rows):
+            if isinstance(rows, np.ndarray):
+                read.append(len(rows))
+            return np.asarray(super().__getitem__(rows))
+
+    counted = model._replace(matrix=model.matrix.view(Counted))
+    for r in rows[:50]:
+        toxicity.nearest(counted, r.term, toxicity._unit(r.term, r.n, idf))
+    assert sum(read) < 50 * 3200 / 3
+
+
+def _whole_score(docs, labels, neighbours=7, max_terms=512, least=5.0, factor=4.0):
+    """Scores of (id, text) rows by plain loops, for ids and labels that occur once."""
+
+    def words(text):
+        return Counter(brute.ALNUM.findall((text or "").translate(brute.UPPER)))
+
+    counts = {i: words(t) for i, t in docs}
+    taught = [i for i in counts if i in labels and brute.crc_mod5(i)]
+    df = Counter(w for c in counts.values() for w in c)
+    yes, no = sum(labels[i] for i in taught), sum(1 - labels[i] for i in taught)
+    chi = {}
+    for w in {w for i in taught for w in counts[i]}:
+        a = sum(labels[i] for i in taught if w in counts[i])
+        b = sum(1 - labels[i] for i in taught if w in counts[i])
+        if 3 <= a + b < yes + no:
+            chi[w] = (yes + no) * (a * no - b * yes) ** 2 / (yes * no * (a + b) * (yes + no - a - b))
+    telling = sorted((w for w in chi if chi[w] >= least), key=lambda w: -chi[w])[:max_terms]
+    known = {w for i in taught for w in counts[i]}
+
+    def vector(c):
+        v = {w: (1 + math.log(n)) * (math.log((1 + len(docs)) / (1 + df[w])) + 1) * (factor if w in telling else 1)
+             for w, n in c.items() if w in known}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / size for w, x in v.items()}
+
+    vectors = {i: vector(c) for i, c in counts.items()}
+    prior = (yes + 0.1) / (yes + no + 1)
+
+    def vote(i, others):
+        near = sorted((sum(x * vectors[j].get(w, 0) for w, x in vectors[i].items()) for j in others), reverse=True)
+        least = near[neighbours - 1] if len(near) >= neighbours else 0
+        pairs = [(sum(x * vectors[j].get(w, 0) for w, x in vectors[i].items()), labels[j]) for j in others]
+        pairs = [p for p in pairs if p[0] > 0 and p[0] >= least - 1e-12]
+        assert len(pairs) <= neighbours, "the fixture must have no ties"
+        return (sum(c * y for c, y in pairs) + prior) / (sum(c for c, _ in pairs) + 1)
+
+    left = sorted((round(vote(i, [j for j in taught if j != i]), 9), labels[i]) for i in taught)
+    pools = []
+    for v, y in left:
+        if pools and pools[-1][0] == v:
+            pools[-1][1] += y
+            pools[-1][2] += 1
+        else:
+            pools.append([v, y + prior * 0.1, 1.1])
+    merged = []
+    for pool in pools:
+        merged.append(pool)
+        while len(merged) > 1 and merged[-2][1] / merged[-2][2] >= merged[-1][1] / merged[-1][2]:
+            _, y, n = merged.pop()
+            merged[-1][1] += y
+            merged[-1][2] += n
+
+    def calibrated(v):
+        share = [y / n for at, y, n in merged if at <= v + 1e-9] or [merged[0][1] / merged[0][2]]
+        return 0.98 * share[-1] + 0.02 * v
+
+    return {i: calibrated(vote(i, taught)) for i in counts}
+
+
+def test_whole_score_equals_plain_loops(spark):
+    draw = np.random.default_rng(8)
+    rows = []
+    for i in range(220):
+        bad = i % 4 == 0
+        drawn = [f"w{int(k)}" for k in np.minimum(draw.zipf(1.3, int(draw.integers(5, 60))), 800)]
+        rows.append((i, " ".join(drawn + (["gruesome"] * int(draw.integers(1, 3)) if bad else [])), int(bad)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = frame.where("doc_id % 11 <> 0").select("doc_id", "toxic")
+    found = toxicity.scored(frame.select("doc_id", "text"), labels, least_chi2=5.0).collect()
+    wanted = _whole_score([(i, t) for i, t, _ in rows], {i: y for i, _, y in rows if i % 11}, least=5.0)
+    assert len(found) == len(rows)
+    for r in found:
+        assert abs(r.score - wanted[r.doc_id]) < 1e-5

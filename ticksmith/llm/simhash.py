@@ -108,41 +108,50 @@ def near_duplicates(
     others but name a component only if it has no other id. Repeated rows stay. An empty table
     gives an empty result; other columns are left out.
     """
+    prints, named = _grouped(docs, identity, text, words, bits)
+    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    labels = named.join(names, "root").select("fp", "component_id")
+    return prints.join(labels, "fp").select(
+        F.col("id").alias(identity), F.col("fp").alias("fingerprint"), "component_id"
+    )
+
+
+def _grouped(docs: DataFrame, identity: str, text: str, words: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """``id``, ``body`` (a hash of the text) and ``fp`` of every row, and of every fingerprint its
+    ``least`` id, its first row (``first``: by id, null last, and then body) and its component's
+    ``root``."""
     require(docs, identity, text)
+    body = F.col(f"`{text}`")
     prints = written(
         docs.select(
-            F.col(f"`{identity}`").alias("id"), fingerprint(F.col(f"`{text}`"), words).alias("fp")
+            F.col(f"`{identity}`").alias("id"), F.xxhash64(body).alias("body"), fingerprint(body, words).alias("fp")
         ),
         "fingerprints",
     )
-    least = prints.groupBy("fp").agg(F.min("id").alias("least"))
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "body")).alias("first")
+    least = prints.groupBy("fp").agg(F.min("id").alias("least"), first)
     links = linked_fingerprints(least.select(F.col("fp").alias("fingerprint")), bits)
     roots = components(links)
-    named = least.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = named.join(names, "root").select("fp", "component_id")
-    return prints.join(labels, "fp").select(
-        F.col("id").alias(identity), F.col("fp").alias("fingerprint"), "component_id"
-    )
+    named = least.join(roots, F.col("fp") == F.col("node"), "left")
+    return prints, named.select("fp", "least", "first", F.coalesce("root", "fp").alias("root"))
 
 
 def keep_one(
     docs: DataFrame, identity: str = "doc_id", text: str = "text", words: int = 3, bits: int = 3
 ) -> DataFrame:
-    """One row of each group: that whose id names its component, whole, with docs' columns.
+    """One row of each group, whole, with docs' columns: that of the smallest id, and of several
+    texts of that id the one with the smallest hash.
 
-    Rows that repeat both id and text count as one. A null id stays where its group has no
-    other. An empty table gives an empty result.
+    Rows that repeat both id and text count as one. A row without an id stays only where its
+    group has no other, and then one. An empty table gives an empty result.
     """
-    groups = near_duplicates(docs, identity, text, words, bits)
-    kept = groups.where(F.col(identity).eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col(identity).alias("kept_id")).distinct()
+    _, named = _grouped(docs, identity, text, words, bits)
+    kept = named.groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.id").alias("kept_id"), F.col("first.body").alias("kept_body"))
     packed = docs.select(
         F.struct("*").alias("row"),
         F.col(f"`{identity}`").alias("id"),
         F.xxhash64(F.col(f"`{text}`")).alias("body"),
     )
-    packed = packed.join(kept, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return packed.dropDuplicates(["id", "body"]).select("row.*")
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("body") == F.col("kept_body"))
+    return packed.join(kept, same, "left_semi").dropDuplicates(["id", "body"]).select("row.*")

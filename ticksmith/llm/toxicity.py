@@ -1,5 +1,5 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index of all
-their terms."""
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index of
+all their words."""
 
 from __future__ import annotations
 
@@ -24,20 +24,22 @@ from ticksmith.llm.shared import (
     written,
 )
 
-#: Leading bytes of longer words that are terms beside the words themselves.
-LEADING = (4, 6, 8)
-#: Terms in more than this share of the examples are multiplied as a matrix, for many texts at once.
+#: Terms in more than this share of the examples have a ceiling in every block of so many examples.
 _OFTEN = 1 / 16
-_TOGETHER = 64
-#: Terms whose counts of a task are packed together.
+_BLOCK = 32
+#: Groups that examples are ordered by, so that the examples of a block resemble each other.
+_GROUPS = 64
+#: Terms whose counts of a task are packed together, and tasks whose counts are added together.
 _PACKED = 1 << 14
+_TASKS = 1024
+#: More than single precision can move a cosine.
+_SLACK = 1e-4
 _EVIDENCE = "array<struct<doc_id: bigint, similarity: double, toxic: int>>"
 _SCORED = f"struct<score: double, evidence: {_EVIDENCE}>"
 
 
 class Model(NamedTuple):
-    """An inverted index of labelled examples, a matrix of their frequent terms and the
-    calibration of the votes."""
+    """An inverted index of labelled examples, whose frequent terms have a ceiling per block."""
 
     terms: np.ndarray  # sorted term hashes
     idf: np.ndarray
@@ -46,25 +48,25 @@ class Model(NamedTuple):
     weight: np.ndarray  # unit-length TF-IDF
     often: np.ndarray  # of each term, its place among the frequent ones, or -1
     matrix: np.ndarray | None  # weights of frequent terms, a row for each example; not sent
+    ceilings: np.ndarray | None  # the highest weights of each block of rows; not sent
     ids: np.ndarray
     label: np.ndarray
     prior: float
     neighbours: int
-    steps: np.ndarray  # votes and what share of examples with such votes is toxic
+
+
+class Calibration(NamedTuple):
+    """Votes, and what share of the examples with such votes is toxic."""
+
+    steps: np.ndarray
     shares: np.ndarray
 
 
 def _term_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and hash of every term in a piece: lower-cased words, and leading bytes of longer."""
+    """Row and hash of every term, a lower-cased word, in a piece."""
     data = LOWER[data]
     starts, ends, first = word_bounds(data, offsets, ALNUM)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    rows, hashes = [row], [word_hashes(data, starts, ends)]
-    for size in LEADING:
-        long = np.flatnonzero(ends - starts > size)
-        rows.append(row[long])
-        hashes.append(word_hashes(data, starts[long], ends[long], leading=size))
-    return np.concatenate(rows), np.concatenate(hashes)
+    return np.repeat(np.arange(len(offsets) - 1), np.diff(first)), word_hashes(data, starts, ends)
 
 
 def _known_terms(column: pa.Array, terms: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -119,7 +121,23 @@ def _document_counts(terms_of: object):
 
 def _summed(table: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in table["docs"].to_pylist())
-    return pa.table({"part": table["part"][:1], "docs": pa.array([total.tobytes()], pa.binary())})
+    return pa.table({"part": table["part"][:1], "docs": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+
+
+def _document_frequencies(docs: DataFrame, terms_of: object, count: int) -> np.ndarray:
+    """Rows of ``docs`` that hold each term, and all rows last.
+
+    Tasks count in packed parts; the parts of some tasks are added together, then those sums, so
+    that no group holds a part of every task.
+    """
+    packed = docs.select("text").mapInArrow(_document_counts(terms_of), "part int, docs binary")
+    packed = packed.withColumn("tasks", F.floor(F.spark_partition_id() / _TASKS).cast("int"))
+    some = packed.groupBy("part", "tasks").applyInArrow(_summed, "part int, docs binary")
+    found = np.zeros(count + 1, dtype=np.int64)
+    for r in some.groupBy("part").applyInArrow(_summed, "part int, docs binary").collect():
+        own = np.frombuffer(zlib.decompress(r.docs), np.int64)
+        found[r.part * _PACKED : r.part * _PACKED + len(own)] = own
+    return found
 
 
 def fit(
@@ -131,16 +149,17 @@ def fit(
     neighbours: int = 7,
     seed: int = 41,
     label_weight: float = 4.0,
-) -> Model:
-    """A model of the ``labels`` (``doc_id``, ``toxic`` 0 or 1, an id once) of ``docs``
-    (``doc_id``, ``text``).
+) -> tuple[object, Calibration]:
+    """A broadcast model of the ``labels`` (``doc_id``, ``toxic`` 0 or 1, an id once) of ``docs``
+    (``doc_id``, ``text``), and what its votes mean.
 
     At most ``max_examples`` examples are kept, those whose ids have the smallest seeded hashes;
-    of several texts of an id the least. Every term of theirs is indexed, so ``max_examples``
-    bounds what comes to the driver and is broadcast. The ``max_terms`` whose presence depends
+    of several texts of an id the least. Every word of theirs is indexed, so ``max_examples`` and
+    their length bound what comes to the driver and is broadcast. The ``max_terms`` whose presence depends
     most on the label (chi-square, ``least_chi2`` at least, in three examples or more) weigh
     ``label_weight`` times their IDF. Chance alone reaches 24 once in a million terms; lower
-    bounds raise terms that say nothing. Document frequencies count every row of ``docs``.
+    bounds raise terms that say nothing. Document frequencies count every row of ``docs``. Each
+    example's vote without itself, taken in tasks, calibrates the votes.
     """
     spark = docs.sparkSession
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -158,30 +177,34 @@ def fit(
     seen = spread.mapInArrow(_label_counts, "term long, yes long, no long")
     seen = written(seen.groupBy("term").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")), "terms")
     there = F.col("yes") + F.col("no")
-    score = (yes + no) * F.pow(F.col("yes") * F.lit(float(no)) - F.col("no") * F.lit(float(yes)), 2) / (
+    chi2 = (yes + no) * F.pow(F.col("yes") * F.lit(float(no)) - F.col("no") * F.lit(float(yes)), 2) / (
         F.lit(float(yes or 1) * float(no or 1)) * there * (yes + no - there)
     )
-    scored = seen.where((there >= 3) & (there < yes + no)).withColumn("chi2", score)
+    scored = seen.where((there >= 3) & (there < yes + no)).withColumn("chi2", chi2)
     best = scored.where(F.col("chi2") >= least_chi2).orderBy(F.desc("chi2"), "term").limit(max_terms)
-    chosen = np.array([r.term for r in best.collect()], dtype=np.int64).view(np.uint64)
+    telling = np.array([r.term for r in best.collect()], dtype=np.int64).view(np.uint64)
     terms = np.sort(_column(seen.select("term"), "term").view(np.uint64))
     terms_of = spark.sparkContext.broadcast(terms)
 
-    counted = docs.select("text").mapInArrow(_document_counts(terms_of), "part int, docs binary")
-    found = np.zeros(len(terms) + 1, dtype=np.int64)
-    for r in counted.groupBy("part").applyInArrow(_summed, "part int, docs binary").collect():
-        own = np.frombuffer(r.docs, np.int64)
-        found[r.part * _PACKED : r.part * _PACKED + len(own)] = own
+    found = _document_frequencies(docs, terms_of, len(terms))
     idf = np.log((1 + found[-1]) / (1 + found[:-1])) + 1
-    idf[np.searchsorted(terms, chosen)] *= label_weight
+    idf[np.searchsorted(terms, telling)] *= label_weight
 
     vectors = spread.mapInArrow(_vectors(terms_of), "doc_id long, toxic int, term binary, n binary")
+    vectors = written(vectors, "vectors")
     rows = []
     for batch in vectors.toArrow().to_batches():  # of max_examples at most
         for i, y, t, n in zip(*batch.columns, strict=True):
             t, n = (np.frombuffer(x.as_buffer(), np.int32) for x in (t, n))
             rows.append(_Example(i.as_py(), y.as_py(), t, n))
-    return _indexed(sorted(rows, key=lambda r: r[:2]), terms, idf, neighbours)
+    rows.sort(key=lambda r: r.doc_id)
+    model_of = spark.sparkContext.broadcast(_indexed(rows, terms, idf, neighbours))
+    truth = {r.doc_id: r.toxic for r in rows}
+    del rows
+    votes = vectors.mapInArrow(_left_out(model_of), "doc_id long, vote double").toArrow()
+    label = np.array([truth[i] for i in votes["doc_id"].to_pylist()], dtype=np.int64)
+    prior = (label.sum() + 0.1) / (len(label) + 1)
+    return model_of, _rising(votes["vote"].to_numpy(), label, prior)
 
 
 class _Example(NamedTuple):
@@ -218,90 +241,125 @@ def _unit(term: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def _indexed(rows: list, terms: np.ndarray, idf: np.ndarray, neighbours: int) -> Model:
-    """Postings by term; examples stand in order of their heaviest term, so that blocks differ."""
-    sparse = []
-    for r in rows:
-        t = np.asarray(r.term, np.int32)
-        sparse.append((t, _unit(t, np.asarray(r.n, np.float64), idf).astype(np.float32)))
-    order = sorted(
-        range(len(rows)),
-        key=lambda i: (int(sparse[i][0][sparse[i][1].argmax()]) if len(sparse[i][0]) else -1, i),
-    )
-    sparse = [sparse[i] for i in order]
-    label = np.array([rows[i].toxic for i in order], dtype=np.int64)
-    ids = np.array([rows[i].doc_id if rows[i].doc_id is not None else -1 for i in order], dtype=np.int64)
-    sizes = [len(t) for t, _ in sparse]
-    example = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
-    term = np.concatenate([t for t, _ in sparse] or [np.zeros(0, np.int32)])
-    weight = np.concatenate([w for _, w in sparse] or [np.zeros(0, np.float32)])
+    """Postings by term, with examples in the order of their groups, so that a block's ceilings
+    are close to its weights."""
+    label = np.array([r.toxic for r in rows], dtype=np.int64)
+    ids = np.array([r.doc_id if r.doc_id is not None else -1 for r in rows], dtype=np.int64)
+    sizes = [len(r.term) for r in rows]
+    term = np.concatenate([np.asarray(r.term, np.int32) for r in rows] or [np.zeros(0, np.int32)])
+    weights = [_unit(np.asarray(r.term), np.asarray(r.n, np.float64), idf).astype(np.float32) for r in rows]
+    weight = np.concatenate(weights or [np.zeros(0, np.float32)])
     docs = np.bincount(term, minlength=len(terms))
     frequent = docs > len(rows) * _OFTEN
     often = np.where(frequent, np.cumsum(frequent) - 1, -1).astype(np.int32)
-    by = np.argsort(term, kind="stable")
-    example, weight = example[by].astype(np.uint16 if len(rows) <= 1 << 16 else np.int32), weight[by]
+    example = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+    own = often[term] >= 0
+    matrix = np.zeros((len(rows), int(frequent.sum())), dtype=np.float32)
+    matrix[example[own], often[term[own]]] = weight[own]
+    order = _grouped(matrix)
+    del matrix
+    place = np.empty(len(rows), dtype=np.int32)
+    place[order] = np.arange(len(rows), dtype=np.int32)
+    by = np.lexsort((place[example], term))
+    example = place[example[by]].astype(np.uint16 if len(rows) <= 1 << 16 else np.int32)
     prior = (label.sum() + 0.1) / (len(label) + 1)
     first = np.append(0, np.cumsum(docs))
-    model = Model(terms, idf, first, example, weight, often, None, ids, label, prior, neighbours,
-                  np.zeros(0), np.zeros(0))
-    model = _with_matrix(model)
-    left_out = []
-    for at in range(0, len(sparse), _TOGETHER):
-        some = sparse[at : at + _TOGETHER]
-        for i, ((t, w), near) in enumerate(zip(some, nearly(model, some), strict=True), at):
-            left_out.append(vote(model, *nearest(model, t, w, without=i, near=near)))
-    left_out = np.array(left_out)
-    steps, shares = _rising(left_out, label, prior)
-    return model._replace(steps=steps, shares=shares)
-
-
-def _with_matrix(model: Model) -> Model:
+    return Model(terms, idf, first, example, weight[by], often, None, None, ids[order], label[order], prior, neighbours)
+
+
+def _grouped(matrix: np.ndarray, rounds: int = 3) -> np.ndarray:
+    """Rows in an order that keeps those with the same frequent terms together: groups around
+    moving centres, neighbouring groups alike."""
+    if not matrix.size:
+        return np.arange(len(matrix))
+    centres = matrix[np.linspace(0, len(matrix) - 1, min(_GROUPS, len(matrix))).astype(np.int64)].copy()
+    for _ in range(rounds):
+        group = (matrix @ centres.T).argmax(axis=1)
+        for g in range(len(centres)):
+            total = matrix[group == g].sum(axis=0)
+            length = float(np.sqrt((total * total).sum()))
+            if length:
+                centres[g] = total / length
+    alike, path, left = centres @ centres.T, [0], set(range(1, len(centres)))
+    while left:
+        path.append(max(sorted(left), key=lambda g: alike[path[-1], g]))
+        left.remove(path[-1])
+    near = matrix @ centres.T
+    return np.lexsort((-near.max(axis=1), np.argsort(path)[near.argmax(axis=1)]))
+
+
+def _ready(model: Model) -> Model:
+    """The model with its matrix, padded to whole blocks, and their ceilings."""
     often = np.repeat(model.often, np.diff(model.first))
     own = often >= 0
-    matrix = np.zeros((len(model.label), int(model.often.max(initial=-1)) + 1), dtype=np.float32)
+    blocks = -(-len(model.label) // _BLOCK)
+    matrix = np.zeros((blocks * _BLOCK, int(model.often.max(initial=-1)) + 1), dtype=np.float32)
     matrix[model.example[own], often[own]] = model.weight[own]
-    return model._replace(matrix=matrix)
-
-
-def _frequent(model: Model, term: np.ndarray, weight: np.ndarray, kind: type = np.float64) -> np.ndarray:
-    place, out = model.often[term], np.zeros(model.matrix.shape[1], dtype=kind)
-    out[place[place >= 0]] = weight[place >= 0]
-    return out
-
-
-def nearly(model: Model, vectors: list) -> np.ndarray:
-    """What frequent terms add to the cosines of vectors with every example, in single precision."""
-    return np.array([_frequent(model, t, w, np.float32) for t, w in vectors]) @ model.matrix.T
+    ceilings = matrix.reshape(blocks, _BLOCK, -1).max(axis=1) if matrix.size else np.zeros((blocks, matrix.shape[1]))
+    return model._replace(matrix=matrix, ceilings=ceilings.astype(np.float64))
 
 
-def nearest(
-    model: Model, term: np.ndarray, weight: np.ndarray, without: int = -1, near: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray]:
+def nearest(model: Model, term: np.ndarray, weight: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
     """The examples of largest cosine with a unit vector, and the cosines; exact, ties by place.
 
-    Rarer terms are summed over their postings, frequent ones come from ``nearly``. Whatever its
-    rounding can have moved among the nearest is summed again in double precision.
+    Postings of rarer terms are added up. With the ceilings of the frequent terms in an example's
+    block they bound its cosine: the block of the highest bounds is summed first, then whatever
+    can still be among the nearest. No block or example below that is looked at.
     """
     count = len(model.label)
     if not len(term) or not count:
         return np.zeros(0, np.int64), np.zeros(0)
-    if near is None:
-        near = nearly(model, [(term, weight)])[0]
-    rare = model.often[term] < 0
-    first = model.first[term[rare]]
-    sizes = model.first[term[rare] + 1] - first
-    lists = [slice(a, b) for a, b in zip(first.tolist(), (first + sizes).tolist(), strict=True)] or [slice(0)]
+    place = model.often[term]
+    rare = place < 0
+    firsts, lasts = model.first[term[rare]], model.first[term[rare] + 1]
+    lists = [slice(a, b) for a, b in zip(firsts.tolist(), lasts.tolist(), strict=True)] or [slice(0)]
     held = np.concatenate([model.example[x] for x in lists])
-    by = np.concatenate([model.weight[x] for x in lists]) * np.repeat(weight[rare].astype(np.float64), sizes)
-    sums = np.bincount(held, by, count)
-    about = sums + near
+    by = np.concatenate([model.weight[x] for x in lists]) * np.repeat(weight[rare], lasts - firsts)
+    sums = np.bincount(held, by, len(model.matrix)).astype(np.float64, copy=False)
     if without >= 0:
-        about[without] = 0
-    least = np.partition(about, -model.neighbours)[-model.neighbours] if count > model.neighbours else 0
-    best = np.flatnonzero((about > 0) & (about >= least - 1e-4))
-    # Row by row, so that equal examples have equal cosines.
-    cosine = sums[best] + (model.matrix[best] * _frequent(model, term, weight)).sum(axis=1)
-    top = np.lexsort((best, -np.round(cosine, 12)))[: model.neighbours]
-    return best[top], cosine[top]
+        sums[without] = -np.inf
+    common = np.flatnonzero(~rare)
+    columns, values = place[common], weight[common]
+    bounds = sums.reshape(-1, _BLOCK) + (model.ceilings[:, columns] @ values)[:, None]
+    tops = bounds.max(axis=1)
+    some = min(len(tops), -(-2 * model.neighbours // _BLOCK) + 1)
+    first = np.argpartition(-tops, some - 1)[:some]
+
+    query = np.zeros(model.matrix.shape[1], dtype=np.float32)
+    query[columns] = values
+
+    def about(rows: np.ndarray) -> np.ndarray:
+        return sums[rows] + model.matrix[rows] @ query
+
+    trial = about((first[:, None] * _BLOCK + np.arange(_BLOCK)).ravel())
+    least = np.partition(trial, -model.neighbours)[-model.neighbours] if len(trial) >= model.neighbours else 0.0
+    rows = np.flatnonzero(bounds.ravel() >= max(least, 0.0) - _SLACK)
+    rough = about(rows)
+    if len(rows) > model.neighbours:
+        rows = rows[rough >= np.partition(rough, -model.neighbours)[-model.neighbours] - _SLACK]
+    # Whatever single precision can have moved is summed again, row by row, so that equal
+    # examples have equal cosines.
+    cosine = sums[rows] + (model.matrix[np.ix_(rows, columns)] * values).sum(axis=1)
+    rows, cosine = rows[cosine > 0], cosine[cosine > 0]
+    top = np.lexsort((rows, -np.round(cosine, 12)))[: model.neighbours]
+    return rows[top], cosine[top]
+
+
+def _left_out(model_of: object):
+    """The vote of every example without itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _ready(model_of.value)
+        place = {i: p for p, i in enumerate(model.ids.tolist())}
+        for batch in batches:
+            votes = []
+            for i, t, n in zip(*(batch.column(c) for c in ("doc_id", "term", "n")), strict=True):
+                term, count = (np.frombuffer(x.as_buffer(), np.int32) for x in (t, n))
+                weight = _unit(term, count.astype(np.float64), model.idf)
+                votes.append(vote(model, *nearest(model, term, weight, without=place[i.as_py()])))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes, pa.float64())], ["doc_id", "vote"])
+
+    return run
 
 
 def vote(model: Model, best: np.ndarray, cosine: np.ndarray) -> float:
@@ -309,7 +367,7 @@ def vote(model: Model, best: np.ndarray, cosine: np.ndarray) -> float:
     return float(((model.label[best] * cosine).sum() + model.prior) / (cosine.sum() + 1))
 
 
-def _rising(votes: np.ndarray, label: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+def _rising(votes: np.ndarray, label: np.ndarray, prior: float) -> Calibration:
     """Rising shares of toxic examples by vote: neighbours that fall are pooled."""
     at, place = np.unique(np.round(votes, 9), return_inverse=True)
     pools: list[list[float]] = []
@@ -319,19 +377,19 @@ def _rising(votes: np.ndarray, label: np.ndarray, prior: float) -> tuple[np.ndar
             v, y, n = pools.pop()
             pools[-1][1] += y
             pools[-1][2] += n
-    return np.array([p[0] for p in pools]), np.array([p[1] / p[2] for p in pools])
+    return Calibration(np.array([p[0] for p in pools]), np.array([p[1] / p[2] for p in pools]))
 
 
-def _calibrated(model: Model, value: float) -> float:
+def _calibrated(scale: Calibration, value: float) -> float:
     """The share learned for such a vote; a fiftieth of the vote itself keeps the order within
     a pool."""
-    if not len(model.steps):
+    if not len(scale.steps):
         return value
-    place = max(int(np.searchsorted(model.steps, value + 1e-9, "right")) - 1, 0)
-    return 0.98 * float(model.shares[place]) + 0.02 * value
+    place = max(int(np.searchsorted(scale.steps, value + 1e-9, "right")) - 1, 0)
+    return 0.98 * float(scale.shares[place]) + 0.02 * value
 
 
-def score(docs_text: Column, model_of: object) -> Column:
+def score(docs_text: Column, model_of: object, scale: Calibration) -> Column:
     """``score`` (0 to 1) and ``evidence``: the nearest examples, for every text.
 
     A text that shares no term with any example has no neighbours and no evidence.
@@ -342,29 +400,22 @@ def score(docs_text: Column, model_of: object) -> Column:
     @F.arrow_udf(_SCORED)
     def run(column: pa.Array) -> pa.Array:
         if not ready:
-            ready.append(_with_matrix(model_of.value))
+            ready.append(_ready(model_of.value))
         model: Model = ready[0]
         held: dict = {}
         scores, evidence = np.zeros(len(column)), [[]] * len(column)
         for first, size, row, term, count in _known_terms(column, model.terms):
             edges = np.searchsorted(row, np.arange(size + 1))
-            keys, fresh = [], {}
             for i in range(size):
                 t, n = term[edges[i] : edges[i + 1]], count[edges[i] : edges[i + 1]]
-                keys.append(xxhash.xxh3_128_digest(t.tobytes() + n.tobytes()))
-                if keys[i] not in held:
-                    fresh[keys[i]] = t, n
-            fresh = list(fresh.items())
-            for at in range(0, len(fresh), _TOGETHER):
-                some = [(t, _unit(t, n, model.idf)) for _, (t, n) in fresh[at : at + _TOGETHER]]
-                for (key, _), (t, w), near in zip(fresh[at:], some, nearly(model, some), strict=False):
-                    best, cosine = nearest(model, t, w, near=near)
+                key = xxhash.xxh3_128_digest(t.tobytes() + n.tobytes())
+                if key not in held:
+                    best, cosine = nearest(model, t, _unit(t, n, model.idf))
                     shown = [
                         {"doc_id": int(model.ids[b]), "similarity": float(c), "toxic": int(model.label[b])}
                         for b, c in zip(best[:5], cosine[:5], strict=True)
                     ]
-                    held[key] = (_calibrated(model, vote(model, best, cosine)), shown)
-            for i, key in enumerate(keys):
+                    held[key] = (_calibrated(scale, vote(model, best, cosine)), shown)
                 scores[first + i], evidence[first + i] = held[key]
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
         return pa.StructArray.from_arrays(
@@ -392,12 +443,12 @@ def scored(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     taught = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1))
     taught = taught.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     body = docs.select(F.col("doc_id"), F.col("text"))
-    model = fit(body, taught, **settings)
+    model_of, scale = fit(body, taught, **settings)
     rest = [c for c in docs.columns if c.lower() not in {"held_out", "score", "predicted", "evidence"}]
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"),
         held_out(F.col("doc_id")).alias("held_out"),
-        score(F.col("text"), docs.sparkSession.sparkContext.broadcast(model._replace(matrix=None))).alias("s"),
+        score(F.col("text"), model_of, scale).alias("s"),
     )
     return packed.select(
         "row.*", "held_out", F.col("s.score").alias("score"),
