@@ -26,7 +26,9 @@ from ticksmith.llm.shared import (
 
 #: Terms in more than this share of the examples have a ceiling in every block of so many examples.
 _OFTEN = 1 / 16
-_BLOCK = 32
+_BLOCK = 512
+#: Texts that are searched for together.
+_TOGETHER = 64
 #: Groups that examples are ordered by, so that the examples of a block resemble each other.
 _GROUPS = 64
 #: Terms whose counts of a task are packed together, and tasks whose counts are added together.
@@ -289,60 +291,77 @@ def _grouped(matrix: np.ndarray, rounds: int = 3) -> np.ndarray:
 
 
 def _ready(model: Model) -> Model:
-    """The model with its matrix, padded to whole blocks, and their ceilings."""
+    """The model with its matrix and the ceilings of every block of rows."""
     often = np.repeat(model.often, np.diff(model.first))
     own = often >= 0
-    blocks = -(-len(model.label) // _BLOCK)
-    matrix = np.zeros((blocks * _BLOCK, int(model.often.max(initial=-1)) + 1), dtype=np.float32)
+    matrix = np.zeros((len(model.label), int(model.often.max(initial=-1)) + 1), dtype=np.float32)
     matrix[model.example[own], often[own]] = model.weight[own]
-    ceilings = matrix.reshape(blocks, _BLOCK, -1).max(axis=1) if matrix.size else np.zeros((blocks, matrix.shape[1]))
-    return model._replace(matrix=matrix, ceilings=ceilings.astype(np.float64))
+    starts = np.arange(0, len(matrix), _BLOCK)
+    ceilings = np.maximum.reduceat(matrix, starts, axis=0) if matrix.size else np.zeros((len(starts), matrix.shape[1]))
+    return model._replace(matrix=matrix, ceilings=ceilings.astype(np.float32))
 
 
-def nearest(model: Model, term: np.ndarray, weight: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-    """The examples of largest cosine with a unit vector, and the cosines; exact, ties by place.
+def nearest(
+    model: Model, vectors: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each of some unit vectors (terms and weights) the examples of largest cosine, and the
+    cosines; exact, ties by place.
 
-    Postings of rarer terms are added up. With the ceilings of the frequent terms in an example's
-    block they bound its cosine: the block of the highest bounds is summed first, then whatever
-    can still be among the nearest. No block or example below that is looked at.
+    Postings of rarer terms are added up. With the ceilings of the frequent terms they bound
+    every block of examples. Each vector takes the block of the highest bound first; then the
+    blocks that can hold an example as near as the last of its nearest so far, and no others.
     """
-    count = len(model.label)
-    if not len(term) or not count:
-        return np.zeros(0, np.int64), np.zeros(0)
+    count, texts_ = len(model.label), len(vectors)
+    if not count:
+        return [(np.zeros(0, np.int64), np.zeros(0))] * texts_
+    text = np.repeat(np.arange(texts_), [len(t) for t, _ in vectors])
+    term = np.concatenate([t for t, _ in vectors])
+    weight = np.concatenate([w for _, w in vectors])
     place = model.often[term]
     rare = place < 0
-    firsts, lasts = model.first[term[rare]], model.first[term[rare] + 1]
-    lists = [slice(a, b) for a, b in zip(firsts.tolist(), lasts.tolist(), strict=True)] or [slice(0)]
-    held = np.concatenate([model.example[x] for x in lists])
-    by = np.concatenate([model.weight[x] for x in lists]) * np.repeat(weight[rare], lasts - firsts)
-    sums = np.bincount(held, by, len(model.matrix)).astype(np.float64, copy=False)
-    if without >= 0:
-        sums[without] = -np.inf
-    common = np.flatnonzero(~rare)
-    columns, values = place[common], weight[common]
-    bounds = sums.reshape(-1, _BLOCK) + (model.ceilings[:, columns] @ values)[:, None]
-    tops = bounds.max(axis=1)
-    some = min(len(tops), -(-2 * model.neighbours // _BLOCK) + 1)
-    first = np.argpartition(-tops, some - 1)[:some]
-
-    query = np.zeros(model.matrix.shape[1], dtype=np.float32)
-    query[columns] = values
-
-    def about(rows: np.ndarray) -> np.ndarray:
-        return sums[rows] + model.matrix[rows] @ query
-
-    trial = about((first[:, None] * _BLOCK + np.arange(_BLOCK)).ravel())
-    least = np.partition(trial, -model.neighbours)[-model.neighbours] if len(trial) >= model.neighbours else 0.0
-    rows = np.flatnonzero(bounds.ravel() >= max(least, 0.0) - _SLACK)
-    rough = about(rows)
-    if len(rows) > model.neighbours:
-        rows = rows[rough >= np.partition(rough, -model.neighbours)[-model.neighbours] - _SLACK]
-    # Whatever single precision can have moved is summed again, row by row, so that equal
-    # examples have equal cosines.
-    cosine = sums[rows] + (model.matrix[np.ix_(rows, columns)] * values).sum(axis=1)
-    rows, cosine = rows[cosine > 0], cosine[cosine > 0]
-    top = np.lexsort((rows, -np.round(cosine, 12)))[: model.neighbours]
-    return rows[top], cosine[top]
+    firsts, sizes = model.first[term[rare]], model.first[term[rare] + 1] - model.first[term[rare]]
+    at = np.arange(int(sizes.sum())) + np.repeat(firsts - (np.cumsum(sizes) - sizes), sizes)
+    by = model.weight[at] * np.repeat(weight[rare], sizes)
+    sums = np.bincount(model.example[at] + np.repeat(text[rare] * count, sizes), by, texts_ * count)
+    sums = sums.astype(np.float64, copy=False).reshape(texts_, count)
+    if without is not None:
+        sums[np.arange(texts_), without] = -np.inf
+    queries = np.zeros((texts_, model.matrix.shape[1]), dtype=np.float32)
+    queries[text[~rare], place[~rare]] = weight[~rare]
+    starts = np.arange(0, count, _BLOCK)
+    bounds = np.maximum.reduceat(sums, starts, axis=1) + queries @ model.ceilings.T
+
+    about = np.full((texts_, count), -np.inf)
+
+    def take(wanted: np.ndarray) -> None:
+        for block in np.flatnonzero(wanted.any(axis=0)):
+            own, rows = np.flatnonzero(wanted[:, block]), slice(starts[block], starts[block] + _BLOCK)
+            about[own, rows] = sums[own, rows] + queries[own] @ model.matrix[rows].T
+
+    first = np.zeros(bounds.shape, dtype=bool)
+    first[np.arange(texts_), bounds.argmax(axis=1)] = True
+    take(first)
+    last = min(model.neighbours, count)
+    best = starts[bounds.argmax(axis=1)]
+    spans = [about[i, a : a + _BLOCK] for i, a in enumerate(best)]
+    least = np.array([np.partition(x, -last)[-last] if len(x) >= last else 0.0 for x in spans])
+    least = np.maximum(least, 0.0) - _SLACK
+    take((bounds >= least[:, None]) & ~first)
+
+    found = []
+    for i, (t, w) in enumerate(vectors):
+        rows = np.flatnonzero(about[i] >= least[i])
+        rough = about[i, rows]
+        if len(rows) > last:
+            rows = rows[rough >= np.partition(rough, -last)[-last] - _SLACK]
+        # Whatever single precision can have moved is summed again, row by row, so that equal
+        # examples have equal cosines.
+        common = model.often[t] >= 0
+        cosine = sums[i, rows] + (model.matrix[np.ix_(rows, model.often[t][common])] * w[common]).sum(axis=1)
+        rows, cosine = rows[cosine > 0], cosine[cosine > 0]
+        top = np.lexsort((rows, -np.round(cosine, 12)))[: model.neighbours]
+        found.append((rows[top], cosine[top]))
+    return found
 
 
 def _left_out(model_of: object):
@@ -352,11 +371,13 @@ def _left_out(model_of: object):
         model = _ready(model_of.value)
         place = {i: p for p, i in enumerate(model.ids.tolist())}
         for batch in batches:
-            votes = []
-            for i, t, n in zip(*(batch.column(c) for c in ("doc_id", "term", "n")), strict=True):
+            own, vectors, votes = [place[i] for i in batch.column("doc_id").to_pylist()], [], []
+            for t, n in zip(batch.column("term"), batch.column("n"), strict=True):
                 term, count = (np.frombuffer(x.as_buffer(), np.int32) for x in (t, n))
-                weight = _unit(term, count.astype(np.float64), model.idf)
-                votes.append(vote(model, *nearest(model, term, weight, without=place[i.as_py()])))
+                vectors.append((term, _unit(term, count.astype(np.float64), model.idf)))
+            for at in range(0, len(vectors), _TOGETHER):
+                found = nearest(model, vectors[at : at + _TOGETHER], own[at : at + _TOGETHER])
+                votes += [vote(model, *x) for x in found]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes, pa.float64())], ["doc_id", "vote"])
 
     return run
@@ -406,16 +427,22 @@ def score(docs_text: Column, model_of: object, scale: Calibration) -> Column:
         scores, evidence = np.zeros(len(column)), [[]] * len(column)
         for first, size, row, term, count in _known_terms(column, model.terms):
             edges = np.searchsorted(row, np.arange(size + 1))
+            keys, fresh = [], {}
             for i in range(size):
                 t, n = term[edges[i] : edges[i + 1]], count[edges[i] : edges[i + 1]]
-                key = xxhash.xxh3_128_digest(t.tobytes() + n.tobytes())
-                if key not in held:
-                    best, cosine = nearest(model, t, _unit(t, n, model.idf))
+                keys.append(xxhash.xxh3_128_digest(t.tobytes() + n.tobytes()))
+                if keys[i] not in held:
+                    fresh[keys[i]] = t, _unit(t, n, model.idf)
+            names, vectors = list(fresh), list(fresh.values())
+            for at in range(0, len(names), _TOGETHER):
+                found = nearest(model, vectors[at : at + _TOGETHER])
+                for key, (best, cosine) in zip(names[at:], found, strict=False):
                     shown = [
                         {"doc_id": int(model.ids[b]), "similarity": float(c), "toxic": int(model.label[b])}
                         for b, c in zip(best[:5], cosine[:5], strict=True)
                     ]
                     held[key] = (_calibrated(scale, vote(model, best, cosine)), shown)
+            for i, key in enumerate(keys):
                 scores[first + i], evidence[first + i] = held[key]
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
         return pa.StructArray.from_arrays(
