@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -142,3 +143,19 @@ def test_a_long_text_is_cut_into_slices(spark, monkeypatch):
         for s, n in zip(start.tolist(), count.tolist(), strict=True):
             starts += range(s, s + n)
     assert starts == list(range(len(text) - 29))
+
+
+def test_thousands_of_rows_equal_in_id_and_text(spark):
+    text = " ".join(f"word{i % 180}" for i in range(600))
+    own = " ".join(f"own{i}" for i in range(80))
+    rows = [(None, text)] * 5000 + [(7, own), (8, own + " end")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    began = time.monotonic()
+    words = remove_repeated_words(frame).select("doc_id", "kept", "spans").collect()
+    letters = remove_repeated_bytes(frame).select("doc_id", "spans").collect()
+    assert time.monotonic() - began < 90
+    assert len(words) == len(letters) == len(rows)
+    assert {r.doc_id: r.kept for r in words} == {None: "", 7: "", 8: "end"}
+    # The copies repeat in whole; the other two share all but the end.
+    ends = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in letters}
+    assert ends == {None: [(0, len(text))], 7: [(0, len(own))], 8: [(0, len(own))]}

@@ -268,8 +268,9 @@ def with_repeats(docs: DataFrame, text: str, identity: str, method: Method, hot_
             starts.select("key", "body", F.arrow_udf(_as_runs, "binary")("starts").alias("found"))
         )
     found = found.where(F.length("found") > 0)
+    # Rows equal in id and text have one name and the same places, which a set keeps once.
     places = seen.join(found, ["key", "body"]).groupBy("k1", "k2").agg(
-        F.collect_list(F.struct("start", F.col("found").alias("runs"))).alias("found")
+        F.collect_set(F.struct("start", F.col("found").alias("runs"))).alias("found")
     )
     places = places.withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
     return packed.join(places, ["_k1", "_k2"], "left").select("row", body, "found")
