@@ -40,6 +40,7 @@ def settings(arguments: list[str] | None = None) -> tuple[PipelineConfig, list[s
         parser.add_argument(f"--{name}-option", action="append", default=[], metavar="NAME=VALUE")
         parser.add_argument(f"--{name}-option-env", action="append", default=[], metavar="NAME=VARIABLE")
     parser.add_argument("--symbols", nargs="+")
+    parser.add_argument("--arrival", nargs="+")
     for name in ("precision", "clean-mode", "dedup-within", "candle-width", "watermark", "order"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--state-provider")
@@ -55,7 +56,8 @@ def settings(arguments: list[str] | None = None) -> tuple[PipelineConfig, list[s
         parser.error(f"unknown settings in {args.config}: {', '.join(unknown)}")
     given = {name: value for name, value in vars(args).items() if value is not None}
     chosen |= {name: value for name, value in given.items() if name in known}
-    chosen["symbols"] = tuple(chosen.get("symbols", ()))
+    for name in ("symbols", "arrival"):
+        chosen[name] = tuple(chosen.get(name, ()))
     for kind in ("source", "raw", "topic"):
         options = dict(chosen.get(f"{kind}_options", {}))
         options |= dict(option.split("=", 1) for option in getattr(args, f"{kind}_option"))

@@ -19,6 +19,7 @@ from ticksmith import (
     run,
     to_messages,
 )
+from ticksmith.plans import run_stage
 from ticksmith.schemas import BRONZE, GOLD, SILVER, TRANSFORMED
 from ticksmith.sources import kafka_options, read_layer, read_messages
 from ticksmith.streaming import append_available_now, write_messages
@@ -307,3 +308,43 @@ def test_job_entry(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sys, "argv", argv)
     runpy.run_module("job", run_name="__main__")
     assert stored(spark, config(tmp_path), "transformed").count() == 6
+
+
+def test_stages_read_no_footers_of_layers_that_stages_wrote(spark, tmp_path, monkeypatch):
+    from ticksmith.sources import layers
+
+    plain = PipelineConfig(
+        str(tmp_path), source_format="parquet", source_options={"path": f"{tmp_path}/topic"}, state_partitions=2
+    )
+    value = b'{"type":"trade","data":[{"s":"A","t":1704067200000,"p":5.0,"v":1,"c":[1]}]}'
+
+    def send():
+        rows = spark.createDataFrame([(None, value)], "key binary, value binary")
+        rows.write.mode("append").parquet(f"{tmp_path}/topic")
+
+    monkeypatch.setattr(layers, "_footers", lambda *args: pytest.fail("footers were merged"))
+    send()
+    run(spark, plain)
+    assert [f.name for f in layers.noted_columns(spark, plain.target("silver"))] == SILVER.names
+    # A column that bronze gets later is noted once, and the stages behind carry it on.
+    send()
+    wide = parse_trades(read_messages(spark, "parquet", plain.source_options)).withColumn("venue", F.lit("x"))
+    append_available_now(wide, plain.target("bronze"), plain.checkpoint("ingest"), merge_schema=True)
+    run(spark, plain, ["transform", "clean"])
+    run(spark, plain, ["transform", "clean"])
+    for layer in ("bronze", "transformed", "silver"):
+        names = [f.name for f in layers.noted_columns(spark, plain.target(layer))]
+        assert names[-1] == "venue" and len(names) == len(set(names))
+        assert "venue" in read_layer(spark, plain, layer, streaming=False).columns
+    assert spark.read.text(f"{plain.target('silver')}/_columns").count() == 2
+
+
+def test_a_layer_filled_from_outside_is_read_by_its_footers(spark, tmp_path):
+    from ticksmith.sources import layers
+
+    cfg = PipelineConfig(str(tmp_path), state_partitions=2)
+    rows = spark.createDataFrame([([1], 5.0, "A", 1704067200000, 1.0)], BRONZE).withColumn("venue", F.lit("x"))
+    rows.write.parquet(cfg.target("bronze"))
+    run_stage(spark, cfg, "transform")
+    assert layers.noted_columns(spark, cfg.target("bronze")) is None
+    assert read_layer(spark, cfg, "transformed", streaming=False).first()["venue"] == "x"

@@ -45,6 +45,8 @@ class PipelineConfig:
     precision: str = "s"
     clean_mode: str = "dedup_first"
     dedup_within: str | None = None
+    # Columns of the transformed layer that order the rows of a key within a micro-batch.
+    arrival: tuple[str, ...] = ()
     collapse_copies: bool = True
     candle_width: str = "1 minute"
     watermark: str = "2 minutes"

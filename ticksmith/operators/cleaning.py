@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticksmith.operators.first_arrival import first_arrivals
+
 KEYS = ["symbol", "timestamp"]
 
 _MIN_LONG = -(2**63)
@@ -36,7 +38,8 @@ def clean_trades(
     Batch: ``arrival`` names the column(s) that order the rows of a key; without it any
     row of a key may survive.
 
-    Streaming: the earliest micro-batch wins. ``within`` bounds the state by a watermark
+    Streaming: the earliest micro-batch wins, and within it the least ``arrival``; without
+    ``arrival`` any row of a key in that micro-batch may survive. ``within`` bounds the state by a watermark
     on ``time`` (rows later than that are dropped, NULL times are only matched inside a
     micro-batch); without it the state grows with the number of keys.
     A streaming dedup sends every row to its key's task. ``collapse_copies`` keeps one row
@@ -54,15 +57,23 @@ def clean_trades(
         named = named.where(positive)
 
     if trades.isStreaming:
-        first = _first_per_key_stream(named, within, collapse_copies)
+        first = _first_per_key_stream(named, arrival, within, collapse_copies)
     else:
         first = _first_per_key_batch(named, arrival)
     return first.where(positive) if mode == "dedup_first" else first
 
 
 def _first_per_key_stream(
-    trades: DataFrame, within: str | None, collapse_copies: bool
+    trades: DataFrame,
+    arrival: str | Sequence[str] | None,
+    within: str | None,
+    collapse_copies: bool,
 ) -> DataFrame:
+    if arrival is not None:
+        columns = [arrival] if isinstance(arrival, str) else list(arrival)
+        if collapse_copies:
+            trades = trades.where(_first_in_batch(len(columns))(*KEYS, F.col("price") > 0, *columns))
+        return first_arrivals(trades, columns, within)
     if collapse_copies:
         # No built-in drops rows of a stream before the shuffle without state of its own, and
         # salting the key would keep every key in state twice. Good and bad rows of a key are
@@ -73,16 +84,33 @@ def _first_per_key_stream(
     return trades.withWatermark("time", within).dropDuplicatesWithinWatermark(KEYS)
 
 
-def _first_in_batch() -> Callable[..., Column]:
+def _first_in_batch(orders: int = 0) -> Callable[..., Column]:
+    """Marks one row per key of an Arrow batch: the first, or that of the least of so many
+    arrival columns, NULL first."""
+
     # An inner function travels to the executors by value: they need not have this package.
-    def first_rows(symbol: pa.Array, timestamp: pa.Array, good: pa.Array) -> pa.Array:
+    def marked(symbol: pa.Array, timestamp: pa.Array, good: pa.Array, arrival: list) -> pa.Array:
         row = pa.array(np.arange(len(symbol)))
-        keys = pa.table([symbol, timestamp, good, row], ["symbol", "timestamp", "good", "row"])
+        names = [f"order{i}" for i in range(len(arrival))]
+        keys = pa.table(
+            [symbol, timestamp, good, row, *arrival], ["symbol", "timestamp", "good", "row", *names]
+        )
+        if names:
+            by = [(n, "ascending") for n in names]
+            keys = keys.take(pc.sort_indices(keys, sort_keys=by, null_placement="at_start"))
         groups = keys.group_by(["symbol", "timestamp", "good"], use_threads=False)
-        return pc.is_in(row, groups.aggregate([("row", "min")])["row_min"].combine_chunks())
+        first = groups.aggregate([("row", "first" if names else "min")])
+        return pc.is_in(row, first["row_first" if names else "row_min"].combine_chunks())
+
+    # The arguments of an Arrow function must be named.
+    def plain(symbol: pa.Array, timestamp: pa.Array, good: pa.Array) -> pa.Array:
+        return marked(symbol, timestamp, good, [])
+
+    def ordered(symbol: pa.Array, timestamp: pa.Array, good: pa.Array, *arrival: pa.Array) -> pa.Array:
+        return marked(symbol, timestamp, good, list(arrival))
 
     # What it returns depends on the batch, so it must not be repeated or moved.
-    return F.arrow_udf(first_rows, "boolean").asNondeterministic()
+    return F.arrow_udf(ordered if orders else plain, "boolean").asNondeterministic()
 
 
 def _first_per_key_batch(trades: DataFrame, arrival: str | Sequence[str] | None) -> DataFrame:

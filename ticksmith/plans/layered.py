@@ -19,6 +19,7 @@ from ticksmith.operators import (
     parse_trades,
     route_messages,
 )
+from ticksmith.schemas import BRONZE
 from ticksmith.sources import DATE_COLUMN, read_layer, read_messages
 from ticksmith.streaming import append_available_now, write_messages
 
@@ -35,7 +36,10 @@ class Stage:
 
 
 def _ingest(messages: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    trades = parse_trades(messages)
+    # What orders arrivals is carried from the messages; a trade's place in its message is made.
+    carried = [name for name in cfg.arrival if name != POSITION]
+    trades = parse_trades(messages, carried, POSITION if POSITION in cfg.arrival else None)
+    trades = trades.select(*BRONZE.names, *cfg.arrival)
     return filter_symbols(trades, cfg.symbols) if cfg.symbols else trades
 
 
@@ -45,7 +49,7 @@ def _transform(trades: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 def _clean(trades: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return clean_trades(
-        trades, cfg.clean_mode, within=cfg.dedup_within, collapse_copies=cfg.collapse_copies
+        trades, cfg.clean_mode, cfg.arrival or None, cfg.dedup_within, cfg.collapse_copies
     )
 
 
@@ -64,6 +68,9 @@ STAGES = {
 }
 
 
+# A trade's place in its message, where ``arrival`` asks for it.
+POSITION = "position"
+
 # Routes raw messages into the topic that `ingest` reads.
 LAND = "land"
 

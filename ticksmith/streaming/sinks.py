@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ticksmith.sources.layers import columns_to_note, note_columns
 from ticksmith.streaming.settings import every_progress, state_settings
 
 
@@ -32,11 +33,13 @@ def append_available_now(
     spark = df.sparkSession
     _refuse_lost_checkpoint(spark, _folder(spark, target, as_table), checkpoint)
     if not as_table:
+        note = columns_to_note(spark, target, df.schema) if fmt != "delta" else None
         # A folder exists after its first run even if nothing came, as a table would.
         spark.createDataFrame([], df.schema).write.mode("ignore").format(fmt).partitionBy(
             *partition_by
         ).save(target)
-
+        if note is not None:  # before the rows, so that no reader meets columns it does not know
+            note_columns(spark, target, note)
     elif merge_schema and fmt != "delta":
         _add_columns(spark, target, df)
 

@@ -166,6 +166,8 @@ timely AS (SELECT feed.* FROM feed, mark WHERE arrival < 1000000000 OR {_TIME} >
     "stream_clean_uncollapsed": f"WITH {_FEED_CLEAN} SELECT {_TIMED_COLUMNS} FROM clean",
     "stream_clean_filter_first": f"""
 WITH {_FEED},{_clean("feed", "arrival", "filter_first")} SELECT {_TIMED_COLUMNS} FROM clean""",
+    "stream_clean_first_arrival": f"WITH {_FEED_CLEAN} SELECT {_TIMED_COLUMNS}, arrival FROM clean",
+    "stream_clean_first_arrival_bounded": f"WITH {_FEED_CLEAN} SELECT {_TIMED_COLUMNS}, arrival FROM clean",
     "chained_candles": f"WITH {_NEW_FILLS_CLEAN} {_closed('clean', 'hour', '10 minute')}",
     "chained_candles_unbounded": f"WITH {_NEW_FILLS_CLEAN} {_closed('clean', 'hour', '2 minute')}",
     "layered_bronze": f"WITH {_FEED},{_FILLS} SELECT {_STORED_COLUMNS} FROM fills",

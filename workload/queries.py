@@ -190,6 +190,23 @@ def stream_clean(**settings: object) -> Query:
     return query
 
 
+def stream_clean_first_arrival(**settings: object) -> Query:
+    """Originals and most of their copies in one micro-batch, later arrivals first; the other
+    copies in the second run."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cfg = _config(spark, arrival=("arrival",), **settings)
+        feed = add_event_time(feeds.trades(feeds.events(spark, sf_dir)))
+        second = (F.col("arrival") >= feeds.COPY_OFFSET) & (F.col("arrival") % 3 == 0)
+        for wave in (feed.where(~second), feed.where(second)):
+            backwards = wave.repartition(3, "timestamp").sortWithinPartitions(F.desc("arrival"))
+            backwards.write.mode("append").parquet(cfg.target("transformed"))
+            run_stage(spark, cfg, "clean")
+        return _conditions_as_text(read_layer(spark, cfg, "silver", streaming=False))
+
+    return query
+
+
 def chained(within: str | None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         cfg = _config(spark)
@@ -320,6 +337,8 @@ QUERIES: dict[str, Query] = {
     "stream_clean_bounded": stream_clean(dedup_within="2 days", clean_mode="filter_first"),
     "stream_clean_uncollapsed": stream_clean(collapse_copies=False),
     "stream_clean_filter_first": stream_clean(clean_mode="filter_first"),
+    "stream_clean_first_arrival": stream_clean_first_arrival(),
+    "stream_clean_first_arrival_bounded": stream_clean_first_arrival(dedup_within="40 days"),
     "chained_candles": chained("10 minutes"),
     "chained_candles_unbounded": chained(None),
     "layered_bronze": layered("bronze", ["ingest"]),
