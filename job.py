@@ -41,7 +41,7 @@ def settings(arguments: list[str] | None = None) -> tuple[PipelineConfig, list[s
         parser.add_argument(f"--{name}-option-env", action="append", default=[], metavar="NAME=VARIABLE")
     parser.add_argument("--symbols", nargs="+")
     parser.add_argument("--arrival", nargs="+")
-    for name in ("precision", "clean-mode", "dedup-within", "candle-width", "watermark", "order"):
+    for name in ("precision", "clean-mode", "dedup-within", "candle-width", "watermark", "order", "clock"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--state-provider")
     for name in ("max-files-per-trigger", "state-partitions", "timeout-seconds"):

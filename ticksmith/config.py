@@ -51,6 +51,8 @@ class PipelineConfig:
     candle_width: str = "1 minute"
     watermark: str = "2 minutes"
     order: str = "event_time"
+    # Whose trades close a candle: those of the whole "stream", or of its own "symbol".
+    clock: str = "stream"
 
     state_partitions: int | None = None
     state_provider: str | None = "rocksdb"
@@ -60,6 +62,8 @@ class PipelineConfig:
     def __post_init__(self) -> None:
         if self.env not in ENVIRONMENTS:
             raise ValueError(f"env must be one of {ENVIRONMENTS}, got {self.env!r}")
+        if self.clock not in ("stream", "symbol"):
+            raise ValueError(f"clock must be 'stream' or 'symbol', got {self.clock!r}")
         if self.space not in SPACES:
             raise ValueError(f"space must be one of {SPACES}, got {self.space!r}")
 

@@ -8,6 +8,7 @@ from ticksmith.operators.messages import (
     route_messages,
     to_messages,
 )
+from ticksmith.operators.symbol_clock import symbol_clock_candles
 from ticksmith.operators.timing import add_event_time
 
 __all__ = [
@@ -18,5 +19,6 @@ __all__ = [
     "parse_trades",
     "rejected_messages",
     "route_messages",
+    "symbol_clock_candles",
     "to_messages",
 ]

@@ -18,6 +18,7 @@ from ticksmith.operators import (
     filter_symbols,
     parse_trades,
     route_messages,
+    symbol_clock_candles,
 )
 from ticksmith.schemas import BRONZE
 from ticksmith.sources import DATE_COLUMN, read_layer, read_messages
@@ -54,6 +55,10 @@ def _clean(trades: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 
 def _ohlcv(trades: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    if cfg.clock == "symbol":
+        if cfg.order != "event_time":
+            raise ValueError("candles closed by their symbol take open and close by event time")
+        return symbol_clock_candles(trades, cfg.candle_width, cfg.watermark)
     return candles(trades, cfg.candle_width, cfg.watermark, cfg.order)
 
 

@@ -153,6 +153,19 @@ FROM ({_candles("clean", _trunc("hour"))})""",
     "candles_from_messages": f"WITH {_FILLS_CLEAN} {_candles('clean', _trunc('hour'))}",
     "stream_candles_closed": f"WITH {_ORIGINALS} {_closed('originals', 'minute', '2 minute')}",
     "stream_late_drop": f"WITH {_LATE} {_closed('seen', 'hour', '2 minute')}",
+    # The far trade closes all windows of its symbol's first run; those of its second are late.
+    "stream_symbol_clock": f"""
+WITH {_ORIGINALS},
+middle AS (SELECT (min(timestamp) + max(timestamp)) // 2 AS at FROM originals),
+seen AS (SELECT o.* FROM originals o, middle WHERE symbol IS DISTINCT FROM 'click' OR timestamp < middle.at),
+clocks AS (
+  SELECT symbol AS ticker, CASE WHEN symbol IS DISTINCT FROM 'click' THEN max({_TIME})
+                                ELSE max({_TIME}) + INTERVAL 10 year END AS clock
+  FROM originals GROUP BY symbol
+)
+SELECT c.* FROM ({_candles('seen', _trunc('hour'))}) c
+JOIN clocks ON c.symbol IS NOT DISTINCT FROM ticker
+WHERE candle_time + INTERVAL 1 hour <= clock - INTERVAL 2 minute""",
     "stream_incremental": f"WITH {_FEED_CLEAN} {_closed('clean', 'hour', '2 minute')}",
     "stream_clean": f"WITH {_FEED_CLEAN} SELECT {_TIMED_COLUMNS} FROM clean",
     "stream_clean_bounded": f"""

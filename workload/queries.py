@@ -162,6 +162,21 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, cfg, "gold", streaming=False)
 
 
+def stream_symbol_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs by time, and in the first a trade of one symbol dated ten years ahead, which
+    closes that symbol's windows and no other's."""
+    cfg = _config(spark, candle_width="1 hour", clock="symbol")
+    events = feeds.events(spark, sf_dir)
+    originals = feeds.trades(events, copies=False)
+    early = F.col("timestamp") < feeds.midpoint_millis(events)
+    ahead = originals.where("symbol = 'click'").orderBy("arrival").limit(1)
+    ahead = ahead.withColumn("timestamp", F.col("timestamp") + 3650 * 86_400_000)
+    for wave in (originals.where(early).unionByName(ahead), originals.where(~early)):
+        _store(add_event_time(wave), cfg, "silver")
+        run_stage(spark, cfg, "ohlcv")
+    return read_layer(spark, cfg, "gold", streaming=False)
+
+
 def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean trades arriving in two halves, then a run that finds nothing new."""
     cfg = _config(spark, candle_width="1 hour")
@@ -332,6 +347,7 @@ QUERIES: dict[str, Query] = {
     "candles_from_messages": candles_from_messages,
     "stream_candles_closed": stream_candles_closed,
     "stream_late_drop": stream_late_drop,
+    "stream_symbol_clock": stream_symbol_clock,
     "stream_incremental": stream_incremental,
     "stream_clean": stream_clean(),
     "stream_clean_bounded": stream_clean(dedup_within="2 days", clean_mode="filter_first"),
