@@ -41,12 +41,12 @@ def settings(arguments: list[str] | None = None) -> tuple[PipelineConfig, list[s
         parser.add_argument(f"--{name}-option-env", action="append", default=[], metavar="NAME=VARIABLE")
     parser.add_argument("--symbols", nargs="+")
     parser.add_argument("--arrival", nargs="+")
-    for name in ("precision", "clean-mode", "dedup-within", "candle-width", "watermark", "order", "clock"):
+    for name in ("precision", "clean-mode", "dedup-within", "candle-width", "watermark", "order", "clock", "late"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--state-provider")
     for name in ("max-files-per-trigger", "state-partitions", "timeout-seconds"):
         parser.add_argument(f"--{name}", type=int)
-    for name in ("partition-by-date", "collapse-copies", "count-state-rows"):
+    for name in ("partition-by-date", "collapse-copies", "count-state-rows", "count-content"):
         parser.add_argument(f"--{name}", action=argparse.BooleanOptionalAction)
     args = parser.parse_args(arguments)
 

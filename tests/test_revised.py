@@ -1,0 +1,109 @@
+"""Candles that late trades revise, kept in parts."""
+
+import random
+
+import pytest
+from helpers import MINUTE, START, candles_as_dict, candles_by_hand, silver_rows
+
+from ticksmith import PipelineConfig
+from ticksmith.plans import run_stage
+from ticksmith.sources import read_layer
+from ticksmith.sources.parts import ledger, present_folders, replaced_folders, stored_parts
+from ticksmith.streaming import compact_parts
+
+
+def config(folder, **settings):
+    return PipelineConfig(str(folder), late="revise", state_partitions=2, **settings)
+
+
+def run_wave(spark, cfg, rows):
+    silver_rows(spark, rows).repartition(2).write.mode("append").parquet(cfg.target("silver"))
+    run_stage(spark, cfg, "ohlcv")
+
+
+def gold(spark, cfg):
+    return candles_as_dict(read_layer(spark, cfg, "gold", streaming=False))
+
+
+def drawn(count, seed):
+    draw = random.Random(seed)
+    keys = {(draw.choice("AAAAB"), START + draw.randrange(20 * 60) * 1000) for _ in range(count)}
+    rows = [(s, at, float(draw.randrange(1, 90)), float(draw.randrange(9))) for s, at in sorted(keys)]
+    draw.shuffle(rows)
+    return rows
+
+
+def test_equals_the_batch_whatever_comes_late(spark, tmp_path):
+    rows, cfg = drawn(400, 1), config(tmp_path)
+    for first in range(0, len(rows), 100):
+        run_wave(spark, cfg, rows[first : first + 100])
+        assert gold(spark, cfg) == candles_by_hand([(None, *r) for r in rows[: first + 100]])
+
+
+def test_compaction_reads_the_same_from_one_folder(spark, tmp_path):
+    rows, cfg = drawn(300, 2), config(tmp_path)
+    target = cfg.target("gold")
+    assert compact_parts(spark, target) is None
+    for first in range(0, 200, 25):
+        run_wave(spark, cfg, rows[first : first + 25])
+    before, files = gold(spark, cfg), len(stored_parts(spark, target).inputFiles())
+    name = compact_parts(spark, target)
+    assert present_folders(spark, target) == [name] and len(replaced_folders(spark, target)) == 8
+    assert gold(spark, cfg) == before
+    assert len(stored_parts(spark, target).inputFiles()) < files
+    assert compact_parts(spark, target) is None
+    run_wave(spark, cfg, rows[200:])
+    assert present_folders(spark, target) == [name, "part-8"]
+    assert compact_parts(spark, target) == present_folders(spark, target)[0]
+    assert gold(spark, cfg) == candles_by_hand([(None, *r) for r in rows])
+
+
+def test_a_batch_that_runs_again_counts_once(spark, tmp_path):
+    cfg, target = config(tmp_path), None
+    run_wave(spark, cfg, [("A", START, 1.0, 1.0)])
+    run_wave(spark, cfg, [("A", START + 1000, 2.0, 1.0)])
+    target = cfg.target("gold")
+    # As after a crash between the part and the commit: Spark runs the batch again.
+    commit = next((tmp_path / "dev/feature/checkpoints/ohlcv/commits").glob("1"))
+    commit.unlink()
+    (commit.parent / ".1.crc").unlink(missing_ok=True)
+    run_stage(spark, cfg, "ohlcv")
+    assert len(ledger(spark, target)) == 3
+    assert gold(spark, cfg) == {("A", START): (1.0, 2.0, 1.0, 2.0, 2.0)}
+
+
+def test_a_part_the_ledger_does_not_name_is_not_read(spark, tmp_path):
+    cfg = config(tmp_path)
+    run_wave(spark, cfg, [("A", START, 1.0, 1.0)])
+    parts = stored_parts(spark, cfg.target("gold"))
+    parts.write.parquet(f"{cfg.target('gold')}/part-1")
+    assert gold(spark, cfg) == {("A", START): (1.0, 1.0, 1.0, 1.0, 1.0)}
+
+
+def test_odd_rows_and_small_triggers(spark, tmp_path):
+    cfg = config(tmp_path, max_files_per_trigger=1)
+    run_wave(spark, cfg, [(None, START, 1.0, None), ("A", None, 5.0, 1.0)])
+    run_wave(spark, cfg, [(None, START + 2 * MINUTE, 4.0, 1.0), (None, START + 1000, 3.0, 2.0)])
+    assert gold(spark, cfg) == {
+        (None, START): (1.0, 3.0, 1.0, 3.0, 2.0),
+        (None, START + 2 * MINUTE): (4.0, 4.0, 4.0, 4.0, 1.0),
+    }
+    assert len(present_folders(spark, cfg.target("gold"))) >= 3
+
+
+def test_nothing_written_yet(spark, tmp_path):
+    assert read_layer(spark, config(tmp_path), "gold", streaming=False).count() == 0
+
+
+def test_wrong_uses_are_refused(spark, tmp_path):
+    cfg = config(tmp_path / "a")
+    run_wave(spark, cfg, [("A", START, 1.0, 1.0)])
+    with pytest.raises(ValueError, match="stream"):
+        read_layer(spark, cfg, "gold")
+    for wrong in ({"late": "keep"}, {"late": "revise", "fmt": "delta"}, {"late": "revise", "clock": "symbol"}):
+        with pytest.raises(ValueError, match="late"):
+            PipelineConfig(str(tmp_path), **wrong)
+    other = PipelineConfig(str(tmp_path / "a"), late="revise")
+    (tmp_path / "a/dev/feature/checkpoints/ohlcv/metadata").unlink()
+    with pytest.raises(ValueError, match="another checkpoint"):
+        run_stage(spark, other, "ohlcv")

@@ -53,6 +53,10 @@ class PipelineConfig:
     order: str = "event_time"
     # Whose trades close a candle: those of the whole "stream", or of its own "symbol".
     clock: str = "stream"
+    # Trades of windows already written: "drop" them, or "revise" the candle.
+    late: str = "drop"
+    # Count what the messages and trades of every micro-batch hold, for `delivery_report`.
+    count_content: bool = False
 
     state_partitions: int | None = None
     state_provider: str | None = "rocksdb"
@@ -64,9 +68,20 @@ class PipelineConfig:
             raise ValueError(f"env must be one of {ENVIRONMENTS}, got {self.env!r}")
         if self.clock not in ("stream", "symbol"):
             raise ValueError(f"clock must be 'stream' or 'symbol', got {self.clock!r}")
+        if self.late not in ("drop", "revise"):
+            raise ValueError(f"late must be 'drop' or 'revise', got {self.late!r}")
+        if self.late == "revise":
+            self._check_revised()
         if self.space not in SPACES:
             raise ValueError(f"space must be one of {SPACES}, got {self.space!r}")
 
+    def _check_revised(self) -> None:
+        """Candles that change are kept in parts, which only folders of plain files hold."""
+        if self.catalog is not None or self.fmt == "delta" or self.partition_by_date:
+            raise ValueError("late='revise' needs folders of plain files, without a catalog or days")
+        if self.clock != "stream" or self.order != "event_time":
+            raise ValueError("late='revise' closes no window and takes open and close by event time")
+
     @property
     def root(self) -> str:
         return f"{self.base_path.rstrip('/')}/{self.env}/{self.space}"

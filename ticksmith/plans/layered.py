@@ -20,9 +20,10 @@ from ticksmith.operators import (
     route_messages,
     symbol_clock_candles,
 )
+from ticksmith.operators.content import count_messages, count_rows, count_trades
 from ticksmith.schemas import BRONZE
 from ticksmith.sources import DATE_COLUMN, read_layer, read_messages
-from ticksmith.streaming import append_available_now, write_messages
+from ticksmith.streaming import add_parts_available_now, append_available_now, write_messages
 
 
 @dataclass(frozen=True)
@@ -69,7 +70,9 @@ STAGES = {
     "clean": Stage(
         "transformed", "silver", _clean, watermarked=lambda cfg: cfg.dedup_within is not None
     ),
-    "ohlcv": Stage("silver", "gold", _ohlcv, merge_schema=False, watermarked=lambda cfg: True),
+    "ohlcv": Stage(
+        "silver", "gold", _ohlcv, merge_schema=False, watermarked=lambda cfg: cfg.late == "drop"
+    ),
 }
 
 
@@ -89,9 +92,12 @@ def _land(spark: SparkSession, cfg: PipelineConfig) -> StreamingQuery:
     raw = read_messages(spark, cfg.raw_format, cfg.raw_options)
     key = F.col("key") if "key" in raw.columns else F.lit(None).cast("binary")
     messages = raw.select(key.alias("key"), F.col("value").cast("binary").alias("value"))
+    routed = route_messages(messages)
+    if cfg.count_content:
+        routed = count_rows(route_messages(count_rows(messages, "read", "messages")), "written", "messages")
     options = cfg.topic_options or cfg.source_options
     return write_messages(
-        route_messages(messages), cfg.source_format, options, cfg.checkpoint(LAND), cfg.timeout_seconds
+        routed, cfg.source_format, options, cfg.checkpoint(LAND), cfg.timeout_seconds
     )
 
 
@@ -104,10 +110,18 @@ def run_stage(spark: SparkSession, cfg: PipelineConfig, name: str) -> StreamingQ
         rows = read_messages(spark, cfg.source_format, cfg.source_options)
     else:
         rows = read_layer(spark, cfg, stage.source, whole=stage.watermarked(cfg))
+    if cfg.count_content:
+        rows = count_messages(rows) if stage.source is None else count_trades(rows)
+    if stage.target == "gold" and cfg.late == "revise":
+        return add_parts_available_now(
+            rows, cfg.target("gold"), cfg.checkpoint(name), cfg.candle_width, cfg.fmt, cfg.timeout_seconds
+        )
     result = stage.step(rows, cfg)
     if cfg.partition_by_date:
         day = F.to_date(_moment(stage.target))
         result = result.withColumn(DATE_COLUMN, day)
+    if cfg.count_content:
+        result = count_rows(result, "written", "rows")
     return append_available_now(
         result,
         cfg.target(stage.target),

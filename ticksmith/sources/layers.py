@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ticksmith.config import PipelineConfig
 from ticksmith.schemas import BRONZE, GOLD, SILVER, TRANSFORMED
+from ticksmith.sources.parts import read_candles
 
 DATE_COLUMN = "trade_date"
 # Readers of data files skip names that begin so.
@@ -33,12 +34,18 @@ def read_layer(
     files' footers merged. Pass ``schema`` to look at neither. In a date-partitioned layout the
     ``trade_date`` column comes last; filter on it to read only those days.
 
+    Gold with ``late="revise"`` is read in batch only: its parts are merged into candles.
+
     ``whole`` takes up everything there is in one micro-batch, whatever the trigger size.
     Stages with a watermark need it: the files of a layer are not in time order, so a
     watermark that moves between them would drop the rows of all but the first.
     """
-    reader = spark.readStream if streaming else spark.read
     target = cfg.target(layer)
+    if layer == "gold" and cfg.late == "revise":
+        if streaming:
+            raise ValueError("candles that change cannot be read as a stream of rows")
+        return read_candles(spark, target, cfg.fmt)
+    reader = spark.readStream if streaming else spark.read
     if streaming and whole:
         if cfg.fmt == "delta":  # has a limit of its own
             reader = reader.option("maxFilesPerTrigger", str(2**31 - 1))

@@ -36,3 +36,19 @@ def progress_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
             )
         )
     return spark.createDataFrame(rows, _REPORT)
+
+
+def delivery_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """One row per micro-batch and thing counted: ``batch_id``, ``observed`` (the point where
+    rows were counted), ``measure`` and ``rows``.
+
+    The counts are those that `ticksmith.operators.content` adds to a stream; a stage adds them
+    with ``count_content=True``. They are taken by the tasks as rows pass, without another scan. Rows
+    of a task that ran twice count once.
+    """
+    rows = []
+    for progress in query.recentProgress:
+        for observed, counts in (progress["observedMetrics"] or {}).items():
+            for measure, count in counts.asDict().items():
+                rows.append((progress["batchId"], observed, measure, count))
+    return spark.createDataFrame(rows, "batch_id bigint, observed string, measure string, rows bigint")

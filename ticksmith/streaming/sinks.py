@@ -56,7 +56,7 @@ def append_available_now(
     with every_progress(spark):
         with state_settings(spark, state_partitions, state_provider, count_state_rows):
             query = writer.toTable(target) if as_table else writer.start(target)
-        return _drained(query, timeout_seconds)
+        return drained(query, timeout_seconds)
 
 
 def write_messages(
@@ -84,7 +84,7 @@ def write_messages(
         .trigger(availableNow=True)
     )
     with every_progress(sent.sparkSession):
-        return _drained(writer.start(), timeout_seconds)
+        return drained(writer.start(), timeout_seconds)
 
 
 def _add_columns(spark: SparkSession, table: str, df: DataFrame) -> None:
@@ -112,16 +112,16 @@ def _folder(spark: SparkSession, target: str, as_table: bool) -> str | None:
 def _refuse_lost_checkpoint(spark: SparkSession, folder: str | None, checkpoint: str) -> None:
     """A file sink skips batch numbers its folder already has, so a new checkpoint over an
     old folder would lose rows without a word."""
-    if folder is None or _exists(spark, f"{checkpoint}/metadata"):
+    if folder is None or exists(spark, f"{checkpoint}/metadata"):
         return
-    if _exists(spark, f"{folder}/_spark_metadata"):
+    if exists(spark, f"{folder}/_spark_metadata"):
         raise ValueError(
             f"{folder} was written with another checkpoint than {checkpoint}; "
             "give that one, or a new target"
         )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     try:
         return bool(spark.read.format("binaryFile").load(path).columns)
     except AnalysisException as error:
@@ -130,7 +130,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def _drained(query: StreamingQuery, timeout_seconds: int | None) -> StreamingQuery:
+def drained(query: StreamingQuery, timeout_seconds: int | None) -> StreamingQuery:
     """Wait for the end; a failed query raises here, one out of time is stopped."""
     if timeout_seconds is None:
         query.awaitTermination()

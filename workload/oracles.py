@@ -114,6 +114,15 @@ seen AS (
 )"""
 )
 
+_REVISED = f"""
+WITH {_ORIGINALS},
+every_trade AS (
+  SELECT arrival, price, symbol, timestamp, volume FROM originals
+  UNION ALL
+  SELECT arrival, price, symbol, timestamp + 1, volume FROM feed WHERE arrival >= 1000000000
+)
+{_candles("every_trade", f"date_trunc('hour', {_TIME})")}"""
+
 ORACLES: dict[str, str] = {
     "route_trade_messages": f"""
 WITH {_FEED},{_EXTRAS}
@@ -166,6 +175,8 @@ clocks AS (
 SELECT c.* FROM ({_candles('seen', _trunc('hour'))}) c
 JOIN clocks ON c.symbol IS NOT DISTINCT FROM ticker
 WHERE candle_time + INTERVAL 1 hour <= clock - INTERVAL 2 minute""",
+    "stream_late_revised": _REVISED,
+    "stream_late_revised_compacted": _REVISED,
     "stream_incremental": f"WITH {_FEED_CLEAN} {_closed('clean', 'hour', '2 minute')}",
     "stream_clean": f"WITH {_FEED_CLEAN} SELECT {_TIMED_COLUMNS} FROM clean",
     "stream_clean_bounded": f"""
@@ -210,6 +221,38 @@ WITH {_FILLS_CLEAN}
 SELECT {_TIMED_COLUMNS}, CASE WHEN copied THEN 'venue-' || symbol END AS venue FROM clean""",
     "progress_many_batches": f"""
 WITH {_FEED} SELECT count(*) AS input_rows, TRUE AS many_batches FROM feed""",
+    "progress_delivery": f"""
+WITH {_FILLS_CLEAN},{_EXTRAS},
+messages AS (SELECT count(*) AS n FROM feed),
+counted AS (
+  SELECT 'ingest' AS stage, 'messages' AS observed, 'read' AS measure,
+         (SELECT n FROM messages) + (SELECT count(*) FROM extras) AS rows
+  UNION ALL SELECT 'ingest', 'messages', 'accepted', n FROM messages
+  UNION ALL SELECT 'ingest', 'messages', 'rejected_' || r.reason,
+                   (SELECT count(*) FROM extras e WHERE e.reason = r.reason)
+            FROM (VALUES ('null'), ('malformed'), ('no_data'), ('empty')) r(reason)
+  UNION ALL SELECT s.stage, 'written', 'rows', (SELECT count(*) FROM fills)
+            FROM (VALUES ('ingest'), ('transform')) s(stage)
+  UNION ALL SELECT 'clean', 'written', 'rows', (SELECT count(*) FROM clean)
+  UNION ALL SELECT s.stage, 'trades', m.measure,
+                   (SELECT count(*) FROM fills
+                    WHERE CASE m.measure WHEN 'no_symbol' THEN symbol IS NULL
+                                         WHEN 'bad_price' THEN symbol IS NOT NULL AND price <= 0
+                                         ELSE TRUE END)
+            FROM (VALUES ('transform'), ('clean')) s(stage),
+                 (VALUES ('read'), ('no_symbol'), ('bad_price')) m(measure)
+)
+SELECT * FROM counted""",
+    # A key lives for two days from its first trade; late trades of the second run are not taken.
+    "stream_state_keys": f"""
+WITH {_FEED},
+good AS (SELECT *, {_TIME} AS time FROM feed WHERE symbol IS NOT NULL AND price > 0),
+mark AS (SELECT max(time) - INTERVAL 2 day AS at FROM good WHERE arrival < 1000000000),
+taken AS (SELECT good.* FROM good, mark WHERE arrival < 1000000000 OR time > mark.at),
+last AS (SELECT max(time) - INTERVAL 2 day AS at FROM taken)
+SELECT symbol, timestamp, {_TIME} + INTERVAL 2 day AS until
+FROM (SELECT DISTINCT symbol, timestamp FROM taken), last
+WHERE {_TIME} + INTERVAL 2 day > last.at""",
     "progress": f"""
 WITH {_FEED},
 keys AS (SELECT DISTINCT symbol, timestamp FROM feed WHERE symbol IS NOT NULL)

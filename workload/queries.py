@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,14 @@ from ticksmith import (
 from ticksmith.plans import run_stage
 from ticksmith.schemas import BRONZE, SILVER
 from ticksmith.sources import read_layer, read_messages
-from ticksmith.streaming import append_available_now, progress_report, write_messages
+from ticksmith.streaming import (
+    append_available_now,
+    compact_parts,
+    delivery_report,
+    keys_in_state,
+    progress_report,
+    write_messages,
+)
 from workload import feeds
 from workload.scratch import run_folder
 
@@ -177,6 +185,26 @@ def stream_symbol_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, cfg, "gold", streaming=False)
 
 
+def stream_late_revised(compact: bool = False) -> Query:
+    """The second half of the time span, then the first, then every copy: each run's trades are
+    late for windows already written, and all of them count."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cfg = _config(spark, candle_width="1 hour", late="revise")
+        events = feeds.events(spark, sf_dir)
+        early = F.col("timestamp") < feeds.midpoint_millis(events)
+        originals = feeds.trades(events, copies=False)
+        waves = (originals.where(~early), originals.where(early), feeds.late_copies(events))
+        for number, wave in enumerate(waves):
+            _store(add_event_time(wave), cfg, "silver")
+            run_stage(spark, cfg, "ohlcv")
+            if compact and number == 1:
+                compact_parts(spark, cfg.target("gold"))
+        return read_layer(spark, cfg, "gold", streaming=False)
+
+    return query
+
+
 def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean trades arriving in two halves, then a run that finds nothing new."""
     cfg = _config(spark, candle_width="1 hour")
@@ -319,6 +347,36 @@ def progress_many_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs of three stages read, refused and wrote, counted by the streams themselves."""
+    folder = run_folder(spark)
+    topic = {"path": f"{folder}/topic"}
+    cfg = PipelineConfig(
+        folder, source_format="parquet", source_options=topic, count_content=True,
+        state_partitions=_state_partitions(spark),
+    )
+    feed = _trades(spark, sf_dir)
+    copied = F.col("arrival") >= feeds.COPY_OFFSET
+    reports = []
+    for wave in (feed.where(~copied), feed.where(copied)):
+        write_messages(feeds.messages(wave), "parquet", topic)
+        for stage, query in run(spark, cfg, ["ingest", "transform", "clean"]).items():
+            reports.append(delivery_report(spark, query).withColumn("stage", F.lit(stage)))
+    counted = reduce(DataFrame.unionByName, reports)
+    return counted.groupBy("stage", "observed", "measure").agg(F.sum("rows").alias("rows"))
+
+
+def state_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys that a dedup bounded to two days still holds after two runs."""
+    cfg = _config(spark, dedup_within="2 days", clean_mode="filter_first")
+    feed = add_event_time(feeds.trades(feeds.events(spark, sf_dir)))
+    copied = F.col("arrival") >= feeds.COPY_OFFSET
+    for wave in (feed.where(~copied), feed.where(copied)):
+        _store(wave, cfg, "transformed")
+        run_stage(spark, cfg, "clean")
+    return keys_in_state(spark, cfg.checkpoint("clean"))
+
+
 def candles_many_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly candles of messages whose ids carry a split's number above their 33rd bit, as
     those of more than a thousand splits do; copies keep arriving after originals."""
@@ -348,6 +406,8 @@ QUERIES: dict[str, Query] = {
     "stream_candles_closed": stream_candles_closed,
     "stream_late_drop": stream_late_drop,
     "stream_symbol_clock": stream_symbol_clock,
+    "stream_late_revised": stream_late_revised(),
+    "stream_late_revised_compacted": stream_late_revised(compact=True),
     "stream_incremental": stream_incremental,
     "stream_clean": stream_clean(),
     "stream_clean_bounded": stream_clean(dedup_within="2 days", clean_mode="filter_first"),
@@ -370,6 +430,8 @@ QUERIES: dict[str, Query] = {
     "schema_evolution": schema_evolution,
     "progress": progress,
     "progress_many_batches": progress_many_batches,
+    "progress_delivery": delivery,
+    "stream_state_keys": state_keys,
 }
 
 
