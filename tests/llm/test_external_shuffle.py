@@ -1,9 +1,11 @@
 import zlib
 from collections import Counter
 
+import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
-from ticksmith.llm.external_shuffle import shuffle_into_shards, write_shards
+from ticksmith.llm.external_shuffle import _parts, shuffle_into_shards, write_shards
 from ticksmith.llm.queries import QUERIES
 
 from .conftest import SF
@@ -37,6 +39,71 @@ def test_many_buckets_keep_slots_gapless_and_mixed(spark, documents):
         assert ids != sorted(ids)
 
 
+def xxh64_of_long(value, seed):
+    return xxhash.xxh64_intdigest(value.to_bytes(8, "little", signed=True), seed)
+
+
+def shard_by_hand(doc_id, shards, seed=17):
+    """Rendezvous hashing from the id alone: Spark chains 64-bit hashes, each the seed of the next."""
+    weights = []
+    for shard in range(shards):
+        first = xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), 42)
+        second = xxhash.xxh64_intdigest(shard.to_bytes(4, "little"), first)
+        last = xxh64_of_long(doc_id, second)
+        weights.append((last - (1 << 64) if last >> 63 else last, shard))
+    return max(weights)[1]
+
+
+def test_shards_by_hand(spark):
+    rows = QUERIES["op8_external_shuffle"](spark, SF).collect()
+    for r in rows:
+        assert r.shard == shard_by_hand(r.doc_id, 40)
+        assert r.grown_shard == shard_by_hand(r.doc_id, 41)
+
+
+def test_slots_by_hand(spark, documents):
+    """With a bucket per shard: Fisher-Yates of the shard's rows in the order of their hashes."""
+    order = F.xxhash64(F.lit(19), *documents.columns).alias("order")
+    hashed = sorted((r.order, r.doc_id) for r in documents.select(order, "doc_id").collect())
+    found = shuffle_into_shards(documents, 3).select("doc_id", "shard", "slot").collect()
+    for shard in range(3):
+        ids = [d for _, d in hashed if shard_by_hand(d, 3) == shard]
+        places = np.arange(len(ids))
+        np.random.default_rng([17, shard, 0]).shuffle(places)
+        assert [ids[p] for p in places] == [r.doc_id for r in sorted(found, key=lambda r: r.slot) if r.shard == shard]
+
+
+def test_a_third_of_all_rows_equal(spark):
+    """Equal rows and rows without id and text spread over buckets of their own."""
+    many = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 7, if(id % 3 = 1, null, id)) AS doc_id",
+        "if(id % 3 = 0, 'the same text', if(id % 3 = 1, null, concat('text ', id))) AS text",
+        "if(id % 3 = 2, id, 0) AS other",
+    )
+    shuffled = shuffle_into_shards(many, 4, bucket_bytes=2048)
+    rows = shuffled.collect()
+    assert Counter((r.doc_id, r.text, r.other) for r in rows) == Counter(map(tuple, many.collect()))
+    for shard in range(4):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+    tasks = Counter(r.task for r in shuffled.withColumn("task", F.spark_partition_id()).collect())
+    assert max(tasks.values()) < 500
+
+
+def test_parts_follow_each_shards_bytes():
+    assert _parts({0: 100, 1: 101, 3: 1000}, 4, 100) == [1, 2, 1, 16]
+    assert _parts({0: 1 << 60}, 1, 100) == [1 << 16]
+
+
+def test_any_column_type(spark):
+    rows = spark.sql(
+        "SELECT id AS doc_id, 'a' AS text, map('k', id) AS m, array(map(1, 'x')) AS am,"
+        " named_struct('n', map('q', id)) AS s FROM range(20)"
+    )
+    found = shuffle_into_shards(rows, 3)
+    assert sorted(r.doc_id for r in found.collect()) == list(range(20))
+    assert all(r.m == {"k": r.doc_id} and r.s.n == {"q": r.doc_id} for r in found.collect())
+
+
 def test_odd_rows(odd, nothing):
     rows = shuffle_into_shards(odd, 3).collect()
     assert len(rows) == odd.count()
