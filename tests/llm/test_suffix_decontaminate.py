@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from ticksmith.llm import suffix_decontaminate
 from ticksmith.llm.queries import QUERIES
 from ticksmith.llm.suffix_decontaminate import decontaminate, matched
 
@@ -56,6 +57,45 @@ def test_longest_match_is_as_long_as_the_passage(spark):
     assert [(s.start, s.end) for s in row.spans] == [(2, 23)]
 
 
+def test_passes_hold_one_block_at_a_time(spark, monkeypatch):
+    """Every block's suffixes are made after the findings of the block before are written."""
+    events = []
+    real_suffixes, real_written = suffix_decontaminate.test_suffixes, suffix_decontaminate.written
+
+    def suffixes(item_texts, window):
+        events.append(("made", sum(len(t) for t in item_texts)))
+        return real_suffixes(item_texts, window)
+
+    def writing(frame, name):
+        events.append(("written", name))
+        return real_written(frame, name)
+
+    monkeypatch.setattr(suffix_decontaminate, "test_suffixes", suffixes)
+    monkeypatch.setattr(suffix_decontaminate, "written", writing)
+    texts = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(60)]
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, texts[3] + " and " + texts[50]), (2, "clean"), (2, "clean"), (3, None), (3, texts[9] + texts[3])],
+        "doc_id long, text string",
+    )
+    rows = sorted(matched(docs, bench, pass_bytes=1500).collect(), key=lambda r: (r.doc_id, r.n_words))
+    assert [(r.doc_id, r.n_words, r.n_hit, r["items"]) for r in rows] == [
+        (1, 41, 40, [3, 50]), (2, 1, 0, []), (2, 1, 0, []), (3, 0, 0, []), (3, 39, 38, [3, 9]),
+    ]
+    kinds = [kind for kind, _ in events]
+    passes = kinds.count("written")
+    assert passes >= 4 and kinds == ["made", "written"] * passes + ["made"]
+    assert max(size for kind, size in events if kind == "made") < 4500
+
+
+def test_items_named_by_text(spark):
+    bench = spark.createDataFrame([("b/2", "one two three"), ("a", "four five")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "one two three four five"), (2, "five four")], "doc_id long, text string")
+    for limit in (1 << 20, 4):
+        found = matched(docs, bench, pass_bytes=limit).orderBy("doc_id").collect()
+        assert [r["items"] for r in found] == [["a", "b/2"], []]
+
+
 def test_odd_rows(spark, odd, nothing):
     bench = spark.createDataFrame([(1, "to see and to FIND"), (None, "one")], "item_id long, text string")
     found = matched(odd, bench).collect()

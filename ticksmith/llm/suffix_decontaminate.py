@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticksmith.llm.shared import (
     ALNUM,
@@ -18,12 +22,13 @@ from ticksmith.llm.shared import (
     texts,
     word_bounds,
     word_hashes,
+    written,
 )
 
 #: Benchmark text that one pass over the documents carries to every executor.
 PASS_BYTES = 32 << 20
 _SPANS = "array<struct<start: bigint, end: bigint>>"
-_FOUND = f"struct<words: bigint, longest: bigint, spans: {_SPANS}, items: array<bigint>>"
+_FOUND = "struct<words: bigint, longest: bigint, spans: {spans}, items: array<{ids}>>"
 
 
 class Suffixes(NamedTuple):
@@ -179,8 +184,8 @@ def _covered(starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def _searching(held: Broadcast, ids: Broadcast):
-    @F.arrow_udf(_FOUND)
+def _searching(held: Broadcast, ids: Broadcast, kind: str):
+    @F.arrow_udf(_FOUND.format(spans=_SPANS, ids=kind))
     def run(column: pa.Array) -> pa.Array:
         tests, names, out = held.value, ids.value, []
         data, offsets = texts(column)
@@ -189,12 +194,13 @@ def _searching(held: Broadcast, ids: Broadcast):
             out += _found_in(part, offsets[a : b + 1] - offsets[a], tests)
         for row in out:
             row["items"] = [names[i] for i in row["items"]]
-        kind = pa.struct([
+        named = pa.int64() if kind == "bigint" else pa.string()
+        found = pa.struct([
             ("words", pa.int64()), ("longest", pa.int64()),
             ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-            ("items", pa.list_(pa.int64())),
+            ("items", pa.list_(named)),
         ])
-        return pa.array(out, kind)
+        return pa.array(out, found)
 
     return run
 
@@ -213,14 +219,20 @@ def _united(column: pa.Array) -> pa.Array:
     return pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, limit: int):
+def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
+    """``item``, a whole number if the id is one and a string otherwise, and ``text``."""
+    number = isinstance(benchmark.schema[item].dataType, T.IntegralType)
+    name = F.col(f"`{item}`").cast("long" if number else "string").alias("item")
+    return benchmark.select(name, F.col(f"`{text}`").alias("text")).where(F.length(f"`{text}`") > 0)
+
+
+def _blocks(items: DataFrame, limit: int) -> Iterator[list[Row]]:
     """The benchmark in blocks of bounded text; a block comes to the driver alone."""
-    items = benchmark.select(F.col(f"`{item}`").cast("long").alias("item"), F.col(f"`{text}`").alias("text"))
-    items = items.where(F.length("text") > 0)
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = -(-size // limit)
+    count = max(1, -(-size // limit))
     for block in range(count):
-        part = F.pmod(F.xxhash64("text"), F.lit(count)) == block
+        # Items of one text may lie in different blocks.
+        part = F.pmod(F.xxhash64("text", "item"), F.lit(count)) == block
         yield items.where(part).orderBy("item", "text").collect()
 
 
@@ -241,40 +253,78 @@ def matched(
     locations, and neighbouring matches give the longest. ``spans`` are the runs of document
     words inside occurrences, ``items`` the ids whose windows occur.
 
-    The benchmark is sent to the executors ``pass_bytes`` of text at a time; a larger one takes
-    one pass over each piece per such block. Documents are never shuffled.
+    The benchmark is sent to the executors ``pass_bytes`` of text at a time; a larger one takes one
+    pass over the documents per such block, whose findings are written before the next block comes to
+    the driver. With one block documents are never shuffled; findings of several are joined to them
+    by 128 bits of hashes of the text.
 
-    A null or wordless text has no words and no matches, as have null items; items of a null id
+    Item ids are whole numbers or taken as strings. A null or wordless text has no words and no matches, as have null items; items of a null id
     match but are not listed. Repeated rows are treated each. Columns named as the results are
     replaced.
     """
     require(docs, text)
     require(benchmark, item, item_text)
-    spark = docs.sparkSession
     results = {"n_words", "n_hit", "longest", "spans", "items"}
     rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in results]
-    found = []
-    for rows in _blocks(benchmark, item, item_text, pass_bytes):
-        tests = spark.sparkContext.broadcast(test_suffixes([r["text"] for r in rows], window))
-        ids = spark.sparkContext.broadcast([r["item"] for r in rows])
-        found.append(_searching(tests, ids)(F.col(f"`{text}`")))
-    if not found:
-        nothing = spark.sparkContext.broadcast(test_suffixes([], window))
-        found.append(_searching(nothing, spark.sparkContext.broadcast([]))(F.col(f"`{text}`")))
-    out = docs.select(F.struct(*rest).alias("row"), *[f.alias(f"f{i}") for i, f in enumerate(found)])
-    every = [f"f{i}" for i in range(len(found))]
-    spans = F.col("f0.spans") if len(every) == 1 else F.arrow_udf(_united, _SPANS)(F.concat(*[F.col(f"{f}.spans") for f in every]))
-    out = out.select(
+    items = _items(benchmark, item, item_text)
+    kind = items.schema["item"].dataType.simpleString()
+    blocks = _blocks(items, pass_bytes)
+    rows, more = next(blocks), next(blocks, None)
+    body = F.col(f"`{text}`")
+    packed = docs.select(F.struct(*rest).alias("row"), body.alias("body"))
+    if more is None:
+        found = packed.select("row", _pass(docs.sparkSession, rows, window, kind)[0](F.col("body")).alias("f"))
+    else:
+        found = _in_passes(packed, chain([rows, more], blocks), window, kind)
+    out = found.select(
         "row",
-        F.col("f0.words").alias("n_words"),
-        (F.greatest(*[f"{f}.longest" for f in every]) if len(every) > 1 else F.col("f0.longest")).alias("longest"),
-        spans.alias("spans"),
-        F.array_sort(F.array_distinct(F.array_compact(F.concat(*[F.col(f"{f}.items") for f in every])))).alias("items"),
+        F.col("f.words").alias("n_words"),
+        F.col("f.longest").alias("longest"),
+        F.col("f.spans").alias("spans"),
+        F.array_sort(F.array_distinct(F.array_compact("f.items"))).alias("items"),
     )
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return out.select("row.*", "n_words", hit.alias("n_hit"), "longest", "spans", "items")
 
 
+def _pass(spark: SparkSession, rows: list[Row], window: int, kind: str):
+    """The search for one block, and what it broadcasts."""
+    sent = [
+        spark.sparkContext.broadcast(test_suffixes([r["text"] for r in rows], window)),
+        spark.sparkContext.broadcast([r["item"] for r in rows]),
+    ]
+    return _searching(*sent, kind), sent
+
+
+def _in_passes(packed: DataFrame, blocks: Iterable[list[Row]], window: int, kind: str) -> DataFrame:
+    """``row`` and ``f``, what all blocks find in it. Each pass writes its findings, by the text's
+    hash, and gives its broadcast back before the next block comes to the driver."""
+    spark = packed.sparkSession
+    place = [F.xxhash64("body").alias("k1"), F.xxhash64(F.lit(1), "body").alias("k2")]
+    passes = []
+    for number, rows in enumerate(blocks):
+        search, sent = _pass(spark, rows, window, kind)
+        found = packed.select(*place, search(F.col("body")).alias("f"))
+        hits = found.where(F.size("f.spans") > 0).dropDuplicates(["k1", "k2"])
+        passes.append(written(hits, f"pass-{number}"))
+        for broadcast in sent:
+            broadcast.destroy()
+    hits = reduce(DataFrame.unionByName, passes).groupBy("k1", "k2").agg(
+        F.max("f.longest").alias("longest"),
+        F.flatten(F.collect_list("f.spans")).alias("spans"),
+        F.flatten(F.collect_list("f.items")).alias("items"),
+    )
+    counted = packed.select("row", _pass(spark, [], window, kind)[0](F.col("body"))["words"].alias("words"), *place)
+    united = F.arrow_udf(_united, _SPANS)(F.coalesce("spans", F.array().cast(_SPANS)))
+    found = F.struct(
+        "words",
+        F.coalesce("longest", F.lit(0).cast("long")).alias("longest"),
+        united.alias("spans"),
+        F.coalesce("items", F.array().cast(f"array<{kind}>")).alias("items"),
+    )
+    return counted.join(hits, ["k1", "k2"], "left").select("row", found.alias("f"))
+
+
 def contaminated(n_hit: Column, n_words: Column, one_in: int = 20) -> Column:
     """Whether at least one word in ``one_in`` lies inside an occurrence of a window."""
     return (n_hit > 0) & (one_in * n_hit >= n_words)
