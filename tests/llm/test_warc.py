@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ticksmith.llm import warc
@@ -78,3 +79,17 @@ def test_hosts_sort_by_their_domain():
     assert warc.url_key("HTTP://Example.COM:81") == "com,example:81)/"
     assert warc.url_key(None) == ")"
     assert warc.capture_key("x", -3) < warc.capture_key("x", 2) < warc.capture_key("x", 10)
+
+
+def test_folders_by_sparks_names():
+    for folder, known in (
+        ("/data/w", "/data/w"), ("file:///data/w", "file:///data/w"), ("s3a://b/w", "s3://b/w"),
+        ("S3N://b/w", "s3://b/w"), ("gs://b/w", "gs://b/w"), ("hdfs://n:8020/w", "hdfs://n:8020/w"),
+    ):
+        assert warc._place(folder) == known
+
+
+def test_unknown_folders_are_refused_before_writing(spark):
+    pages = spark.createDataFrame([(1, "http://a.b/", "x")], "page_id long, url string, html string")
+    with pytest.raises(ValueError, match="archives cannot be kept under dbx://"):
+        warc.write_archives(pages, "dbx://b/w")

@@ -82,6 +82,12 @@ def with_roles(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
         "page_id", "url", "payload", "digest", F.when(again, F.col("first")).alias("refers_to")
     )
 
+# Schemes that Spark's readers name, and Arrow's names for them.
+_SCHEMES = {
+    "file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss",
+    "hdfs": "hdfs", "viewfs": "viewfs",
+}
+
 
 def _record(page, url, payload: bytes, digest: str, refers_to) -> bytes:
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
@@ -122,8 +128,19 @@ def _parsed(record: bytes) -> dict:
     }
 
 
+def _place(folder: str) -> str:
+    """The folder by the name that Arrow's file systems know its scheme by."""
+    scheme, mark, path = folder.partition("://")
+    if not mark:
+        return folder
+    known = _SCHEMES.get(scheme.lower())
+    if known is None:
+        raise ValueError(f"archives cannot be kept under {scheme}://, choose one of {sorted(_SCHEMES)}")
+    return f"{known}://{path}"
+
+
 def _files(folder: str) -> tuple[pafs.FileSystem, str]:
-    system, path = pafs.FileSystem.from_uri(folder)
+    system, path = pafs.FileSystem.from_uri(_place(folder))
     system.create_dir(path, recursive=True)
     return system, path
 
@@ -161,6 +178,7 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = 256 << 20, l
     """One record per row of ``pages`` (``page_id``, ``url``, ``html``), each a gzip member, in
     files of about ``file_bytes`` under ``folder``; returns where every capture lies."""
     require(pages, "page_id", "url", "html")
+    _place(folder)  # refused here rather than in a task
     rows = with_roles(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"))
     rows = rows.select("page_id", "url", "payload", "digest", "refers_to")
     return written(rows.mapInArrow(_write_archives(folder, file_bytes, level), _CAPTURE), "captures")
