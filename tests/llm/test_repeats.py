@@ -159,3 +159,73 @@ def test_thousands_of_rows_equal_in_id_and_text(spark):
     # The copies repeat in whole; the other two share all but the end.
     ends = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in letters}
     assert ends == {None: [(0, len(text))], 7: [(0, len(own))], 8: [(0, len(own))]}
+
+
+def _near_copies(letters, copies, seed):
+    """Texts that differ in one unit each from a long one, whose anchors they share, and a few
+    that hold a part of it."""
+    draw = random.Random(seed)
+    some = lambda n: [draw.choice(letters) for _ in range(n)]
+    base = some(160)
+    rows = []
+    for _ in range(copies):
+        at = draw.randrange(len(base))
+        rows.append([*base[:at], draw.choice(["q", "v"]), *base[at + 1 :]])
+    rows += [some(9) + base[40:90] + some(9), base[:40], base, base, some(70)]
+    return rows
+
+
+@pytest.mark.parametrize("hot", [1, 20])
+def test_anchors_of_many_contexts_against_brute_force(spark, hot):
+    rows = _near_copies(["x", "Y", "zz", "w", "k"], 200, 9)
+    docs = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")
+    for remove, units, window in (
+        (remove_repeated_words, [tuple(r) for r in rows], 35),
+        (remove_repeated_bytes, [" ".join(r).encode() for r in rows], 100),
+    ):
+        found = remove(docs, window=window, gram=4, hot_contexts=hot, chunk_bytes=3000)
+        found = {r.doc_id: r for r in found.collect()}
+        for i, gone in enumerate(brute.repeated_units(units, window)):
+            assert {u for s in found[i].spans for u in range(s.start, s.end)} == gone
+
+
+@pytest.mark.parametrize("module", ["suffix_dedup", "automaton_dedup"])
+def test_contexts_of_a_busy_anchor_come_through_the_method(spark, monkeypatch, module):
+    from ticksmith.llm import automaton_dedup, repeats
+
+    module = {"suffix_dedup": suffix_dedup, "automaton_dedup": automaton_dedup}[module]
+    rows = _near_copies(["x", "Y", "zz", "w", "k"], 100, 5)
+    docs = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")
+    tables = []
+
+    def written(frame, name):
+        tables.append((name, repeats_written(frame, name)))
+        return tables[-1][1]
+
+    repeats_written = repeats.written
+    monkeypatch.setattr(repeats, "written", written)
+    none = lambda payloads, many, window: [np.zeros(0, dtype=np.int64) for _ in payloads]
+    monkeypatch.setattr(module, "repeated_starts", none)
+    remove = remove_repeated_bytes if module is suffix_dedup else remove_repeated_words
+    # What the method does not find is found by nothing else.
+    found = remove(docs, window=35, gram=4, hot_contexts=20)
+    assert found.where(F.size("spans") > 0).count() == 0
+    # A round makes a few rows of a busy context, not one for each of its windows.
+    hot = [frame for name, frame in tables if name == "hot"]
+    made = [frame for name, frame in tables if name == "contexts"]
+    units = F.length("text") if module is suffix_dedup else F.size(F.split(F.col("text").cast("string"), " "))
+    windows = hot[0].select(F.sum((units - 34) * F.col("stands"))).first()[0]
+    assert hot[0].count() > 20
+    assert made[1].count() < windows / 2
+
+
+def test_rolling_hashes_of_any_width():
+    from ticksmith.llm.shared import rolling
+
+    draw = random.Random(2)
+    values = np.array([draw.randrange(3) for _ in range(400)])
+    for width in (1, 3, 8, 13, 395, 400, 401):
+        hashes = rolling(values, width).tolist()
+        plain = [tuple(values[i : i + width].tolist()) for i in range(len(values) - width + 1)]
+        assert len(hashes) == len(plain)
+        assert len(set(zip(hashes, plain, strict=True))) == len(set(plain)) == len(set(hashes))

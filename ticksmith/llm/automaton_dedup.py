@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -106,11 +104,6 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> Units:
     return Units(word_hashes(data, starts, ends), first, starts, ends)
 
 
-def _windows(payload: bytes, window: int) -> Iterator[bytes]:
-    words = payload.split()
-    return (b" ".join(words[i : i + window]) for i in range(len(words) - window + 1))
-
-
 def _removal(window: int):
     @F.arrow_udf(f"struct<n_words: bigint, spans: {_SPANS}, kept: string>")
     def run(text: pa.Array, found: pa.Array) -> pa.Array:
@@ -159,7 +152,7 @@ def remove_repeated_words(
     if not 0 < gram <= window or gram & (gram - 1):
         raise ValueError("gram must be a power of two, at most the window")
     rest = [c for c in docs.columns if c.lower() not in {"n_words", "spans", "kept"}]
-    method = Method(window, gram, _words, _windows, repeated_starts, chunk_bytes)
-    found = with_repeats(docs.select(*[F.col(f"`{c}`") for c in rest]), text, identity, method, hot_contexts)
+    method = Method(window, gram, _words, repeated_starts, chunk_bytes, hot_contexts)
+    found = with_repeats(docs.select(*[F.col(f"`{c}`") for c in rest]), text, identity, method)
     done = found.select("row", _removal(window)("text", "found").alias("done"))
     return done.select("row.*", "done.n_words", "done.spans", "done.kept")
