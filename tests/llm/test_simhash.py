@@ -1,9 +1,11 @@
 import random
 
+from helpers import plan
 from pyspark.sql import functions as F
 
 from ticksmith.llm.components import components
 from ticksmith.llm.queries import QUERIES
+from ticksmith.llm.shared import written
 from ticksmith.llm.simhash import keep_one, linked_fingerprints, near_duplicates
 
 from . import brute
@@ -32,6 +34,12 @@ def test_every_link_of_three_bits_and_none_of_four(spark):
     assert unsigned == wanted
 
 
+def test_balls_are_not_broadcast(spark):
+    # A table so small that Spark would broadcast it, and its balls with it.
+    prints = written(spark.range(100).select(F.xxhash64("id").alias("fingerprint")), "prints")
+    assert "Broadcast" not in plan(linked_fingerprints(prints))
+
+
 def test_components_of_chains_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, j) for j in range(101, 140)]
     edges += [(200, 201), (201, 202), (202, 200), (300, 300)]

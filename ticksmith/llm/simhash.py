@@ -91,7 +91,9 @@ def linked_fingerprints(prints: DataFrame, bits: int = 3) -> DataFrame:
     )
     table = table.select(F.col("fingerprint").alias("u"), "part", "half")
     distance = F.bit_count(F.col("u").bitwiseXOR(F.col("v")))
-    found = table.join(probes, ["part", "half"]).where((distance <= bits) & (F.col("u") != F.col("v")))
+    # Spark sizes what a generator makes as one row of each, and would broadcast balls 34 times as large.
+    found = table.join(probes.hint("merge"), ["part", "half"])
+    found = found.where((distance <= bits) & (F.col("u") != F.col("v")))
     return found.select("u", "v")
 
 

@@ -166,7 +166,7 @@ def fit(
     spark = docs.sparkSession
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    there = named.select("doc_id").join(labels, "doc_id").distinct()
+    there = _labelled(named.select("doc_id"), labels)
     # Only ids are sorted; at most max_examples of them go to every executor.
     chosen = there.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(max_examples)
     chosen = named.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
@@ -209,6 +209,14 @@ def fit(
     return model_of, _rising(votes["vote"].to_numpy(), label, prior)
 
 
+def _labelled(ids: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labels whose ids are among ``ids``, each once.
+
+    Spark sizes labels as their compressed files, far too low to broadcast them by.
+    """
+    return ids.distinct().join(labels.hint("merge"), "doc_id").distinct()
+
+
 class _Example(NamedTuple):
     doc_id: int
     toxic: int
