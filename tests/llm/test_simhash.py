@@ -1,4 +1,5 @@
 import random
+import re
 
 from helpers import plan
 from pyspark.sql import functions as F
@@ -40,6 +41,11 @@ def test_balls_are_not_broadcast(spark):
     assert "Broadcast" not in plan(linked_fingerprints(prints))
 
 
+def test_written_fingerprints_are_not_broadcast(spark):
+    rows = spark.range(100).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    assert re.search(r"\w+Join", plan(near_duplicates(written(rows, "docs")))).group() == "SortMergeJoin"
+
+
 def test_components_of_chains_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, j) for j in range(101, 140)]
     edges += [(200, 201), (201, 202), (202, 200), (300, 300)]

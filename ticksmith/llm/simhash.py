@@ -113,7 +113,8 @@ def near_duplicates(
     prints, named = _grouped(docs, identity, text, words, bits)
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = named.join(names, "root").select("fp", "component_id")
-    return prints.join(labels, "fp").select(
+    # A written table is sized as its compressed files, several times too low to broadcast it by.
+    return prints.join(labels.hint("merge"), "fp").select(
         F.col("id").alias(identity), F.col("fp").alias("fingerprint"), "component_id"
     )
 
